@@ -85,72 +85,91 @@ def projection(code: int) -> Projection:
         raise ValueError(f"unsupported coordinate system {crs_name(code)}") from None
 
 
-def _sphere_forward(lon: Column, lat: Column, p: Projection) -> tuple[Column, Column]:
-    s = F.sin(F.radians(lat))
-    t = F.sinh(F.atanh(s) - F.lit(_ECC) * F.atanh(F.lit(_ECC) * s))
-    d = F.radians(lon - F.lit(p.lon0))
-    return F.atan2(t, F.cos(d)), F.atanh(F.sin(d) / F.sqrt(1 + t * t))
-
-
-def _plane_forward(xi: Column, eta: Column, p: Projection) -> tuple[Column, Column]:
-    east, north = eta, xi
-    for j, a in enumerate(ALPHA, 1):
-        east = east + F.lit(a) * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
-        north = north + F.lit(a) * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
-    x = F.lit(p.false_easting) + F.lit(p.radius) * east
-    y = F.lit(p.false_northing - p.origin_northing) + F.lit(p.radius) * north
+Step = tuple[str, str]
+
+
+def _sphere_forward(lon: str, lat: str, p: Projection) -> Step:
+    s = f"sin(radians({lat}))"
+    t = f"sinh(atanh({s}) - {_ECC!r}D * atanh({_ECC!r}D * {s}))"
+    d = f"radians({lon} - {p.lon0!r}D)"
+    return f"atan2({t}, cos({d}))", f"atanh(sin({d}) / sqrt(1 + {t} * {t}))"
+
+
+def _plane_forward(xi: str, eta: str, p: Projection) -> Step:
+    terms = list(enumerate(ALPHA, 1))
+    east = " + ".join(f"{a!r}D * cos({2 * j} * {xi}) * sinh({2 * j} * {eta})" for j, a in terms)
+    north = " + ".join(f"{a!r}D * sin({2 * j} * {xi}) * cosh({2 * j} * {eta})" for j, a in terms)
+    x = f"{p.false_easting!r}D + {p.radius!r}D * ({eta} + {east})"
+    y = f"{p.false_northing - p.origin_northing!r}D + {p.radius!r}D * ({xi} + {north})"
     return x, y
 
 
-def _plane_inverse(x: Column, y: Column, p: Projection) -> tuple[Column, Column]:
-    xi = (y - F.lit(p.false_northing - p.origin_northing)) / F.lit(p.radius)
-    eta = (x - F.lit(p.false_easting)) / F.lit(p.radius)
-    xi1, eta1 = xi, eta
-    for j, b in enumerate(BETA, 1):
-        xi1 = xi1 - F.lit(b) * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
-        eta1 = eta1 - F.lit(b) * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
-    return xi1, eta1
+def _plane_scaled(x: str, y: str, p: Projection) -> Step:
+    xi = f"({y} - {p.false_northing - p.origin_northing!r}D) / {p.radius!r}D"
+    eta = f"({x} - {p.false_easting!r}D) / {p.radius!r}D"
+    return xi, eta
+
+
+def _plane_inverse(xi: str, eta: str, p: Projection) -> Step:
+    terms = list(enumerate(BETA, 1))
+    south = " + ".join(f"{b!r}D * sin({2 * j} * {xi}) * cosh({2 * j} * {eta})" for j, b in terms)
+    west = " + ".join(f"{b!r}D * cos({2 * j} * {xi}) * sinh({2 * j} * {eta})" for j, b in terms)
+    return f"{xi} - ({south})", f"{eta} - ({west})"
+
 
+def _sphere_conformal(xi: str, eta: str, p: Projection) -> Step:
+    lon = f"{p.lon0!r}D + degrees(atan2(sinh({eta}), cos({xi})))"
+    return lon, f"asin(sin({xi}) / cosh({eta}))"
 
-def _sphere_inverse(xi: Column, eta: Column, p: Projection) -> tuple[Column, Column]:
-    chi = F.asin(F.sin(xi) / F.cosh(eta))
-    lat = chi
-    for j, d in enumerate(DELTA, 1):
-        lat = lat + F.lit(d) * F.sin(2 * j * chi)
-    return F.lit(p.lon0) + F.degrees(F.atan2(F.sinh(eta), F.cos(xi))), F.degrees(lat)
+
+def _sphere_inverse(lon: str, chi: str, p: Projection) -> Step:
+    series = " + ".join(f"{d!r}D * sin({2 * j} * {chi})" for j, d in enumerate(DELTA, 1))
+    return lon, f"degrees({chi} + {series})"
 
 
 def _steps(source: int, target: int):
-    """The column functions that lead from one system to the other, in order."""
+    """The expression builders that lead from one system to the other, in order."""
+    if source == target:
+        return []
     steps = []
     if source != LONLAT_CRS:
         p = projection(source)
-        steps += [lambda a, b, p=p: _plane_inverse(a, b, p), lambda a, b, p=p: _sphere_inverse(a, b, p)]
+        steps += [(f, p) for f in (_plane_scaled, _plane_inverse, _sphere_conformal, _sphere_inverse)]
     if target != LONLAT_CRS:
         p = projection(target)
-        steps += [lambda a, b, p=p: _sphere_forward(a, b, p), lambda a, b, p=p: _plane_forward(a, b, p)]
-    return steps if source != target else []
+        steps += [(f, p) for f in (_sphere_forward, _plane_forward)]
+    return steps
+
+
+def _bound(a: str, b: str, source: int, target: int) -> str:
+    """One expression for the projected pair; each step is bound to a lambda variable.
+
+    Without that, every step would be written out at every use by the next one, and the
+    expression would grow by an order of magnitude per step.
+    """
+    value = f"named_struct('x', {a}, 'y', {b})"
+    for i, (step, p) in enumerate(_steps(source, target)):
+        x, y = step(f"s{i}.x", f"s{i}.y", p)
+        value = f"transform(array({value}), s{i} -> named_struct('x', {x}, 'y', {y}))[0]"
+    return value
 
 
 def project_points(df: DataFrame, x: str, y: str, source: int, target: int) -> DataFrame:
-    """Replace the columns ``x, y`` (lon, lat for 4326) by their projected values."""
-    for step in _steps(source, target):
-        a, b = step(F.col(x), F.col(y))
-        df = df.withColumns({x: a, y: b})
+    """Replace the columns ``x, y`` (lon, lat for 4326) by their projected values.
+
+    Each step is one generated row, which keeps the planner from writing it out at
+    every use by the next step; all steps stay inside generated code.
+    """
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in (x, y)]
+    for step, p in _steps(source, target):
+        a, b = step(f"`{x}`", f"`{y}`", p)
+        df = df.select(*kept, F.expr(f"inline(array(named_struct('{x}', {a}, '{y}', {b})))").alias(x, y))
     return df
 
 
 def project_parts(parts: str, source: int, target: int) -> Column:
     """Vertex arrays in the target system."""
-    col = F.col(parts)
-    for step in _steps(source, target):
-
-        def vertex(v: Column, step=step) -> Column:
-            a, b = step(v["x"], v["y"])
-            return F.struct(a.alias("x"), b.alias("y"))
-
-        col = F.transform(col, lambda part, f=vertex: F.transform(part, f))
-    return col
+    return F.expr(f"transform({parts}, p -> transform(p, v -> {_bound('v.x', 'v.y', source, target)}))")
 
 
 def forward_scalar(lon: float, lat: float, code: int) -> tuple[float, float]:

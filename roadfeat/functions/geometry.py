@@ -1,8 +1,9 @@
-"""Geometry as column expressions.
+"""Geometry as Spark SQL expressions.
 
-A line or polygon is ``parts``: an array of vertex arrays. Polygons are read by the
-even-odd rule over all rings, which is right for holes and for multi-polygons.
-Distances are taken against ``edges``, one struct per segment.
+Functions take expression texts and return expression texts (or a Column where that is
+what callers put into a frame). A line or polygon is ``parts``: an array of vertex
+arrays. Polygons are read by the even-odd rule over all rings, which is right for holes
+and for multi-polygons.
 """
 
 from __future__ import annotations
@@ -13,213 +14,187 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 PARTS_TYPE = "array<array<struct<x:double,y:double>>>"
-EMPTY_EDGES = "cast(array() as array<struct<x1:double,y1:double,x2:double,y2:double>>)"
+EDGE_TYPE = "struct<x1:double,y1:double,x2:double,y2:double>"
 
 
-def vertex(x: Column, y: Column) -> Column:
-    return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+def double(value: float) -> str:
+    return f"{float(value)!r}D"
 
 
-def two_point_line(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
-    return F.array(F.array(vertex(x1, y1), vertex(x2, y2)))
+def vertex(x: str, y: str) -> str:
+    return f"named_struct('x', cast({x} as double), 'y', cast({y} as double))"
 
 
-def rectangle(xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
-    corners = [(xmin, ymin), (xmax, ymin), (xmax, ymax), (xmin, ymax), (xmin, ymin)]
-    return F.array(F.array(*[vertex(x, y) for x, y in corners]))
+def line_of(*vertices: tuple[str, str]) -> Column:
+    """A one-part line or ring from coordinate expressions."""
+    return F.expr(f"array(array({', '.join(vertex(x, y) for x, y in vertices)}))")
 
 
-def close_rings(parts: str) -> Column:
-    """Repeat the first vertex at the end of rings that are left open."""
+def two_point_line(x1: str, y1: str, x2: str, y2: str) -> Column:
+    return line_of((x1, y1), (x2, y2))
 
-    def closed(ring: Column) -> Column:
-        first, last = F.element_at(ring, 1), F.element_at(ring, -1)
-        return F.when(F.size(ring) < 2, ring).when(first == last, ring).otherwise(F.concat(ring, F.array(first)))
 
-    return F.transform(F.col(parts), closed)
+def rectangle(xmin: str, ymin: str, xmax: str, ymax: str) -> Column:
+    return line_of((xmin, ymin), (xmax, ymin), (xmax, ymax), (xmin, ymax), (xmin, ymin))
 
 
-def has_vertices(parts: str) -> Column:
-    return F.coalesce(F.exists(F.col(parts), lambda p: F.size(p) > 0), F.lit(False))
+def close_rings(parts: str) -> Column:
+    """Repeat the first vertex at the end of rings that are left open."""
+    return F.expr(
+        f"transform({parts}, r -> case when size(r) < 2 or r[0] = r[size(r) - 1] then r "
+        "else concat(r, array(r[0])) end)"
+    )
 
 
-def edges(parts: str) -> Column:
-    """All segments of all parts; parts of a single vertex have none."""
+def has_vertices(parts: str) -> Column:
+    return F.expr(f"coalesce(exists({parts}, p -> size(p) > 0), false)")
 
-    def of_part(part: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(1), F.size(part) - 1),
-            lambda i: F.struct(
-                F.get(part, i - 1)["x"].alias("x1"),
-                F.get(part, i - 1)["y"].alias("y1"),
-                F.get(part, i)["x"].alias("x2"),
-                F.get(part, i)["y"].alias("y2"),
-            ),
-        )
 
-    return F.flatten(F.transform(F.filter(F.col(parts), lambda p: F.size(p) >= 2), of_part))
+def edges(parts: str) -> str:
+    """All segments of all parts; parts of a single vertex have none."""
+    edge = "named_struct('x1', p[i - 1].x, 'y1', p[i - 1].y, 'x2', p[i].x, 'y2', p[i].y)"
+    return (
+        f"flatten(transform(filter({parts}, p -> size(p) >= 2), "
+        f"p -> transform(sequence(1, size(p) - 1), i -> {edge})))"
+    )
 
 
 def bounds(parts: str) -> dict[str, Column]:
     """Bounding box columns of a parts column; null when it has no vertex."""
-    xs = F.flatten(F.transform(F.col(parts), lambda p: F.transform(p, lambda v: v["x"])))
-    ys = F.flatten(F.transform(F.col(parts), lambda p: F.transform(p, lambda v: v["y"])))
-    return {"xmin": F.array_min(xs), "ymin": F.array_min(ys), "xmax": F.array_max(xs), "ymax": F.array_max(ys)}
+    out = {}
+    for axis in ("x", "y"):
+        values = f"flatten(transform({parts}, p -> transform(p, v -> v.{axis})))"
+        out[f"{axis}min"] = F.expr(f"array_min({values})")
+        out[f"{axis}max"] = F.expr(f"array_max({values})")
+    return out
 
 
-def cumulative_lengths(part: Column) -> Column:
+def cumulative_lengths(part: str) -> str:
     """Distance from the start at every vertex of one line; starts with 0."""
-    zero = F.array(F.lit(0.0))
-    return F.aggregate(
-        F.sequence(F.lit(1), F.size(part) - 1),
-        zero,
-        lambda acc, i: F.concat(
-            acc,
-            F.array(
-                F.element_at(acc, -1)
-                + _length(F.get(part, i)["x"] - F.get(part, i - 1)["x"], F.get(part, i)["y"] - F.get(part, i - 1)["y"])
-            ),
-        ),
+    dx, dy = f"({part}[i].x - {part}[i - 1].x)", f"({part}[i].y - {part}[i - 1].y)"
+    step = f"sqrt({dx} * {dx} + {dy} * {dy})"
+    return (
+        f"aggregate(sequence(1, size({part}) - 1), array(0.0D), "
+        f"(acc, i) -> concat(acc, array(element_at(acc, -1) + {step})))"
     )
 
 
-def _length(dx: Column, dy: Column) -> Column:
-    return F.sqrt(dx * dx + dy * dy)
-
-
 def apothem(radius: float, quad_segs: int) -> float:
     """Distance from a buffer polygon's centre to the middle of its sides."""
     return radius * math.cos(math.pi / (4 * quad_segs))
 
 
-def inside_buffer(dx: Column, dy: Column, radius: float, quad_segs: int | None) -> Column:
+def inside_buffer(dx: str, dy: str, radius: float, quad_segs: int | None) -> str:
     """Strictly inside the buffer polygon around the origin (a disc for ``quad_segs=None``).
 
     Only offsets between the inscribed and the circumscribed circle need the angle.
     """
-    d2 = dx * dx + dy * dy
+    d2 = f"(({dx}) * ({dx}) + ({dy}) * ({dy}))"
+    outer2 = double(float(radius) ** 2)
     if quad_segs is None:
-        return d2 < F.lit(float(radius) ** 2)
+        return f"{d2} < {outer2}"
     inner = apothem(radius, quad_segs)
     wedge = math.pi / (2 * quad_segs)
-    to_side = F.sqrt(d2) * F.cos(F.pmod(F.atan2(dy, dx), F.lit(wedge)) - F.lit(wedge / 2))
-    return (d2 < F.lit(inner**2)) | ((d2 < F.lit(float(radius) ** 2)) & (to_side < F.lit(inner)))
+    angle = f"pmod(atan2({dy}, {dx}), {double(wedge)}) - {double(wedge / 2)}"
+    return f"({d2} < {double(inner**2)} or ({d2} < {outer2} and sqrt({d2}) * cos({angle}) < {double(inner)}))"
 
 
-def buffer_polygon(x: Column, y: Column, radius: float, quad_segs: int) -> Column:
+def buffer_polygon(x: str, y: str, radius: float, quad_segs: int) -> Column:
     """Closed ring of the buffer polygon, clockwise from angle 0, as ``parts``."""
     n = 4 * quad_segs
-    angles = [-2 * math.pi * (k % n) / n for k in range(n + 1)]
-    unit = F.array(
-        *[F.struct(F.lit(math.cos(a)).alias("x"), F.lit(math.sin(a)).alias("y")) for a in angles]
-    )
-    r = float(radius)
-    return F.array(F.transform(unit, lambda u: vertex(x + r * u["x"], y + r * u["y"])))
+    ring = []
+    for k in range(n + 1):
+        angle = -2 * math.pi * (k % n) / n
+        ring.append((f"{x} + {double(radius * math.cos(angle))}", f"{y} + {double(radius * math.sin(angle))}"))
+    return line_of(*ring)
 
 
-def point_segment_d2(px: Column, py: Column, x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
+def point_segment_d2(px: str, py: str, x1: str, y1: str, x2: str, y2: str) -> str:
     """Squared distance from a point to a segment.
 
     Past either end the end itself is measured, so that segments meeting in a vertex
     give the same number.
     """
-    ex, ey = x2 - x1, y2 - y1
-    len2 = ex * ex + ey * ey
-    along = (px - x1) * ex + (py - y1) * ey
-    to_start = (px - x1) * (px - x1) + (py - y1) * (py - y1)
-    to_end = (px - x2) * (px - x2) + (py - y2) * (py - y2)
-    t = along / F.nullif(len2, F.lit(0.0))
-    fx, fy = px - (x1 + t * ex), py - (y1 + t * ey)
-    return F.when((len2 == 0) | (along <= 0), to_start).when(along >= len2, to_end).otherwise(fx * fx + fy * fy)
-
-
-def edges_d2(px: Column, py: Column, edge_array: Column) -> Column:
-    return F.aggregate(
-        edge_array,
-        F.lit(float("inf")),
-        lambda acc, e: F.least(acc, point_segment_d2(px, py, e["x1"], e["y1"], e["x2"], e["y2"])),
+    ex, ey = f"({x2} - {x1})", f"({y2} - {y1})"
+    len2 = f"({ex} * {ex} + {ey} * {ey})"
+    along = f"(({px} - {x1}) * {ex} + ({py} - {y1}) * {ey})"
+    fx = f"({px} - ({x1} + {along} / {len2} * {ex}))"
+    fy = f"({py} - ({y1} + {along} / {len2} * {ey}))"
+
+    def square(x: str, y: str) -> str:
+        return f"(({px} - {x}) * ({px} - {x}) + ({py} - {y}) * ({py} - {y}))"
+
+    return (
+        f"(case when {along} <= 0 then {square(x1, y1)} when {along} >= {len2} then {square(x2, y2)} "
+        f"else {fx} * {fx} + {fy} * {fy} end)"
     )
 
 
-def inside_rings(px: Column, py: Column, edge_array: Column) -> Column:
+def inside_rings(px: str, py: str, edge_array: str) -> str:
     """Even-odd test; the boundary itself is left to the distance test."""
+    at_x = f"e.x1 + ({py} - e.y1) * (e.x2 - e.x1) / nullif(e.y2 - e.y1, 0D)"
+    return (
+        f"size(filter({edge_array}, e -> ((e.y1 > {py}) != (e.y2 > {py})) and {px} < {at_x})) % 2 = 1"
+    )
 
-    def crosses(e: Column) -> Column:
-        spans = (e["y1"] > py) != (e["y2"] > py)
-        rise = F.nullif(e["y2"] - e["y1"], F.lit(0.0))
-        at_x = e["x1"] + (py - e["y1"]) * (e["x2"] - e["x1"]) / rise
-        return spans & (px < at_x)
-
-    return F.size(F.filter(edge_array, crosses)) % 2 == 1
 
+def segment_meets_buffer(
+    px: str, py: str, x1: str, y1: str, x2: str, y2: str, radius: float, quad_segs: int | None
+) -> str:
+    """Whether a segment touches the closed buffer polygon around a point.
 
-def edge_meets_buffer(px: Column, py: Column, e: Column, radius: float, quad_segs: int) -> Column:
-    """Whether a segment touches the closed buffer polygon: clip it by every side."""
+    Between inscribed and circumscribed circle the segment is clipped by every side;
+    elsewhere the distance decides.
+    """
+    d2 = point_segment_d2(px, py, x1, y1, x2, y2)
+    outer2 = double(float(radius) ** 2)
+    if quad_segs is None:
+        return f"{d2} <= {outer2}"
     n = 4 * quad_segs
-    inner = F.lit(apothem(radius, quad_segs))
-    normals = F.array(
-        *[
-            F.struct(
-                F.lit(math.cos(2 * math.pi * (k + 0.5) / n)).alias("nx"),
-                F.lit(math.sin(2 * math.pi * (k + 0.5) / n)).alias("ny"),
-            )
-            for k in range(n)
-        ]
+    inner = apothem(radius, quad_segs)
+    sides = ", ".join(
+        f"named_struct('nx', {double(math.cos(2 * math.pi * (k + 0.5) / n))}, "
+        f"'ny', {double(math.sin(2 * math.pi * (k + 0.5) / n))})"
+        for k in range(n)
     )
-
-    def clip(acc: Column, side: Column) -> Column:
-        m1 = inner - (side["nx"] * (e["x1"] - px) + side["ny"] * (e["y1"] - py))
-        m2 = inner - (side["nx"] * (e["x2"] - px) + side["ny"] * (e["y2"] - py))
-        at = m1 / F.nullif(m1 - m2, F.lit(0.0))
-        lo = F.when((m1 < 0) & (m2 < 0), F.lit(2.0)).when(m1 < 0, F.greatest(acc["lo"], at)).otherwise(acc["lo"])
-        hi = F.when((m2 < 0) & (m1 >= 0), F.least(acc["hi"], at)).otherwise(acc["hi"])
-        return F.struct(lo.alias("lo"), hi.alias("hi"))
-
-    start = F.struct(F.lit(0.0).alias("lo"), F.lit(1.0).alias("hi"))
-    return F.aggregate(normals, start, clip, lambda acc: acc["lo"] <= acc["hi"])
-
-
-def touches_buffer(
-    px: Column, py: Column, edge_array: Column, is_polygon: Column, radius: float, quad_segs: int | None
-) -> Column:
-    """Whether a line or polygon meets the closed buffer polygon around a point."""
-    r2 = F.lit(float(radius) ** 2)
-    d2 = edges_d2(px, py, edge_array)
-    interior = is_polygon & inside_rings(px, py, edge_array)
-    if quad_segs is None:
-        return (d2 <= r2) | interior
-    clipped = F.exists(edge_array, lambda e: edge_meets_buffer(px, py, e, radius, quad_segs))
-    return (d2 <= F.lit(apothem(radius, quad_segs) ** 2)) | interior | ((d2 <= r2) & clipped)
+    margins = (
+        f"transform(array({sides}), s -> named_struct("
+        f"'a', {double(inner)} - (s.nx * ({x1} - {px}) + s.ny * ({y1} - {py})), "
+        f"'b', {double(inner)} - (s.nx * ({x2} - {px}) + s.ny * ({y2} - {py}))))"
+    )
+    clipped = (
+        f"aggregate({margins}, named_struct('lo', 0D, 'hi', 1D), (acc, m) -> named_struct("
+        "'lo', case when m.a < 0 and m.b < 0 then 2D when m.a < 0 then greatest(acc.lo, m.a / (m.a - m.b)) else acc.lo end, "
+        "'hi', case when m.b < 0 and m.a >= 0 then least(acc.hi, m.a / (m.a - m.b)) else acc.hi end), "
+        "acc -> acc.lo <= acc.hi)"
+    )
+    return f"({d2} <= {double(inner**2)} or ({d2} <= {outer2} and {clipped}))"
 
 
 def representative_point(parts: str) -> Column:
     """A point inside a polygon: the middle of the widest cut at half height.
 
     The cut lies midway between the vertex heights next below and above the middle
-    of the bounding box, so it meets no vertex. For a rectangle it is the centre.
+    of the bounding box, so it meets no vertex. For a rectangle it is the centre. A
+    polygon without height has no cut; its first vertex stands for it.
     """
-    ys = F.flatten(F.transform(F.col(parts), lambda p: F.transform(p, lambda v: v["y"])))
-    middle = (F.array_min(ys) + F.array_max(ys)) / 2
-    below = F.array_max(F.filter(ys, lambda v: v <= middle))
-    above = F.array_min(F.filter(ys, lambda v: v > middle))
-    cut = (below + F.coalesce(above, below)) / 2
-
-    def crossing(e: Column) -> Column:
-        return e["x1"] + (cut - e["y1"]) * (e["x2"] - e["x1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0))
-
-    spanning = F.filter(edges(parts), lambda e: (e["y1"] > cut) != (e["y2"] > cut))
-    xs = F.array_sort(F.transform(spanning, crossing))
-    spans = F.transform(
-        F.when(F.size(xs) >= 2, F.sequence(F.lit(1), F.size(xs) - 1, F.lit(2))).otherwise(
-            F.expr("cast(array() as array<int>)")
-        ),
-        lambda i: F.struct(
-            (F.get(xs, i) - F.get(xs, i - 1)).alias("width"), ((F.get(xs, i) + F.get(xs, i - 1)) / 2).alias("x")
-        ),
+    ys = f"flatten(transform({parts}, p -> transform(p, v -> v.y)))"
+    # One-element arrays bind intermediate values to a lambda variable.
+    middle = f"transform(array({ys}), h -> named_struct('h', h, 'm', (array_min(h) + array_max(h)) / 2))[0]"
+    cut = (
+        f"transform(array({middle}), q -> (array_max(filter(q.h, v -> v <= q.m)) "
+        "+ coalesce(array_min(filter(q.h, v -> v > q.m)), q.m)) / 2)[0]"
+    )
+    crossings = (
+        f"array_sort(transform(filter({edges(parts)}, e -> (e.y1 > c) != (e.y2 > c)), "
+        "e -> e.x1 + (c - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1)))"
+    )
+    widest = (
+        f"transform(array({crossings}), xs -> case when size(xs) >= 2 then array_max(transform("
+        "sequence(1, size(xs) - 1, 2), i -> named_struct('w', xs[i] - xs[i - 1], 'x', (xs[i] + xs[i - 1]) / 2))).x end)[0]"
     )
-    widest = F.array_max(spans)["x"]
-    # A polygon without height has no cut; its first vertex stands for it.
-    first = F.get(F.get(F.col(parts), 0), 0)
-    return F.struct(
-        F.coalesce(widest, first["x"]).alias("x"), F.when(widest.isNull(), first["y"]).otherwise(cut).alias("y")
+    first = f"{parts}[0][0]"
+    return F.expr(
+        f"transform(array({cut}), c -> transform(array({widest}), x -> named_struct('x', coalesce(x, {first}.x), "
+        f"'y', case when x is null then {first}.y else c end))[0])[0]"
     )

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadfeat.config import POINT_ID, QUAD_SEGS
-from roadfeat.functions.geometry import bounds, edges, inside_buffer, touches_buffer
+from roadfeat.functions.geometry import double, edges, has_vertices, inside_buffer, inside_rings, segment_meets_buffer
 from roadfeat.layer import POLYGON
 
 # Rows of one cell, on either side, that one task joins; larger cells are tiled.
@@ -48,7 +48,7 @@ class Pairs:
 
 def estimated_bytes(df: DataFrame) -> int:
     """The planner's size estimate, from file sizes and row widths; no job runs."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def broadcast_limit(df: DataFrame) -> int:
@@ -85,19 +85,32 @@ def point_targets(
 
 
 def shape_targets(df: DataFrame, kind: str, code: int, ident: Column | None = None) -> DataFrame:
-    """Bring a line or polygon layer (``parts``) to the shared schema, copies merged."""
-    rows = df.select(
-        "parts", F.lit(code).alias("_f"), (F.lit(None) if ident is None else ident).cast("string").alias("_id")
-    )
+    """Bring a line or polygon layer (``parts``) to the shared schema, copies merged.
+
+    A shape becomes one row per segment and, for polygons, one row for the inside, each
+    with its own box. So the hot path tests single segments in generated code, long
+    outlines are found only where they pass, and only points within a polygon's box are
+    tested against its rings. Rows of one shape share ``_id``; a layer without ids gets
+    a digest of the geometry, and ``_n`` says how many copies it has.
+    """
+    own = F.sha2(F.to_json("parts"), 256) if ident is None else ident.cast("string")
+    rows = df.where(has_vertices("parts")).select("parts", F.lit(code).alias("_f"), own.alias("_id"))
     merged = rows.groupBy("parts", "_f", "_id").agg(F.count(F.lit(1)).alias("_n"))
-    return merged.select(
-        edges("parts").alias("_edges"),
-        F.lit(kind == POLYGON).alias("_polygon"),
-        "_f",
-        "_id",
-        "_n",
-        *[F.lit(0.0).alias(f"_v{i}") for i in (1, 2, 3)],
-        *[c.alias(f"_{k}") for k, c in bounds("parts").items()],
+    ring_type = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
+    piece = (
+        "transform(_e, e -> named_struct('x1', e.x1, 'y1', e.y1, 'x2', e.x2, 'y2', e.y2, "
+        "'xmin', least(e.x1, e.x2), 'ymin', least(e.y1, e.y2), 'xmax', greatest(e.x1, e.x2), "
+        f"'ymax', greatest(e.y1, e.y2), 'rings', cast(null as {ring_type})))"
+    )
+    if kind == POLYGON:
+        no = "cast(null as double)"
+        piece = (
+            f"concat({piece}, array(named_struct('x1', {no}, 'y1', {no}, 'x2', {no}, 'y2', {no}, "
+            "'xmin', array_min(transform(_e, e -> e.x1)), 'ymin', array_min(transform(_e, e -> e.y1)), "
+            "'xmax', array_max(transform(_e, e -> e.x1)), 'ymax', array_max(transform(_e, e -> e.y1)), 'rings', _e)))"
+        )
+    return merged.selectExpr("_f", "_id", "_n", f"{edges('parts')} as _e").selectExpr(
+        "_f", "_id", "_n", "0D as _v1", "0D as _v2", "0D as _v3", f"inline({piece})"
     )
 
 
@@ -112,15 +125,14 @@ def near_points(
 
     ``targets`` has the schema of :func:`point_targets`. ``small`` overrides the size check.
     """
-    sites = points.select(POINT_ID, F.col("x").alias("_px"), F.col("y").alias("_py"))
-    exact = inside_buffer(F.col("_tx") - F.col("_px"), F.col("_ty") - F.col("_py"), radius, quad_segs)
+    sites = points.selectExpr(POINT_ID, "x as _px", "y as _py")
+    exact = inside_buffer("_tx - _px", "_ty - _py", radius, quad_segs)
     if small if small is not None else fits_broadcast(targets):
-        probes = _around(sites.repartition(POINT_ID), "_px", "_py", radius)
-        build = F.broadcast(targets.withColumn("_cell", cell_of(F.col("_tx"), F.col("_ty"), radius)))
+        probes = _around(_by_point(sites), "_px", "_py", radius)
+        build = F.broadcast(targets.selectExpr("*", f"{cell_of('_tx', '_ty', radius)} as _cell"))
         return Pairs(_join(probes, build, ["_cell"], exact), (POINT_ID,))
-    homes = sites.withColumn("_cell", cell_of(F.col("_px"), F.col("_py"), radius))
-    copies = _around(targets, "_tx", "_ty", radius)
-    return join_by_cell(homes, copies, ["_cell"], exact)
+    homes = sites.selectExpr("*", f"{cell_of('_px', '_py', radius)} as _cell")
+    return join_by_cell(homes, _around(targets, "_tx", "_ty", radius), ["_cell"], exact)
 
 
 def near_shapes(
@@ -130,43 +142,43 @@ def near_shapes(
     quad_segs: int | None = QUAD_SEGS,
     small: bool | None = None,
 ) -> Pairs:
-    """Pairs of a point and a line or polygon that touches its buffer polygon.
+    """Pairs of a point and a segment, or polygon inside, that touches its buffer polygon.
 
-    Shapes of any size meet few cells: the grid has levels of doubling cell size, and a
-    shape uses the level at which its box, widened by the radius, spans at most 3 x 3
-    cells. Points look up one cell at every level in use.
+    ``targets`` has the schema of :func:`shape_targets`; a pair of point and shape may
+    come up once per segment. Segments of any length meet few cells: the grid has levels
+    of doubling cell size, and a row uses the level at which its box, widened by the
+    radius, spans at most 3 x 3 cells. Points look up one cell at every level in use.
     """
     base = 2.0 * radius
-    extent = F.greatest(F.col("_xmax") - F.col("_xmin"), F.col("_ymax") - F.col("_ymin")) + 2 * radius
-    level = F.least(F.greatest(F.ceil(F.log2(extent / (2 * base))), F.lit(0)), F.lit(40)).cast("int")
-    shapes = targets.where(F.size("_edges") > 0).withColumn("_level", level)
+    extent = f"greatest(xmax - xmin, ymax - ymin) + {double(2 * radius)}"
+    level = f"cast(least(greatest(ceil(log2(({extent}) / {double(2 * base)})), 0), 40) as int)"
+    shapes = targets.selectExpr("*", f"{level} as _level")
     # At most one value per doubling of the extent.
-    levels = sorted(r[0] for r in shapes.select("_level").distinct().collect() if r[0] is not None)
-    size = F.lit(base) * F.pow(F.lit(2.0), F.col("_level"))
-    reach = F.lit(float(radius))
+    levels = sorted(r[0] for r in shapes.select("_level").distinct().collect() if r[0] is not None) or [0]
+    size = f"({double(base)} * shiftleft(1L, _level))"
+    reach = double(radius)
 
-    def span(lo: str, hi: str) -> Column:
-        return F.sequence(grid_index(F.col(lo) - reach, size), grid_index(F.col(hi) + reach, size))
+    def span(lo: str, hi: str) -> str:
+        return f"explode(sequence({grid_index(f'{lo} - {reach}', size)}, {grid_index(f'{hi} + {reach}', size)}))"
 
     spread = (
-        shapes.withColumn("_cx", F.explode(span("_xmin", "_xmax")))
-        .withColumn("_cy", F.explode(span("_ymin", "_ymax")))
-        .withColumn("_cell", pack_cell(F.col("_cx"), F.col("_cy")))
+        shapes.selectExpr("*", f"{span('xmin', 'xmax')} as _cx")
+        .selectExpr("*", f"{span('ymin', 'ymax')} as _cy")
+        .selectExpr("*", f"{pack_cell('_cx', '_cy')} as _cell")
         .drop("_cx", "_cy")
     )
-    px, py = F.col("_px"), F.col("_py")
-    gap_x = F.greatest(F.col("_xmin") - px, px - F.col("_xmax"), F.lit(0.0))
-    gap_y = F.greatest(F.col("_ymin") - py, py - F.col("_ymax"), F.lit(0.0))
-    exact = (gap_x * gap_x + gap_y * gap_y <= F.lit(float(radius) ** 2)) & touches_buffer(
-        px, py, F.col("_edges"), F.col("_polygon"), radius, quad_segs
+    gap_x, gap_y = "greatest(xmin - _px, _px - xmax, 0D)", "greatest(ymin - _py, _py - ymax, 0D)"
+    on_segment = segment_meets_buffer("_px", "_py", "x1", "y1", "x2", "y2", radius, quad_segs)
+    exact = (
+        f"{gap_x} * {gap_x} + {gap_y} * {gap_y} <= {double(float(radius) ** 2)} and "
+        f"case when x1 is not null then {on_segment} else {inside_rings('_px', '_py', 'rings')} end"
     )
-    sites = points.select(POINT_ID, F.col("x").alias("_px"), F.col("y").alias("_py"))
+    sites = points.selectExpr(POINT_ID, "x as _px", "y as _py")
     is_small = small if small is not None else fits_broadcast(targets)
     if is_small:
-        sites = sites.repartition(POINT_ID)
-    probes = (
-        sites.withColumn("_level", F.explode(F.array(*[F.lit(v) for v in levels or [0]])))
-        .withColumn("_cell", pack_cell(grid_index(px, size), grid_index(py, size)))
+        sites = _by_point(sites)
+    probes = sites.selectExpr("*", f"explode(array({', '.join(map(str, levels))})) as _level").selectExpr(
+        "*", f"{pack_cell(grid_index('_px', size), grid_index('_py', size))} as _cell"
     )
     keys = ["_level", "_cell"]
     if is_small:
@@ -176,58 +188,63 @@ def near_shapes(
     return pairs if len(levels) <= 1 else Pairs(pairs.df, (POINT_ID,))
 
 
-def per_point(pairs: Pairs, columns: dict[str, Column], by_feature: bool) -> DataFrame:
+def _by_point(sites: DataFrame) -> DataFrame:
+    """Hash by point id, into as many parts as any join; few bytes, but much work each."""
+    return sites.repartition(int(sites.sparkSession.conf.get("spark.sql.shuffle.partitions")), POINT_ID)
+
+
+def per_point(pairs: Pairs, columns: dict[str, Column], by_feature: bool, shapes: bool = False) -> DataFrame:
     """One row per matched point.
 
     ``columns`` aggregate over ``_f, _id, _n, _v1.._v3``. With ``by_feature`` the pairs
-    are first reduced to one row per point, feature and id; distinct counts and
-    category counts need that, plain sums do not.
+    are first reduced to one row per point, feature and id; distinct counts, category
+    counts and shapes need that, plain sums do not.
     """
     rows = pairs.df
     if by_feature:
-        rows = rows.groupBy(*pairs.keys, "_f", "_id").agg(*[F.sum(c).alias(c) for c in VALUE_FIELDS])
+        # A shape may meet a point with several segments: its copies count once.
+        merge = [F.max("_n").alias("_n")] if shapes else [F.sum(c).alias(c) for c in VALUE_FIELDS]
+        rows = rows.groupBy(*pairs.keys, "_f", "_id").agg(*merge)
     out = rows.groupBy(*pairs.keys).agg(*[c.alias(name) for name, c in columns.items()])
     return out.drop(*[k for k in pairs.keys if k != POINT_ID])
 
 
-def grid_index(value: Column, size: float | Column) -> Column:
+def grid_index(value: str, size: float | str) -> str:
     """Grid index of a coordinate, kept within bounds so that junk cannot overflow.
 
     Clamping keeps neighbours neighbours; far-out values only share border cells.
     """
-    size = F.lit(float(size)) if not isinstance(size, Column) else size
-    return F.greatest(F.least(F.floor(value / size), F.lit(CELL_LIMIT)), F.lit(-CELL_LIMIT)).cast("long")
+    size = size if isinstance(size, str) else double(size)
+    return f"greatest(least(floor(({value}) / {size}), {CELL_LIMIT}L), -{CELL_LIMIT}L)"
 
 
-def pack_cell(cx: Column, cy: Column) -> Column:
-    return F.shiftleft(cx, 32).bitwiseXOR(cy.bitwiseAND(F.lit(0xFFFFFFFF)))
+def pack_cell(cx: str, cy: str) -> str:
+    return f"(shiftleft({cx}, 32) ^ (({cy}) & {0xFFFFFFFF}L))"
 
 
-def cell_of(x: Column, y: Column, size: float) -> Column:
+def cell_of(x: str, y: str, size: float) -> str:
     return pack_cell(grid_index(x, size), grid_index(y, size))
 
 
+def block_of(cx: str, cy: str) -> str:
+    """Cells of the 3 x 3 block around a cell."""
+    steps = (-1, 0, 1)
+    return f"array({', '.join(pack_cell(f'({cx} + {dx}L)', f'({cy} + {dy}L)') for dx in steps for dy in steps)})"
+
+
 def _around(df: DataFrame, x: str, y: str, size: float) -> DataFrame:
     """One row per cell of the 3 x 3 block around each row's own cell."""
-    block = F.array(
-        *[
-            pack_cell(grid_index(F.col(x), size) + F.lit(dx), grid_index(F.col(y), size) + F.lit(dy))
-            for dx in (-1, 0, 1)
-            for dy in (-1, 0, 1)
-        ]
-    )
-    return df.withColumn("_cell", F.explode(block))
+    placed = df.selectExpr("*", f"{grid_index(x, size)} as _cx", f"{grid_index(y, size)} as _cy")
+    return placed.selectExpr(*df.columns, f"explode({block_of('_cx', '_cy')}) as _cell")
 
 
-def _join(left: DataFrame, right: DataFrame, keys: list[str], exact: Column) -> DataFrame:
+def _join(left: DataFrame, right: DataFrame, keys: list[str], exact: str) -> DataFrame:
     renamed = right.withColumnsRenamed({k: f"{k}_t" for k in keys})
-    on = exact
-    for k in reversed(keys):
-        on = (F.col(k) == F.col(f"{k}_t")) & on
-    return left.join(renamed, on).drop(*[f"{k}_t" for k in keys])
+    on = " and ".join([f"{k} = {k}_t" for k in keys] + [f"({exact})"])
+    return left.join(renamed, F.expr(on)).drop(*[f"{k}_t" for k in keys])
 
 
-def join_by_cell(homes: DataFrame, copies: DataFrame, keys: list[str], exact: Column) -> Pairs:
+def join_by_cell(homes: DataFrame, copies: DataFrame, keys: list[str], exact: str) -> Pairs:
     tiled = _tile_hot_cells(homes, copies, keys)
     if tiled is None:
         return Pairs(_join(homes, copies, keys, exact), (*keys, POINT_ID))
@@ -271,7 +288,7 @@ def _tile_hot_cells(homes: DataFrame, copies: DataFrame, keys: list[str]):
             .drop(own, other)
         )
 
-    plain = [c for c in copies.columns if c not in keys and c not in ("_edges",)]
+    plain = [c for c in copies.columns if c not in keys and c != "rings"]
     homes = deal(homes, "_ps", "_ts", "_pslot", "_tslot", F.xxhash64(POINT_ID))
     copies = deal(copies, "_ts", "_ps", "_tslot", "_pslot", F.xxhash64(*plain))
     return homes, copies, [*keys, "_pslot", "_tslot"]

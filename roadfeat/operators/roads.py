@@ -20,7 +20,7 @@ from roadfeat.config import (
 )
 from roadfeat.functions.clean import require_columns
 from roadfeat.functions.crs import crs_name
-from roadfeat.functions.geometry import buffer_polygon, cumulative_lengths
+from roadfeat.functions.geometry import PARTS_TYPE, buffer_polygon, cumulative_lengths
 from roadfeat.layer import LINE, POLYGON, Layer
 
 ROAD_ATTRIBUTES = ("RN", "RN_CD", "ROAD_LT", "ROAD_BT", "ROA_CLS_SE")
@@ -28,7 +28,7 @@ ROAD_ATTRIBUTES = ("RN", "RN_CD", "ROAD_LT", "ROAD_BT", "ROA_CLS_SE")
 # Rows per id bucket, and the most buckets there are: the bucket totals (one row
 # each) are the only thing that meets in one task or is broadcast.
 ROWS_PER_BUCKET = 2_000
-MAX_BUCKETS = 4_096
+MAX_BUCKETS = 1_024
 # Points of a segment are made in runs of this many, so that no row holds them all.
 POINTS_PER_RUN = 4_096
 
@@ -104,55 +104,33 @@ def create_road_points(target_roads: Layer, distance: int = POINT_INTERVAL_M, or
 def points_along_line(df: DataFrame, parts: str, distance: int = POINT_INTERVAL_M) -> DataFrame:
     """The walk alone: every row of ``df`` gives its points as ``POINT_SEQ, x, y``."""
     keep = [c for c in df.columns if c != parts]
-    lines = df.select(*keep, _parts_with_lengths(F.col(parts), distance).alias("_lines"))
+    lines = df.select(*keep, _parts_with_lengths(parts, distance).alias("_lines"))
     return _walk_segments(lines, keep, distance)
 
 
-def _parts_with_lengths(parts: Column, distance: int) -> Column:
-    """Per line part: vertices, running length, and the number of the part's first point."""
-    measured = F.transform(
-        F.filter(parts, lambda p: F.size(p) >= 2),
-        lambda p: F.struct(p.alias("v"), cumulative_lengths(p).alias("cum")),
+def _parts_with_lengths(parts: str, distance: int) -> Column:
+    """Per line part: vertices, running length, number of points and of points before it."""
+    measured = (
+        f"transform(filter({parts}, p -> size(p) >= 2), "
+        f"p -> named_struct('v', p, 'cum', {cumulative_lengths('p')}))"
     )
-    counted = F.transform(
-        measured,
-        lambda m: F.struct(m["v"].alias("v"), m["cum"].alias("cum"), _points_of(m["cum"], distance).alias("n")),
+    steps = f"floor(element_at(m.cum, -1) / {distance})"
+    points = f"{steps} + 1 + if({steps} * {distance} < element_at(m.cum, -1), 1, 0)"
+    counted = f"transform({measured}, m -> named_struct('v', m.v, 'cum', m.cum, 'n', {points}))"
+    part = "struct<v:array<struct<x:double,y:double>>,cum:array<double>,n:bigint,first:bigint>"
+    return F.expr(
+        f"aggregate({counted}, named_struct('n', 0L, 'l', cast(array() as array<{part}>)), "
+        "(acc, m) -> named_struct('n', acc.n + m.n, 'l', concat(acc.l, array("
+        "named_struct('v', m.v, 'cum', m.cum, 'n', m.n, 'first', acc.n)))), acc -> acc.l)"
     )
-    return F.aggregate(
-        counted,
-        F.expr(
-            "named_struct('n', 0L, 'l', cast(array() as array<struct<"
-            "v:array<struct<x:double,y:double>>,cum:array<double>,n:bigint,first:bigint>>))"
-        ),
-        lambda acc, m: F.struct(
-            (acc["n"] + m["n"]).alias("n"),
-            F.concat(
-                acc["l"],
-                F.array(
-                    F.struct(
-                        m["v"].alias("v"), m["cum"].alias("cum"), m["n"].alias("n"), acc["n"].alias("first")
-                    )
-                ),
-            ).alias("l"),
-        ),
-        lambda acc: acc["l"],
-    )
-
-
-def _points_of(cum: Column, distance: int) -> Column:
-    total = F.element_at(cum, -1)
-    steps = F.floor(total / distance)
-    return steps + 1 + F.when(steps * distance < total, 1).otherwise(0)
 
 
 def _walkable_lines(roads: Layer, order_by: str, distance: int) -> DataFrame:
     attributes = [c for c in ROAD_ATTRIBUTES if c in roads.df.columns]
-    parts = F.col("parts") if roads.kind == LINE else F.lit(None).cast("array<array<struct<x:double,y:double>>>")
+    parts = "parts" if roads.kind == LINE else f"cast(null as {PARTS_TYPE})"
     return roads.df.select(
         F.col(order_by).alias("_ord"), *attributes, _parts_with_lengths(parts, distance).alias("_lines")
-    ).withColumn(
-        "_n", F.coalesce(F.aggregate("_lines", F.lit(0).cast("long"), lambda acc, m: acc + m["n"]), F.lit(0))
-    )
+    ).withColumn("_n", F.expr("coalesce(aggregate(_lines, 0L, (acc, m) -> acc + m.n), 0L)"))
 
 
 def _number_roads(lines: DataFrame) -> DataFrame:
@@ -164,7 +142,7 @@ def _number_roads(lines: DataFrame) -> DataFrame:
     bounds are literals, so a recomputed task finds the same buckets.
     """
     bounds = _bucket_bounds(lines)
-    bucketed = lines.withColumn("_bucket", _bucket_of(F.col("_ord"), bounds))
+    bucketed = lines.withColumn("_bucket", _bucket_of("_ord", bounds))
     totals = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("roads"), F.sum("_n").alias("points"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(
@@ -192,9 +170,10 @@ def _number_roads(lines: DataFrame) -> DataFrame:
 
 def _bucket_bounds(lines: DataFrame) -> list[float]:
     """Quantiles of the order column: one mergeable aggregate, a bounded result."""
-    order = F.col("_ord").cast("double")
-    grid = [i / MAX_BUCKETS for i in range(1, MAX_BUCKETS)]
-    n, quantiles = lines.agg(F.count("_ord"), F.percentile_approx(order, grid, 10 * MAX_BUCKETS)).first()
+    # As text: one expression instead of a thousand columns.
+    grid = ", ".join(f"{i / MAX_BUCKETS}D" for i in range(1, MAX_BUCKETS))
+    quantile = F.expr(f"percentile_approx(cast(_ord as double), array({grid}), {10 * MAX_BUCKETS})")
+    n, quantiles = lines.agg(F.count("_ord"), quantile).first()
     wanted = min(MAX_BUCKETS, -(-(n or 0) // ROWS_PER_BUCKET))
     if wanted <= 1:
         return []
@@ -202,26 +181,19 @@ def _bucket_bounds(lines: DataFrame) -> list[float]:
     return sorted({quantiles[min(int(i * stride), MAX_BUCKETS - 1) - 1] for i in range(1, wanted)})
 
 
-def _bucket_of(order: Column, bounds: list[float]) -> Column:
+def _bucket_of(order: str, bounds: list[float]) -> Column:
     """How many bounds lie at or below the value, by halving the bounds."""
     if not bounds:
         return F.lit(0)
-    array = F.array(*[F.lit(b) for b in bounds])
-    value = order.cast("double")
-    # Invariant: answer in [lo, hi]; a fixed number of halvings closes it.
-    state = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
-
-    def halve(acc: Column, _: Column) -> Column:
-        mid = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
-        open_ = acc["lo"] < acc["hi"]
-        up = F.get(array, mid) <= value
-        return F.struct(
-            F.when(open_ & up, mid + 1).otherwise(acc["lo"]).alias("lo"),
-            F.when(open_ & ~up, mid).otherwise(acc["hi"]).alias("hi"),
-        )
-
-    rounds = F.sequence(F.lit(1), F.lit(len(bounds).bit_length()))
-    return F.aggregate(rounds, state, halve, lambda acc: acc["lo"])
+    listed = f"array({', '.join(f'{b!r}D' for b in bounds)})"
+    # The answer stays in [lo, hi]; a fixed number of halvings closes the interval.
+    mid = "cast((acc.lo + acc.hi) div 2 as int)"
+    return F.expr(
+        f"aggregate(sequence(1, {len(bounds).bit_length()}), named_struct('lo', 0, 'hi', {len(bounds)}), "
+        f"(acc, i) -> case when acc.lo >= acc.hi then acc "
+        f"when {listed}[{mid}] <= cast({order} as double) then named_struct('lo', {mid} + 1, 'hi', acc.hi) "
+        f"else named_struct('lo', acc.lo, 'hi', {mid}) end, acc -> acc.lo)"
+    )
 
 
 def _walk(numbered: DataFrame, distance: int) -> DataFrame:
@@ -239,53 +211,44 @@ def _walk_segments(lines: DataFrame, keep: list[str], distance: int) -> DataFram
     A segment owns the multiples of ``distance`` in (start, end] of its running length;
     the first one also owns 0, and the last one the end point if it is no multiple.
     """
-    segments = (
-        lines.select(*keep, F.explode("_lines").alias("_l"))
-        .select(
-            *keep,
-            F.col("_l.first").alias("_first"),
-            F.col("_l.n").alias("_n_part"),
-            F.element_at("_l.cum", -1).alias("_total"),
-            F.posexplode(
-                F.transform(
-                    F.sequence(F.lit(1), F.size("_l.v") - 1),
-                    lambda i: F.struct(
-                        F.get("_l.v", i - 1).alias("a"),
-                        F.get("_l.v", i).alias("b"),
-                        F.get("_l.cum", i - 1).alias("from"),
-                        F.get("_l.cum", i).alias("to"),
-                        (i == F.size("_l.v") - 1).alias("last"),
-                    ),
-                )
-            ).alias("_i", "_s"),
-        )
+    d, run = distance, POINTS_PER_RUN
+    segment = (
+        "named_struct('x1', _l.v[i - 1].x, 'y1', _l.v[i - 1].y, 'x2', _l.v[i].x, 'y2', _l.v[i].y, "
+        "'a', _l.cum[i - 1], 'b', _l.cum[i], 'first', i = 1, 'last', i = size(_l.v) - 1)"
     )
-    lowest = F.when(F.col("_i") == 0, F.lit(0).cast("long")).otherwise(F.floor(F.col("_s.from") / distance) + 1)
-    highest = F.floor(F.col("_s.to") / distance)
-    # One more step stands for the end point of the line.
-    ends = F.col("_s.last") & (F.floor(F.col("_total") / distance) * distance < F.col("_total"))
-    steps = segments.withColumns({"_lo": lowest, "_hi": highest + F.when(ends, 1).otherwise(0)}).where("_hi >= _lo")
-    n_runs = F.floor((F.col("_hi") - F.col("_lo")) / POINTS_PER_RUN)
-    runs = steps.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), n_runs)))
-    start = F.col("_lo") + F.col("_run") * POINTS_PER_RUN
-    stepped = runs.withColumn(
-        "_k", F.explode(F.sequence(start, F.least(F.col("_hi"), start + (POINTS_PER_RUN - 1))))
+    segments = lines.select(*keep, F.explode("_lines").alias("_l")).selectExpr(
+        *keep,
+        "_l.first as _before",
+        "element_at(_l.cum, -1) as _total",
+        f"explode(transform(sequence(1, size(_l.v) - 1), i -> {segment})) as _s",
     )
-    at = F.least(F.col("_k") * F.lit(float(distance)), F.col("_total"))
-    share = (at - F.col("_s.from")) / F.nullif(F.col("_s.to") - F.col("_s.from"), F.lit(0.0))
-
-    def along(axis: str) -> Column:
-        a, b = F.col(f"_s.a.{axis}"), F.col(f"_s.b.{axis}")
-        return F.when(share.isNull(), a).when(at >= F.col("_s.to"), b).otherwise(a + (b - a) * share)
+    # One more step stands for the end point of the line.
+    steps = segments.selectExpr(
+        *keep,
+        "_before",
+        "_total",
+        "_s",
+        f"if(_s.first, 0L, floor(_s.a / {d}) + 1) as _lo",
+        f"floor(_s.b / {d}) + if(_s.last and floor(_total / {d}) * {d} < _total, 1, 0) as _hi",
+    ).where("_hi >= _lo")
+    runs = steps.selectExpr("*", f"explode(sequence(0L, (_hi - _lo) div {run})) as _run")
+    stepped = runs.selectExpr(
+        "*", f"explode(sequence(_lo + _run * {run}, least(_hi, _lo + _run * {run} + {run - 1}))) as _k"
+    ).withColumn("_at", F.expr(f"least(_k * {float(d)}D, _total)"))
+
+    def along(axis: str) -> str:
+        a, b = f"_s.{axis}1", f"_s.{axis}2"
+        return (
+            f"case when _s.b <= _s.a then {a} when _at >= _s.b then {b} "
+            f"else {a} + ({b} - {a}) * ((_at - _s.a) / (_s.b - _s.a)) end as {axis}"
+        )
 
-    return stepped.select(
-        *keep, (F.col("_first") + F.col("_k")).cast("int").alias("POINT_SEQ"), along("x").alias("x"), along("y").alias("y")
-    )
+    return stepped.selectExpr(*keep, "cast(_before + _k as int) as POINT_SEQ", along("x"), along("y"))
 
 
 def create_point_buffers(
     points: Layer, buffer_distance_m: float = BUFFER_50M, quad_segs: int = QUAD_SEGS
 ) -> Layer:
     """Points replaced by their buffer polygons; joins never need this, exports do."""
-    df = points.df.withColumn("parts", buffer_polygon(F.col("x"), F.col("y"), buffer_distance_m, quad_segs))
+    df = points.df.withColumn("parts", buffer_polygon("x", "y", buffer_distance_m, quad_segs))
     return Layer(df.drop("x", "y"), kind=POLYGON, crs=points.crs)

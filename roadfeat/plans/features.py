@@ -73,11 +73,10 @@ class Feature:
         if self.shapes:
             return shape_targets(df, layer.kind, code, ident)
         if self.how == CATEGORIES:
-            listed = F.array(*[F.lit(v) for v in c.BUSINESS_CATEGORY_COLUMNS])
-            middle = F.array_position(listed, name("업종_중분류"))
-            major = F.array_position(listed, name("상권업종대분류명"))
-            at = F.when(middle > 0, middle).when(major > 0, major)
-            return point_targets(df.withColumn("_at", at.cast("int")).where("_at is not null"), F.lit(code) + F.col("_at"))
+            listed = ", ".join(f"'{v}'" for v in c.BUSINESS_CATEGORY_COLUMNS)
+            middle, major = (f"nullif(array_position(array({listed}), `{v}`), 0)" for v in ("업종_중분류", "상권업종대분류명"))
+            at = F.expr(f"{code} + coalesce({middle}, {major})").alias("_at")
+            return point_targets(df.select("x", "y", at).where("_at is not null"), F.col("_at"))
         if self.how == RISK:
             return point_targets(df, code, values=[name(v) for v in ("dprs_cnt", "sep_cnt", "slp_cnt")])
         if self.how == SUM:
@@ -86,19 +85,19 @@ class Feature:
         return point_targets(df, code, ident)
 
     def aggregates(self, layer: Layer, code: int) -> dict[str, Column]:
-        mine = F.col("_f") == code
-        n = F.sum(F.when(mine, F.col("_n")))
+        mine = f"_f = {code}"
+        n = F.expr(f"sum(if({mine}, _n, null))")
         if self.how == CATEGORIES:
             return self._category_counts(code)
         if self.how == RISK:
-            sums = {f"{self.output}_{i}": F.sum(F.when(mine, F.col(f"_v{i}"))) for i in (1, 2, 3)}
+            sums = {f"{self.output}_{i}": F.expr(f"sum(if({mine}, _v{i}, null))") for i in (1, 2, 3)}
             return {f"{self.output}_0": n, **sums}
         if self.how == SUM:
-            return {self.output: F.sum(F.when(mine, F.col("_v1")))}
+            return {self.output: F.expr(f"sum(if({mine}, _v1, null))")}
         if self.how == PRESENCE:
-            return {self.output: F.max(F.when(mine, F.lit(1)))}
+            return {self.output: F.expr(f"max(if({mine}, 1, null))")}
         if self.counts_ids(layer):
-            return {self.output: F.count_if(mine & F.col("_id").isNotNull())}
+            return {self.output: F.expr(f"count_if({mine} and _id is not null)")}
         return {self.output: n}
 
     def _category_counts(self, code: int) -> dict[str, Column]:
@@ -107,7 +106,7 @@ class Feature:
         for at, label in enumerate(listed, code + 1):
             # A shop carries its finest listed category; a major one sums up its own.
             own = [at] + [code + 1 + i for i, v in enumerate(listed) if v.startswith(label + "_")]
-            out[label] = F.sum(F.when(F.col("_f").isin(*own), F.col("_n")))
+            out[label] = F.expr(f"sum(if(_f in ({', '.join(map(str, own))}), _n, null))")
         return out
 
     def finish(self, df: DataFrame) -> DataFrame:
@@ -120,7 +119,7 @@ class Feature:
             return df.withColumn(self.output, risk.cast("double")).drop(*[f"{self.output}_{i}" for i in range(4)])
         if self.how == SUM:
             return df.withColumn(self.output, F.bround(F.coalesce(name(self.output), F.lit(0.0))).cast("long"))
-        return df.withColumns({o: F.coalesce(name(o), F.lit(0)).cast("long") for o in self.outputs()})
+        return df.withColumns({o: F.expr(f"cast(coalesce(`{o}`, 0) as bigint)") for o in self.outputs()})
 
 
 def _sum_points(source, **kw) -> Layer:
@@ -215,8 +214,8 @@ def add_proximity_features(
             columns: dict[str, Column] = {}
             for f, layer, code, _ in batch:
                 columns.update(f.aggregates(layer, code))
-            by_feature = any(f.counts_ids(layer) or f.how == CATEGORIES for f, layer, _, _ in batch)
-            result = attach(result, per_point(pairs, columns, by_feature))
+            by_feature = any(f.counts_ids(layer) or f.how == CATEGORIES or shapes for f, layer, _, _ in batch)
+            result = attach(result, per_point(pairs, columns, by_feature, shapes))
             for f, _, _, _ in batch:
                 result = f.finish(result)
     return result

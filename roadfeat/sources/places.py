@@ -313,7 +313,7 @@ def load_pedestrian_priority_roads(source, diagnostics: Diagnostics | None = Non
         {"rows": F.count(F.lit(1)), "in_scope": F.count_if("_scope"), "used": F.count_if("_ok")},
     )
     kept = df.where("_ok").drop("_scope", "_ok")
-    line = two_point_line(name(lon1), name(lat1), name(lon2), name(lat2))
+    line = two_point_line(*[f"`{n}`" for n in (lon1, lat1, lon2, lat2)])
     return _numbered(Layer(kept.withColumn("parts", line), LINE, LONLAT_CRS), "보행자우선도로ID")
 
 
