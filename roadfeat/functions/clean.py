@@ -82,25 +82,22 @@ def in_city_range(lat: str, lon: str) -> Column:
 
 
 def canonical_ids(df: DataFrame, column: str, id_type: str = "infer") -> DataFrame:
-    """Make equal ids equal as text.
+    """Make equal ids of an untyped text column equal as text.
 
-    In an all-number id column ``007`` and ``7`` are one id. A typed column says so
-    itself; for untyped text ``infer`` takes one pass over that column, ``string``
-    and ``long`` take none.
+    In an all-number id column ``007`` and ``7`` are one id. ``infer`` finds out whether
+    it is one, in a pass over that column; ``string`` and ``long`` take no pass.
     """
     if id_type not in ("infer", "string", "long"):
         raise ValueError(f"unknown id_type {id_type!r}")
-    is_text = df.schema[column].dataType.typeName() == "string"
-    if id_type == "infer" and is_text:
+    if id_type == "infer":
         numeric = df.agg(F.every(name(column).isNull() | name(column).rlike(DECIMAL_PATTERN))).first()[0]
         id_type = "long" if numeric else "string"
-    if id_type == "long" and is_text:
-        value = F.trim(name(column))
-        # Whole numbers keep every digit; other decimals compare as doubles.
-        whole = value.try_cast("decimal(38,0)")
-        exact = F.when(value.rlike(r"^[+-]?[0-9]{1,38}$"), whole.cast("string"))
-        return df.withColumn(column, F.coalesce(exact, whole_or_double(value)))
-    return df.withColumn(column, name(column).cast("string"))
+    if id_type == "string":
+        return df
+    value = F.trim(name(column))
+    # Whole numbers keep every digit; other decimals compare as doubles.
+    whole = F.when(value.rlike(r"^[+-]?[0-9]{1,38}$"), value.try_cast("decimal(38,0)").cast("string"))
+    return df.withColumn(column, F.coalesce(whole, whole_or_double(value)))
 
 
 def whole_or_double(value: Column) -> Column:

@@ -19,12 +19,14 @@ class Layer:
     ``parts`` is ``array<array<struct<x: double, y: double>>>``. The coordinate
     system belongs to the whole layer, so it is no column. ``size_bound`` may name
     a frame that has at least as many rows as ``df``, for the join's size check.
+    ``stored`` says that ``df`` is read from storage, so reading it again is cheap.
     """
 
     df: DataFrame
     kind: str = POINT
     crs: int | None = PROJECT_CRS
     size_bound: DataFrame | None = None
+    stored: bool = False
 
     def to_crs(self, target: int) -> "Layer":
         if self.crs is None or self.crs == target:
@@ -33,7 +35,7 @@ class Layer:
             df = crs_fn.project_points(self.df, "x", "y", self.crs, target)
         else:
             df = self.df.withColumn("parts", crs_fn.project_parts("parts", self.crs, target))
-        return replace(self, df=df, crs=target)
+        return replace(self, df=df, crs=target, stored=False)
 
     def drop_empty(self) -> "Layer":
         """Keep the rows that have a geometry."""

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from roadfeat.functions.clean import name
 from roadfeat.functions.crs import project_points, project_scalar
 from roadfeat.layer import Layer
 from roadfeat.operators.nearest import nearest_line
+from roadfeat.operators.storage import materialize
 from roadfeat.operators.proximity import (
     Pairs,
     broadcast_limit,
@@ -56,7 +58,6 @@ class Feature:
     value: str | None = None
     copies: str | None = None
     shapes: bool = False
-    id_type: str = "infer"
 
     def outputs(self) -> list[str]:
         return list(c.BUSINESS_CATEGORY_COLUMNS) if self.how == CATEGORIES else [self.output]
@@ -68,7 +69,6 @@ class Feature:
     def targets(self, layer: Layer, code: int) -> DataFrame:
         df, ident = layer.df, None
         if self.counts_ids(layer):
-            df = clean.canonical_ids(df, self.ident, self.id_type)
             ident = name(self.ident)
         if self.shapes:
             return shape_targets(df, layer.kind, code, ident)
@@ -202,9 +202,7 @@ def add_proximity_features(
         coded = [(f, layer, i * CODES_PER_FEATURE) for i, (f, layer) in enumerate(members)]
         framed = [(f, layer, code, f.targets(layer, code)) for f, layer, code in coded]
         for batch, is_small in _by_size(framed, small):
-            targets = batch[0][3]
-            for _, _, _, more in batch[1:]:
-                targets = targets.unionByName(more)
+            targets = reduce(DataFrame.unionByName, [item[3] for item in batch])
             near = near_shapes if shapes else near_points
             pairs = near(points.df, targets, radius, quad_segs, is_small)
             if diagnostics is not None:
@@ -230,6 +228,11 @@ def _by_size(framed: list, small: bool | None):
     if small is not None or not framed:
         return [(framed, small)]
     room = broadcast_limit(framed[0][3])
+    unbounded = [item[3] for item in framed if item[1].size_bound is None]
+    bounds = [item[1].size_bound for item in framed if item[1].size_bound is not None]
+    together = [reduce(DataFrame.unionByName, unbounded)] if unbounded else []
+    if sum(estimated_bytes(df) for df in together + bounds) <= room:
+        return [(framed, True)]
     sized = sorted(
         ((estimated_bytes(item[1].size_bound if item[1].size_bound is not None else item[3]), i, item)
          for i, item in enumerate(framed)),
@@ -249,18 +252,27 @@ def add_speed_limit(final_df: DataFrame, points: Layer, nodelink, output_col: st
     """``MAX_SPD`` of the nearest link; ties go to the smallest ``LINK_ID``."""
     links = places.load_links(nodelink)
     clean.require_columns(links.df, ["LINK_ID", "MAX_SPD"], "links")
-    box = points.df.agg(F.min("x"), F.min("y"), F.max("x"), F.max("y")).first()
-    if box[0] is not None:
-        links = within_box(links, _link_box(box, points.crs, links.crs))
+    points = store_points(points)
+    box = points.df.selectExpr("min(x)", "min(y)", "max(x)", "max(y)").first()
+    if box[0] is None:
+        return attach(final_df, points.df.selectExpr(POINT_ID, f"cast(null as bigint) as `{output_col}`"))
+    links = within_box(links, _link_box(box, points.crs, links.crs))
     usable = clean.with_numbers(links.df, ["MAX_SPD"]).where(name("MAX_SPD").isNotNull())
-    links = Layer(usable, links.kind, links.crs).drop_empty().to_crs(points.crs)
-    if links.df.isEmpty():
+    links = replace(links, df=usable).drop_empty().to_crs(points.crs)
+    speeds = nearest_line(points.df, links.df, "LINK_ID", "MAX_SPD", tuple(box))
+    if speeds is None:
         raise ValueError(f"no link around the points of {c.TARGET_REGION_NAME}")
-    speeds = nearest_line(points.df, links.df, "LINK_ID", "MAX_SPD")
     limit = F.bround("MAX_SPD").cast("long").alias(output_col)
     return attach(final_df, speeds.select(POINT_ID, limit))
 
 
+def store_points(points: Layer) -> Layer:
+    """Id and place of the points, written once; they are read by every join."""
+    if points.stored:
+        return points
+    return Layer(materialize(points.df.select(POINT_ID, "x", "y")), crs=points.crs, stored=True)
+
+
 def _link_box(box, source: int, target: int) -> tuple[float, float, float, float]:
     xmin, ymin, xmax, ymax = box
     corners = [project_scalar(x, y, source, target) for x in (xmin, xmax) for y in (ymin, ymax)]

@@ -30,7 +30,7 @@ from roadfeat.sources.shapefile import (
     read_shapefile,
     _sibling,
 )
-from roadfeat.sources.tables import read_layer, read_table
+from roadfeat.sources.tables import is_text_file, read_layer, read_table
 
 
 @dataclass(frozen=True)
@@ -49,14 +49,22 @@ class PointSource:
     only: tuple[tuple[str, str, bool, bool], ...] = field(default=())
     repair_swapped: bool = False
     in_city: bool = False
+    ident: str | None = None
 
 
-def load_points(spec: PointSource, source, diagnostics: Diagnostics | None = None) -> Layer:
-    """Read, coerce, repair and filter; adds ``x, y`` in the source's coordinate system."""
+def load_points(
+    spec: PointSource, source, diagnostics: Diagnostics | None = None, id_type: str = "infer"
+) -> Layer:
+    """Read, coerce, repair and filter; adds ``x, y`` in the source's coordinate system.
+
+    ``id_type`` says how the ids of a CSV file compare; typed tables say it themselves.
+    """
     if isinstance(source, Layer):
         return source
     needed = dict.fromkeys([*spec.required, spec.x, spec.y, *spec.numbers])
     df = read_table(source, needed, spec.optional, spec.encoding, what=spec.what)
+    if spec.ident is not None and is_text_file(source):
+        df = clean.canonical_ids(df, spec.ident, id_type)
     in_scope = F.lit(True)
     for column, value, trim, equal in spec.only:
         if column in df.columns:
@@ -115,6 +123,7 @@ WELFARE = PointSource(
     required=("시설ID",),
     optional=("지오코딩상태",),
     only=(("지오코딩상태", "OK", False, True),),
+    ident="시설ID",
 )
 BUS_STOPS = PointSource(
     "bus stops",
@@ -122,6 +131,7 @@ BUS_STOPS = PointSource(
     "Y좌표",
     required=("NODE_ID", "정류소타입"),
     only=(("정류소타입", "가상정류장", True, False),),
+    ident="NODE_ID",
 )
 SUBWAY = PointSource(
     "subway stations",
@@ -130,6 +140,7 @@ SUBWAY = PointSource(
     encoding="cp949",
     required=("고유역번호(외부역코드)",),
     not_null=("고유역번호(외부역코드)",),
+    ident="고유역번호(외부역코드)",
 )
 STREETLIGHTS = PointSource(
     "streetlights",
@@ -140,6 +151,7 @@ STREETLIGHTS = PointSource(
     not_null=("관리번호",),
     repair_swapped=True,
     in_city=True,
+    ident="관리번호",
 )
 CCTV = PointSource(
     "cctv",
@@ -162,6 +174,7 @@ PARKING = PointSource(
     not_null=("주차장코드",),
     repair_swapped=True,
     in_city=True,
+    ident="주차장코드",
 )
 PROTECTION_ZONES = PointSource(
     "protection zones",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,18 +42,25 @@ def read_table(
         df = source
     else:
         path = os.fspath(source)
-        file_format = file_format or os.path.splitext(path.rstrip("/"))[1].lstrip(".").lower() or "parquet"
         reader = active_session().read
-        if file_format in ("csv", "tsv", "txt"):
-            df = reader.csv(path, header=True, encoding=encoding, sep="\t" if file_format == "tsv" else ",",
-                            quote='"', escape='"', multiLine=False)
+        if is_text_file(source, file_format):
+            df = reader.csv(path, header=True, encoding=encoding, quote='"', escape='"')
         else:
-            df = reader.format(file_format).load(path)
+            df = reader.format(file_format or _suffix(source) or "parquet").load(path)
     required = list(required)
     require_columns(df, required, what)
     wanted = required + [c for c in optional if c in df.columns and c not in required]
     df = df.select(*[name(c) for c in wanted]) if wanted else df
-    return df if isinstance(source, DataFrame) else normalize_na(df)
+    return normalize_na(df) if is_text_file(source, file_format) else df
+
+
+def _suffix(source: Source) -> str:
+    return os.path.splitext(os.fspath(source).rstrip("/"))[1].lstrip(".").lower()
+
+
+def is_text_file(source: Source, file_format: str | None = None) -> bool:
+    """Whether a source is a CSV file, whose columns have no types of their own."""
+    return isinstance(source, (str, os.PathLike)) and (file_format or _suffix(source)) == "csv"
 
 
 def read_layer(
@@ -88,7 +96,7 @@ def read_layer(
         df = df.select(*[name(c) for c in df.columns if c in set(columns) | set(geometry) | set(extra)])
     if layer.kind == POLYGON:
         df = df.withColumn("parts", close_rings("parts"))
-    return Layer(df, layer.kind, layer.crs, layer.size_bound)
+    return replace(layer, df=df)
 
 
 def ingest_layer(layer: Layer, path: str, tile_m: float = 5_000.0, mode: str = "errorifexists") -> None:
@@ -124,7 +132,7 @@ def within_box(layer: Layer, box: tuple[float, float, float, float]) -> Layer:
             .where("xmax >= %r and xmin <= %r and ymax >= %r and ymin <= %r" % (xmin, xmax, ymin, ymax))
             .drop(*added)
         )
-    return Layer(kept, layer.kind, layer.crs, layer.size_bound)
+    return replace(layer, df=kept)
 
 
 def write_table(df: DataFrame, path: str, file_format: str = "parquet", mode: str = "overwrite") -> None:
