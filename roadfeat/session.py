@@ -14,6 +14,8 @@ DEFAULTS = {
     # Parquet sizes on disk understate what a broadcast holds in memory; the
     # planner's size checks work on this multiple of the file size.
     "spark.sql.sources.fileCompressionFactor": "3.0",
+    # Largest table, by the planner's estimate, that is sent to every task.
+    "spark.sql.autoBroadcastJoinThreshold": "64MB",
     "spark.ui.enabled": "false",
 }
 
