@@ -390,9 +390,8 @@ def _population_files(folder: str, source_crs: int) -> Layer:
     from roadfeat.sources.tables import active_session
 
     spark = active_session()
-    try:
-        paths = find_shapefiles(folder)
-    except FileNotFoundError:
+    paths = find_shapefiles(folder)
+    if not paths:
         files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(folder)
         return Layer(files.withColumn(SOURCE_FILE, F.col("_metadata.file_path")), POLYGON, source_crs)
     by_crs: dict[int, list[str]] = {}

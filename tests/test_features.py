@@ -23,6 +23,7 @@ def ids(layer):
 
 
 def marks(spark, rows):
+    rows = [(i, float(x), float(y)) for i, x, y in rows]
     return Layer(spark.createDataFrame(rows, "MGRNU string, x double, y double"), POINT)
 
 
