@@ -8,6 +8,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split skewed partitions also where that costs the aggregation above another shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Lets the CSV reader decode cp949 / euc-kr.
     "spark.sql.legacy.javaCharsets": "true",
     "spark.sql.session.timeZone": "UTC",
