@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadfeat.llm.mixing import mix
+from roadfeat.llm.packing import pack
 from roadfeat.llm.quality import quality_scores
 from roadfeat.llm.simhash import simhash_groups
+from roadfeat.llm.token_shards import shard_digests, write_token_shards
 
 #: A document is predicted to be good from this score.
 GOOD_FROM = 0.3
@@ -18,6 +21,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer(name: str) -> str:
+    """Path of a public tokenizer file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Start, length and checksum of every document's ids, read back from the shards by key."""
+    docs = table(spark, sf_dir, "documents")
+    return shard_digests(write_token_shards(docs, tokenizer("byte_bpe_50k.json"), end_id=0))
+
+
+def op3_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document and the sequence it fills."""
+    return pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=2).drop("ids")
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    return mix(table(spark, sf_dir, "documents")).digest()
+
+
 def op9_quadratic_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     scored = quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -31,6 +57,9 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_shards": op1_token_shards,
+    "op3_binary_packing": op3_binary_packing,
+    "op6_mixing": op6_mixing,
     "op9_quadratic_discriminant": op9_quadratic_discriminant,
     "op10_simhash_dedup": op10_simhash_dedup,
 }
