@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadfeat.llm import line_rules as rules
+from roadfeat.llm.language import languages
 from roadfeat.llm.mixing import mix
 from roadfeat.llm.packing import pack
 from roadfeat.llm.quality import quality_scores
@@ -39,11 +41,21 @@ def op3_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=2).drop("ids")
 
 
+def op4_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict of every document."""
+    return rules.line_rules(table(spark, sf_dir, "documents")).drop("text_hash", "n_removed_words", "removed_lines")
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     return mix(table(spark, sf_dir, "documents")).digest()
 
 
+def op7_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    return languages(table(spark, sf_dir, "documents"))
+
+
 def op9_quadratic_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     scored = quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -59,8 +71,10 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_shards": op1_token_shards,
     "op3_binary_packing": op3_binary_packing,
+    "op4_line_frequency": op4_line_frequency,
     "op6_mixing": op6_mixing,
+    "op7_rank_order_language": op7_rank_order_language,
     "op9_quadratic_discriminant": op9_quadratic_discriminant,
     "op10_simhash_dedup": op10_simhash_dedup,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_line_frequency": rules.ORACLE}
