@@ -13,6 +13,7 @@ from roadfeat.llm.mixing import mix
 from roadfeat.llm.packing import pack
 from roadfeat.llm.quality import quality_scores
 from roadfeat.llm.simhash import simhash_groups
+from roadfeat.llm.suffix_dedup import suffix_dedup
 from roadfeat.llm.token_shards import shard_digests, write_token_shards
 
 #: A document is predicted to be good from this score.
@@ -56,6 +57,11 @@ def op7_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages(table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document loses to strings that occur twice."""
+    return suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 def op9_quadratic_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     scored = quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -74,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_frequency": op4_line_frequency,
     "op6_mixing": op6_mixing,
     "op7_rank_order_language": op7_rank_order_language,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_quadratic_discriminant": op9_quadratic_discriminant,
     "op10_simhash_dedup": op10_simhash_dedup,
 }
