@@ -33,8 +33,9 @@ def _pieces(tokenizer: str, end_id: int, longest: int):
             for at in range(0, whole.num_rows, 1000):
                 batch = whole.slice(at, 1000)
                 rows = []
-                for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
-                    raw = np.frombuffer(encode(text.as_py()) + end, encode.dtype)
+                texts = encode.many(t.as_py() for t in batch["text"])
+                for doc, found in zip(batch["doc_id"].to_pylist(), texts, strict=True):
+                    raw = np.frombuffer(found + end, encode.dtype)
                     wide, start = raw.astype("<u4").tobytes(), 0
                     for n in binary_lengths(len(raw), longest):
                         crc = zlib.crc32(wide[4 * start : 4 * (start + n)])

@@ -98,8 +98,9 @@ def _write(path: str, tokenizer: str, end_id: int):
         with files.open_output_stream(draft) as out:
             for batch in batches:
                 offsets, counts, copies = [], [], []
-                for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
-                    ids = encode(text.as_py()) + end
+                texts = encode.many(t.as_py() for t in batch["text"])
+                for doc, ids in zip(batch["doc_id"].to_pylist(), texts, strict=True):
+                    ids += end
                     out.write(ids)
                     copy, last = copy + 1 if doc == last else 0, doc
                     offsets.append(at)

@@ -3,38 +3,59 @@
 from __future__ import annotations
 
 import os
-import re
+
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
 #: Words whose ids a worker remembers before it starts afresh; memory only, results do not depend on it.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
+#: Longest word that is remembered, and characters of texts whose new words are encoded in one call.
+WORD_CHARS, AT_ONCE = 64, 1 << 22
+
 
+class _NotPlain(Exception):
+    """A text that cannot be split at every blank and line feed."""
 
-class _Remembered(dict):
-    """Ids of short texts, asked of the tokenizer when first seen."""
 
-    def __init__(self, encode, prefix: str):
+class _Words(dict):
+    """Ids of words; ``learn`` asks the tokenizer for many at once, a look-up for a single one."""
+
+    def __init__(self, encode, dtype: np.dtype, prefix: str, mark: str, edges: bool):
         super().__init__()
-        self.encode, self.prefix = encode, prefix
+        self.encode, self.dtype, self.prefix, self.edges = encode, dtype, prefix, edges
+        self.mark = mark
+        (self.mark_id,) = encode(mark)
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= REMEMBERED:
+        if self.edges and (not word or word[0].isspace() or word[-1].isspace()):
+            raise _NotPlain
+        return np.array(self.encode(self.prefix + word), self.dtype).tobytes()
+
+    def learn(self, words: set[str]) -> None:
+        """Encode the new words in one text, with a mark between them that stays a token of its own."""
+        if len(self) > REMEMBERED:
             self.clear()
-        ids = self.encode(self.prefix + word)
-        if len(word) <= 64:
-            self[word] = ids
-        return ids
+        mark = self.mark.strip(" ")
+        new = [w for w in words.difference(self) if 0 < len(w) <= WORD_CHARS and mark not in w and not (w[0].isspace() or w[-1].isspace())]
+        if new:
+            ids = np.array(self.encode(self.mark.join([self.prefix + w for w in new])), self.dtype)
+            ends = [*np.flatnonzero(ids == self.mark_id).tolist(), len(ids)]
+            if len(ends) == len(new):
+                raw, size, at = ids.tobytes(), self.dtype.itemsize, 0
+                for word, end in zip(new, ends, strict=True):
+                    self[word] = raw[at * size : end * size]
+                    at = end + 1
 
 
 class Encoder:
     """Little-endian ids of whole texts, equal to the tokenizer's own ``encode`` without special tokens added.
 
-    Both vocabularies split a text at white space before they merge: ``byte_bpe`` joins a single space to
+    Both vocabularies split a text at white space before they merge: ``byte_bpe`` joins a single blank to
     the word after it, ``word_bpe`` drops white space. So the ids of a text are those of its words in a
-    row, and each word is encoded once by the tokenizer and remembered. Texts in which this is not
-    plain (runs of white space, other white space than blank and line feed) are encoded as a whole.
-    ``tests/llm/test_tokens.py`` compares both ways.
+    row, and each word is encoded by the tokenizer once and remembered. Texts in which a blank or line feed is
+    beside other white space or at an end are encoded as a whole by ``byte_bpe``, where runs of
+    white space are tokens. ``tests/llm/test_tokens.py`` compares both ways.
     """
 
     def __init__(self, path: str):
@@ -43,27 +64,54 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.spaces = bool(self.whole(" "))
-        self.bare, self.spaced = _Remembered(self.whole, ""), _Remembered(self.whole, " ")
-        self.odd = re.compile(r"\s\s|^\s|\s$|[^\S \n]" if self.spaces else r"[^\S \n\t\r]")
         self.line_feed = self.whole("\n")
+        spaces = bool(self.line_feed)
+        mark = "\n" if spaces else " ~ "
+        self.bare = _Words(self.ids, self.dtype, "", mark, spaces)
+        self.spaced = _Words(self.ids, self.dtype, " ", mark, spaces) if spaces else self.bare
 
-    def whole(self, text: str) -> bytes:
+    def ids(self, text: str) -> list[int]:
         (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
-        return np.array(found.ids, self.dtype).tobytes()
-
-    def __call__(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if self.odd.search(text):
-            return self.whole(text)
-        if not self.spaces:
-            return b"".join(map(self.bare.__getitem__, text.split()))
-        lines = []
-        for line in text.split("\n"):
-            first, *rest = line.split(" ")
-            lines.append(self.bare[first] + b"".join(map(self.spaced.__getitem__, rest)))
-        return self.line_feed.join(lines)
+        return found.ids
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.ids(text), self.dtype).tobytes()
+
+    def __call__(self, text: str | None) -> bytes:
+        return next(self.many([text]))
+
+    def many(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """The ids of each text in turn."""
+        held: list[str] = []
+        size = 0
+        for text in texts:
+            held.append(text or "")
+            size += len(held[-1])
+            if size >= AT_ONCE:
+                yield from self._some(held)
+                held, size = [], 0
+        yield from self._some(held)
+
+    def _some(self, texts: list[str]) -> Iterator[bytes]:
+        # word_bpe lower-cases after composing characters; A-Z can be lower-cased first.
+        lower = [t.encode().lower().decode() for t in texts] if self.spaced is self.bare else texts
+        split = [[line.split(" ") for line in text.split("\n")] for text in lower]
+        first, rest = set(), set()
+        for lines in split:
+            for line in lines:
+                first.add(line[0])
+                rest.update(line[1:])
+        self.bare.learn(first)
+        self.spaced.learn(rest)
+        spaced = self.spaced.__getitem__
+        for text, lines in zip(texts, split, strict=True):
+            if not text:
+                yield b""
+                continue
+            try:
+                yield self.line_feed.join([self.bare[line[0]] + b"".join(map(spaced, line[1:])) for line in lines])
+            except _NotPlain:
+                yield self.whole(text)
 
 
 _encoders: dict[str, Encoder] = {}

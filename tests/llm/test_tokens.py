@@ -22,9 +22,12 @@ def test_encoder_equals_the_tokenizer(path):
     rng = random.Random(3)
     alphabet = ["a", "B", "é", "'s", " ", " ", "\n", "1", "!!", "ing", "\t", " ", "Σ", "|"]
     made = ["".join(rng.choices(alphabet, k=rng.randrange(1, 40))) for _ in range(400)]
-    for text in TEXTS + made:
+    texts = [*TEXTS, *made, "~", "a~b ~ ~~", "é" * 100 + " " + "ab" * 90]
+    together = list(Encoder(path).many(texts))
+    for text, ids in zip(texts, together, strict=True):
         want = plain.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(encode(text), encode.dtype).tolist() == want, text
+        assert np.frombuffer(ids, encode.dtype).tolist() == want, text
 
 
 def test_perfect_hash_is_minimal_and_survives_a_dump():
