@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadfeat.llm import embedding_dedup as graph
 from roadfeat.llm import line_rules as rules
 from roadfeat.llm.language import languages
+from roadfeat.llm.lm_scoring import loss_differences
 from roadfeat.llm.mixing import mix
 from roadfeat.llm.packing import pack
 from roadfeat.llm.quality import quality_scores
@@ -37,6 +39,11 @@ def op1_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_digests(write_token_shards(docs, tokenizer("byte_bpe_50k.json"), end_id=0))
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and near-duplicate group of every vector."""
+    return graph.embedding_groups(table(spark, sf_dir, "embeddings"), least=0.98)
+
+
 def op3_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document and the sequence it fills."""
     return pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=2).drop("ids")
@@ -47,6 +54,12 @@ def op4_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.line_rules(table(spark, sf_dir, "documents")).drop("text_hash", "n_removed_words", "removed_lines")
 
 
+def op5_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much more every document is like those labelled good than like all."""
+    good = table(spark, sf_dir, "labels").where("quality = 1")
+    return loss_differences(table(spark, sf_dir, "documents"), good)
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     return mix(table(spark, sf_dir, "documents")).digest()
@@ -76,12 +89,14 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_shards": op1_token_shards,
+    "op2_embedding_dedup": op2_embedding_dedup,
     "op3_binary_packing": op3_binary_packing,
     "op4_line_frequency": op4_line_frequency,
+    "op5_cross_entropy": op5_cross_entropy,
     "op6_mixing": op6_mixing,
     "op7_rank_order_language": op7_rank_order_language,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_quadratic_discriminant": op9_quadratic_discriminant,
     "op10_simhash_dedup": op10_simhash_dedup,
 }
-ORACLES: dict[str, str] = {"op4_line_frequency": rules.ORACLE}
+ORACLES: dict[str, str] = {"op2_embedding_dedup": graph.ORACLE, "op4_line_frequency": rules.ORACLE}
