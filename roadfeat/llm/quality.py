@@ -146,17 +146,35 @@ def held_out(doc_id: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % 5 == 0
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``(doc_id, held_out, score)`` of every row; labels teach only where ``held_out`` is false.
+def quality_model(stats: DataFrame, labels: DataFrame) -> Discriminant:
+    """The discriminant fitted on all labelled rows that are not held out.
 
-    Null and empty texts have the statistics of an empty text and a score like any other. Labels that are null or
-    neither 0 nor 1 are ignored; a document with several labels takes the lowest.
+    Labels that are null or neither 0 nor 1 are ignored; a document with several labels takes the lowest.
     """
-    stats = document_statistics(docs)
     known = (
         labels.where("quality in (0, 1)")
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg(F.min("quality").cast("long").alias("y"))
     )
-    model = fit(stats.where(~held_out()).join(known, "doc_id"))
-    return score(stats, model).select("doc_id", held_out().alias("held_out"), "score")
+    return fit(stats.where(~held_out()).join(known, "doc_id"))
+
+
+def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``(doc_id, held_out, score)`` of every row; labels teach only where ``held_out`` is false.
+
+    Null and empty texts have the statistics of an empty text and a score like any other; repeated rows are scored each.
+    """
+    stats = document_statistics(docs)
+    return score(stats, quality_model(stats, labels)).select("doc_id", held_out().alias("held_out"), "score")
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, least: float) -> DataFrame:
+    """The rows of ``docs`` with a score of at least ``least``; texts are scored where they are read, nothing is shuffled."""
+    model, at = quality_model(document_statistics(docs), labels), docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.array([statistics(t.as_py()) for t in batch.column(at).cast(pa.binary())]).reshape(-1, len(STATISTICS))
+            yield batch.filter(pa.array(model.scores(x) >= least, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -52,7 +52,7 @@ def _fingerprints(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = np.array([fingerprint(t.as_py(), width) for t in batch["text"]], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(prints)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["text_hash"], pa.array(prints)], ["doc_id", "text_hash", "fp"])
 
     return run
 
@@ -201,10 +201,39 @@ def simhash_groups(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFram
     so thousands of copies cost one comparison. Repeated rows stay; a row whose doc_id is null has the
     smallest non-null doc_id of its group as component (null if there is none).
     """
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    prints = store(base.mapInArrow(_fingerprints(width), "doc_id long, fp long"), "simhash-prints")
-    nodes = store(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-nodes")
-    roots = components(link_fingerprints(nodes, radius)).select(F.col("node").alias("fp"), "component")
-    named = nodes.join(roots, "fp", "left").select("fp", "low", F.coalesce("component", "fp").alias("root"))
+    prints, named = _prints_and_roots(docs, width, radius)
     lows = named.groupBy("root").agg(F.min("low").alias("component_id"))
     return prints.join(named.join(lows, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+
+
+def _prints_and_roots(docs: DataFrame, width: int, radius: int) -> tuple[DataFrame, DataFrame]:
+    """Rows ``(doc_id, text_hash, fp)``, and the different fingerprints ``(fp, low, root)`` with their smallest doc_id and the
+    fingerprint that names their group."""
+    text = F.col("text")
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.cast("binary").alias("text"))
+    prints = store(base.mapInArrow(_fingerprints(width), "doc_id long, text_hash long, fp long"), "simhash-prints")
+    nodes = store(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-nodes")
+    roots = components(link_fingerprints(nodes, radius)).select(F.col("node").alias("fp"), "component")
+    return prints, nodes.join(roots, "fp", "left").select("fp", "low", F.coalesce("component", "fp").alias("root"))
+
+
+def one_of_each_group(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each group the row of the smallest doc_id stays, null last, then of the
+    smallest text hash; of rows with equal doc_id and text one stays."""
+    prints, named = _prints_and_roots(docs, width, radius)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash"))
+    chosen = prints.join(named.select("fp", "root"), "fp").groupBy("root").agg(first.alias("x")).select("x.doc_id", "x.text_hash")
+    rows = prints.groupBy("doc_id", "text_hash").agg(F.count("*").alias("rows"))
+    same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.text_hash") == F.col("b.text_hash"))
+    chosen = store(chosen.alias("a").join(rows.alias("b"), same).select("a.doc_id", "a.text_hash", "rows"), "simhash-chosen")
+    named_docs = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    doc_id, text = (F.col(f"c{docs.columns.index(c)}") for c in ("doc_id", "text"))
+
+    def among(ids: DataFrame) -> DataFrame:
+        return named_docs.join(ids, doc_id.cast("long").eqNullSafe(ids.doc_id) & (F.xxhash64(text) == ids.text_hash), "left_semi")
+
+    kept = among(chosen.where("rows = 1"))
+    repeated = chosen.where("rows > 1")
+    if not repeated.isEmpty():
+        kept = kept.union(among(repeated).dropDuplicates([f"c{docs.columns.index(c)}" for c in ("doc_id", "text")]))
+    return kept.toDF(*docs.columns)
