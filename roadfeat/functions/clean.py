@@ -58,8 +58,20 @@ def with_numbers(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.withColumns({c: to_number(name(c), types[c]) for c in columns})
 
 
+# White space as text libraries strip it, beyond the blank: controls, no-break and wide spaces.
+WHITE_SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+
+
 def trimmed(col: Column) -> Column:
-    return F.trim(col.cast("string"))
+    """Text without white space of any kind at its ends."""
+    return F.regexp_replace(col.cast("string"), f"^{WHITE_SPACE}|{WHITE_SPACE}$", "")
+
+
+def to_long(col: Column) -> Column:
+    """Whole number of an id; text keeps every digit, other numbers lose their fraction."""
+    text = trimmed(col)
+    whole = F.when(text.rlike(r"^[+-]?[0-9]{1,19}$"), text.try_cast("long"))
+    return F.coalesce(whole, to_number(col).try_cast("long"))
 
 
 def swap_lat_lon(df: DataFrame, lat: str, lon: str) -> DataFrame:
@@ -94,7 +106,7 @@ def canonical_ids(df: DataFrame, column: str, id_type: str = "infer") -> DataFra
         id_type = "long" if numeric else "string"
     if id_type == "string":
         return df
-    value = F.trim(name(column))
+    value = trimmed(name(column))
     # Whole numbers keep every digit; other decimals compare as doubles.
     whole = F.when(value.rlike(r"^[+-]?[0-9]{1,38}$"), value.try_cast("decimal(38,0)").cast("string"))
     return df.withColumn(column, F.coalesce(whole, whole_or_double(value)))

@@ -69,7 +69,15 @@ class Projection:
 # EPSG registry parameters.
 PROJECTIONS = {
     5179: Projection(127.5, 38.0, 0.9996, 1_000_000.0, 2_000_000.0),
+    5180: Projection(125.0, 38.0, 1.0, 200_000.0, 500_000.0),
+    5181: Projection(127.0, 38.0, 1.0, 200_000.0, 500_000.0),
+    5182: Projection(127.0, 38.0, 1.0, 200_000.0, 550_000.0),
+    5183: Projection(129.0, 38.0, 1.0, 200_000.0, 500_000.0),
+    5184: Projection(131.0, 38.0, 1.0, 200_000.0, 500_000.0),
+    5185: Projection(125.0, 38.0, 1.0, 200_000.0, 600_000.0),
     5186: Projection(127.0, 38.0, 1.0, 200_000.0, 600_000.0),
+    5187: Projection(129.0, 38.0, 1.0, 200_000.0, 600_000.0),
+    5188: Projection(131.0, 38.0, 1.0, 200_000.0, 600_000.0),
 }
 
 

@@ -174,27 +174,42 @@ def segment_meets_buffer(
 def representative_point(parts: str) -> Column:
     """A point inside a polygon: the middle of the widest cut at half height.
 
-    The cut lies midway between the vertex heights next below and above the middle
-    of the bounding box, so it meets no vertex. For a rectangle it is the centre. A
-    polygon without height has no cut; its first vertex stands for it.
+    The cut of a part (an outer ring and its holes) lies midway between the vertex heights next below
+    and above the middle of its bounding box, so it meets no vertex; the widest cut of
+    all parts counts. For a rectangle it is the centre. A polygon without height has no cut; its
+    first vertex stands for it. A ring is a hole if it lies within an odd number of other rings.
     """
-    ys = f"flatten(transform({parts}, p -> transform(p, v -> v.y)))"
+
+    def within(ring: str, other: str) -> str:
+        return f"coalesce({inside_rings(f'{ring}[0].x', f'{ring}[0].y', edges(f'array({other})'))}, false)"
+
+    rings = f"filter({parts}, r -> size(r) > 0)"
+    ranked = (
+        f"transform(array({rings}), rs -> transform(rs, (r, k) -> named_struct('r', r, "
+        f"'hole', size(filter(rs, (o, j) -> j != k and {within('r', 'o')})) % 2 = 1)))[0]"
+    )
+    own = f"concat(array(a.r), transform(filter(ps, h -> h.hole and {within('h.r', 'a.r')}), h -> h.r))"
+    cut = f"transform(array({own}), g -> {_widest_cut('g')})[0]"
+    best = f"transform(array({ranked}), ps -> array_max(transform(filter(ps, a -> not a.hole), a -> {cut})))[0]"
+    return F.expr(f"transform(array({best}), b -> named_struct('x', b.x, 'y', b.y))[0]")
+
+
+def _widest_cut(rings: str) -> str:
+    """``w, x, y`` of one part's widest cut at half height; its first vertex with width -1 if it has no height."""
+    ys = f"flatten(transform({rings}, p -> transform(p, v -> v.y)))"
     # One-element arrays bind intermediate values to a lambda variable.
     middle = f"transform(array({ys}), h -> named_struct('h', h, 'm', (array_min(h) + array_max(h)) / 2))[0]"
-    cut = (
+    height = (
         f"transform(array({middle}), q -> (array_max(filter(q.h, v -> v <= q.m)) "
         "+ coalesce(array_min(filter(q.h, v -> v > q.m)), q.m)) / 2)[0]"
     )
     crossings = (
-        f"array_sort(transform(filter({edges(parts)}, e -> (e.y1 > c) != (e.y2 > c)), "
+        f"array_sort(transform(filter({edges(rings)}, e -> (e.y1 > c) != (e.y2 > c)), "
         "e -> e.x1 + (c - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1)))"
     )
     widest = (
         f"transform(array({crossings}), xs -> case when size(xs) >= 2 then array_max(transform("
-        "sequence(1, size(xs) - 1, 2), i -> named_struct('w', xs[i] - xs[i - 1], 'x', (xs[i] + xs[i - 1]) / 2))).x end)[0]"
-    )
-    first = f"{parts}[0][0]"
-    return F.expr(
-        f"transform(array({cut}), c -> transform(array({widest}), x -> named_struct('x', coalesce(x, {first}.x), "
-        f"'y', case when x is null then {first}.y else c end))[0])[0]"
+        "sequence(1, size(xs) - 1, 2), i -> named_struct('w', xs[i] - xs[i - 1], 'x', (xs[i] + xs[i - 1]) / 2, 'y', c))) end)[0]"
     )
+    first = f"named_struct('w', -1D, 'x', {rings}[0][0].x, 'y', {rings}[0][0].y)"
+    return f"transform(array({height}), c -> coalesce({widest}, {first}))[0]"

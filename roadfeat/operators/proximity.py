@@ -34,6 +34,8 @@ HOT_CELL_ROWS = 50_000
 # Hot cells sent to every task as a table; with more of them the tiling is a join.
 MAX_HOT_CELLS_BROADCAST = 100_000
 CELL_LIMIT = 1 << 30
+# Bytes in memory of a row of a shape's copies, and of one edge of the rings it carries.
+COPY_BYTES, EDGE_BYTES = 256, 64
 
 VALUE_FIELDS = ("_n", "_v1", "_v2", "_v3")
 
@@ -52,7 +54,10 @@ def estimated_bytes(df: DataFrame) -> int:
 
 
 def broadcast_limit(df: DataFrame) -> int:
-    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    """Bytes that may be sent to every task; a negative setting switches broadcasts off."""
+    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").strip()
+    if text.startswith("-"):
+        return 0
     return int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))
 
 
@@ -148,13 +153,14 @@ def near_shapes(
     come up once per segment. Segments of any length meet few cells: the grid has levels
     of doubling cell size, and a row uses the level at which its box, widened by the
     radius, spans at most 3 x 3 cells. Points look up one cell at every level in use.
+
+    The copies are counted before they may be broadcast, with the rings they carry, in the
+    aggregation that finds the levels; ``small=False`` rules a broadcast out.
     """
     base = 2.0 * radius
     extent = f"greatest(xmax - xmin, ymax - ymin) + {double(2 * radius)}"
     level = f"cast(least(greatest(ceil(log2(({extent}) / {double(2 * base)})), 0), 40) as int)"
     shapes = targets.selectExpr("*", f"{level} as _level")
-    # At most one value per doubling of the extent.
-    levels = sorted(r[0] for r in shapes.select("_level").distinct().collect() if r[0] is not None) or [0]
     size = f"({double(base)} * shiftleft(1L, _level))"
     reach = double(radius)
 
@@ -167,6 +173,10 @@ def near_shapes(
         .selectExpr("*", f"{pack_cell('_cx', '_cy')} as _cell")
         .drop("_cx", "_cy")
     )
+    copies = F.count(F.lit(1)) * COPY_BYTES + F.sum(F.greatest(F.coalesce(F.size("rings"), F.lit(0)), F.lit(0))) * EDGE_BYTES
+    # At most one row per doubling of the extent.
+    measured = {r[0]: r[1] for r in spread.groupBy("_level").agg(copies).collect() if r[0] is not None}
+    levels = sorted(measured) or [0]
     gap_x, gap_y = "greatest(xmin - _px, _px - xmax, 0D)", "greatest(ymin - _py, _py - ymax, 0D)"
     on_segment = segment_meets_buffer("_px", "_py", "x1", "y1", "x2", "y2", radius, quad_segs)
     exact = (
@@ -174,7 +184,7 @@ def near_shapes(
         f"case when x1 is not null then {on_segment} else {inside_rings('_px', '_py', 'rings')} end"
     )
     sites = points.selectExpr(POINT_ID, "x as _px", "y as _py")
-    is_small = small if small is not None else fits_broadcast(targets)
+    is_small = small is not False and sum(measured.values()) <= broadcast_limit(targets)
     if is_small:
         sites = _by_point(sites)
     probes = sites.selectExpr("*", f"explode(array({', '.join(map(str, levels))})) as _level").selectExpr(

@@ -57,9 +57,11 @@ def load_points(
 ) -> Layer:
     """Read, coerce, repair and filter; adds ``x, y`` in the source's coordinate system.
 
+    A ``Layer`` is taken as clean already: it needs ``x, y`` and is not filtered again.
     ``id_type`` says how the ids of a CSV file compare; typed tables say it themselves.
     """
     if isinstance(source, Layer):
+        clean.require_columns(source.df, ["x", "y"], spec.what)
         return source
     needed = dict.fromkeys([*spec.required, spec.x, spec.y, *spec.numbers])
     df = read_table(source, needed, spec.optional, spec.encoding, what=spec.what)
@@ -189,8 +191,8 @@ PROTECTION_ZONES = PointSource(
 )
 
 
-def load_accidents(source, crs: int = PROJECT_CRS, diagnostics: Diagnostics | None = None) -> Layer:
-    """Accident coordinates are taken to be in the points' system already."""
+def load_accidents(source, crs: int | None = None, diagnostics: Diagnostics | None = None) -> Layer:
+    """Accident coordinates are in the points' system, whatever it is, unless ``crs`` names theirs."""
     layer = load_points(ACCIDENTS, source, diagnostics)
     return Layer(layer.df, POINT, crs if not isinstance(source, Layer) else layer.crs)
 
@@ -220,16 +222,16 @@ def load_bus_passenger_stops(stops, passengers, diagnostics: Diagnostics | None
         return stops
     layer = load_bus_stops(stops, diagnostics)
     located = (
-        clean.with_numbers(layer.df, ["NODE_ID"])
+        layer.df.select(clean.to_long(name("NODE_ID")).alias("NODE_ID"), "x", "y")
         .where(name("NODE_ID").isNotNull())
-        .select(name("NODE_ID").cast("long").alias("NODE_ID"), "x", "y")
         # Copies of a stop stay, as a number: each of them counts.
         .groupBy("NODE_ID", "x", "y")
         .agg(F.count(F.lit(1)).alias("copies"))
     )
     columns = ["사용일자", "표준버스정류장ID", "승차총승객수", "하차총승객수"]
     rides = read_table(passengers, columns, encoding="cp949", what="bus passengers")
-    rides = clean.with_numbers(rides, columns[1:]).where(name("표준버스정류장ID").isNotNull())
+    rides = clean.with_numbers(rides, columns[2:]).withColumn(columns[1], clean.to_long(name(columns[1])))
+    rides = rides.where(name(columns[1]).isNotNull())
     rides = watch(
         diagnostics,
         rides,
@@ -238,7 +240,7 @@ def load_bus_passenger_stops(stops, passengers, diagnostics: Diagnostics | None
     )
     zero = F.lit(0.0)
     total = F.coalesce(name("승차총승객수"), zero) + F.coalesce(name("하차총승객수"), zero)
-    per_stop = rides.groupBy(name("표준버스정류장ID").cast("long").alias("NODE_ID")).agg(
+    per_stop = rides.groupBy(name(columns[1]).alias("NODE_ID")).agg(
         F.bround(F.sum(total)).cast("long").alias(BUS_RIDE_ALIGHT_TOTAL_COLUMN)
     )
     return Layer(located.join(per_stop, "NODE_ID"), POINT, LONLAT_CRS, size_bound=located)
@@ -392,7 +394,8 @@ def _population_files(folder: str, source_crs: int) -> Layer:
     spark = active_session()
     paths = find_shapefiles(folder)
     if not paths:
-        files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(folder)
+        options = {"recursiveFileLookup": True, "pathGlobFilter": "*.parquet", "mergeSchema": True}
+        files = spark.read.options(**options).parquet(folder)
         return Layer(files.withColumn(SOURCE_FILE, F.col("_metadata.file_path")), POLYGON, source_crs)
     by_crs: dict[int, list[str]] = {}
     for path in paths:
@@ -402,7 +405,8 @@ def _population_files(folder: str, source_crs: int) -> Layer:
     base = crs_of_shapefile(paths[0]) or source_crs
     merged = None
     for code, group in by_crs.items():
-        part = Layer(read_shapefile(spark, group, POLYGON, "utf-8"), POLYGON, code).to_crs(base).df
+        cells = clean.with_numbers(read_shapefile(spark, group, POLYGON, "utf-8"), ["val"])
+        part = Layer(cells, POLYGON, code).to_crs(base).df
         merged = part if merged is None else merged.unionByName(part, allowMissingColumns=True)
     return Layer(merged, POLYGON, base)
 

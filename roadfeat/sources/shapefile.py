@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import (
     ArrayType,
+    DataType,
     DoubleType,
     LongType,
     StringType,
@@ -29,10 +30,21 @@ from roadfeat.functions.crs import PROJECTIONS
 RECORD_NUMBER = "record_number"
 SOURCE_FILE = "source_file"
 RECORDS_PER_TASK = 50_000
+# Bytes of shapes read and decoded at once.
+BYTES_AT_ONCE = 16 << 20
 
 # Shape type codes by geometry, without the Z and M variants' offsets (10, 20).
 POINT_SHAPE, LINE_SHAPE, POLYGON_SHAPE, MULTIPOINT_SHAPE = 1, 3, 5, 8
 
+# Datums that are the same to within a metre (text without marks), and the newer names of parameters.
+KNOWN_DATUMS = ("wgs1984", "wgs84", "korea2000", "koreandatum2000", "geocentricdatumofkorea", "itrf2000", "grs1980")
+OTHER_DATUMS = ("bessel", "tokyo", "koreandatum1985", "korean1985", "koreandatum1995", "korean1995")
+WKT2_NAMES = {
+    "longitude_of_natural_origin": "central_meridian",
+    "latitude_of_natural_origin": "latitude_of_origin",
+    "scale_factor_at_natural_origin": "scale_factor",
+}
+
 VERTEX = StructType([StructField("x", DoubleType()), StructField("y", DoubleType())])
 PARTS = ArrayType(ArrayType(VERTEX))
 
@@ -108,9 +120,15 @@ def crs_of_shapefile(path: str) -> int | None:
         text = _read(_sibling(path, ".prj")).decode("utf-8", "replace")
     except FileNotFoundError:
         return None
-    if not text.lstrip().upper().startswith("PROJ"):
+    plain = re.sub(r"[^a-z0-9]", "", text.lower())
+    other = any(datum in plain for datum in OTHER_DATUMS)
+    geographic = not text.lstrip().upper().startswith("PROJ")
+    if geographic and not other and any(datum in plain for datum in KNOWN_DATUMS):
         return 4326
-    params = {k.lower(): float(v) for k, v in re.findall(r'PARAMETER\["([^"]+)",\s*([-+0-9.eE]+)', text, re.I)}
+    params = {}
+    for label, value in re.findall(r'PARAMETER\["([^"]+)",\s*([-+0-9.eE]+)', text, re.I):
+        label = label.lower().replace(" ", "_")
+        params[WKT2_NAMES.get(label, label)] = float(value)
     for code, p in PROJECTIONS.items():
         expected = {
             "central_meridian": p.lon0,
@@ -119,7 +137,7 @@ def crs_of_shapefile(path: str) -> int | None:
             "false_easting": p.false_easting,
             "false_northing": p.false_northing,
         }
-        if all(abs(params.get(k, float("inf")) - v) < 1e-6 for k, v in expected.items()):
+        if not geographic and not other and all(abs(params.get(k, float("inf")) - v) < 1e-6 for k, v in expected.items()):
             return code
     raise ValueError(f"{path}: coordinate system of the .prj file is not supported")
 
@@ -140,15 +158,18 @@ def _decode_shape(record: bytes, kind: str):
     return [[{"x": flat[2 * i], "y": flat[2 * i + 1]} for i in range(a, b)] for a, b in zip(starts, ends)]
 
 
-def _decode_value(raw: bytes, field: DbfField, encoding: str):
+def _decode_value(raw: bytes, field: DbfField, encoding: str, kind: DataType):
+    """A value as ``kind``, the type that the column has over all files."""
     text = raw.decode(encoding, "replace").strip("\0 ")
-    if field.is_number:
-        try:
-            value = float(text)
-        except ValueError:
-            return None
-        return int(value) if field.decimals == 0 and value.is_integer() else value
-    return text or None
+    if not field.is_number or isinstance(kind, StringType):
+        return text or None
+    try:
+        value = float(text)
+    except ValueError:
+        return None
+    if isinstance(kind, DoubleType):
+        return value
+    return int(value) if value.is_integer() else None
 
 
 @dataclass
@@ -179,30 +200,40 @@ class ShapefileReader(DataSourceReader):
             return
         index = _read(_sibling(part.path, ".shx"), 100 + 8 * part.first, 8 * part.count)
         places = [struct.unpack_from(">ii", index, 8 * i) for i in range(part.count)]
-        start = min(p[0] for p in places) * 2
-        stop = max((p[0] + p[1]) * 2 + 8 for p in places)
-        shapes = _read(part.path, start, stop - start)
         dbf_path = _sibling(part.path, ".dbf")
         header = read_dbf_header(dbf_path, self.encoding)
-        rows = _read(dbf_path, header.header_bytes + header.row_bytes * part.first, header.row_bytes * part.count)
         fields = {f.name: f for f in header.fields}
         attributes = [f for f in self.schema.fields if f.name in fields]
-        for i, (offset, words) in enumerate(places):
-            at = offset * 2 - start + 8
-            row = rows[i * header.row_bytes : (i + 1) * header.row_bytes]
-            if row[:1] == b"*":  # deleted
-                continue
-            shape = _decode_shape(shapes[at : at + words * 2], self.kind)
-            out = {RECORD_NUMBER: part.first + i, SOURCE_FILE: part.path}
-            if self.kind == "point":
-                out["x"], out["y"] = shape or (None, None)
-            else:
-                out["parts"] = shape
-            for f in attributes:
-                d = fields[f.name]
-                value = _decode_value(row[d.offset : d.offset + d.width], d, self.encoding)
-                out[f.name] = float(value) if value is not None and isinstance(f.dataType, DoubleType) else value
-            yield tuple(out.get(f.name) for f in self.schema.fields)
+        for low, high in _runs(places):
+            run = places[low:high]
+            start = min(p[0] for p in run) * 2
+            shapes = _read(part.path, start, max((p[0] + p[1]) * 2 + 8 for p in run) - start)
+            first = part.first + low
+            rows = _read(dbf_path, header.header_bytes + header.row_bytes * first, header.row_bytes * len(run))
+            for i, (offset, words) in enumerate(run):
+                at = offset * 2 - start + 8
+                row = rows[i * header.row_bytes : (i + 1) * header.row_bytes]
+                if row[:1] == b"*":  # deleted
+                    continue
+                shape = _decode_shape(shapes[at : at + words * 2], self.kind)
+                out = {RECORD_NUMBER: first + i, SOURCE_FILE: part.path}
+                if self.kind == "point":
+                    out["x"], out["y"] = shape or (None, None)
+                else:
+                    out["parts"] = shape
+                for f in attributes:
+                    d = fields[f.name]
+                    out[f.name] = _decode_value(row[d.offset : d.offset + d.width], d, self.encoding, f.dataType)
+                yield tuple(out.get(f.name) for f in self.schema.fields)
+
+
+def _runs(places: list[tuple[int, int]]):
+    """Consecutive records, cut so that the bytes from first to last stay about ``BYTES_AT_ONCE``."""
+    low = 0
+    for i in range(1, len(places) + 1):
+        if i == len(places) or abs(places[i][0] - places[low][0]) * 2 > BYTES_AT_ONCE:
+            yield low, i
+            low = i
 
 
 class ShapefileSource(DataSource):
@@ -227,19 +258,31 @@ def shapefile_schema(paths: list[str], kind: str, encoding: str) -> StructType:
         fields += [StructField("x", DoubleType()), StructField("y", DoubleType())]
     else:
         fields.append(StructField("parts", PARTS))
-    header = read_dbf_header(_sibling(paths[0], ".dbf"), encoding)
-    for f in header.fields:
-        if f.is_number:
-            fields.append(StructField(f.name, LongType() if f.decimals == 0 and f.width < 19 else DoubleType()))
-        else:
-            fields.append(StructField(f.name, StringType()))
-    return StructType(fields)
+    types: dict[str, DataType] = {}
+    for path in paths:
+        for f in read_dbf_header(_sibling(path, ".dbf"), encoding).fields:
+            types[f.name] = _wider(types.get(f.name), _own_type(f))
+    return StructType(fields + [StructField(label, kind) for label, kind in types.items()])
+
+
+def _own_type(field: DbfField) -> DataType:
+    if not field.is_number:
+        return StringType()
+    return LongType() if field.kind in "NFI" and field.decimals == 0 and field.width < 19 else DoubleType()
+
+
+def _wider(a: DataType | None, b: DataType) -> DataType:
+    """The type that holds the values of both: text holds any, double any number."""
+    if a is None or a == b:
+        return b
+    return StringType() if StringType() in (a, b) else DoubleType()
 
 
 def read_shapefile(spark: SparkSession, paths: str | list[str], kind: str, encoding: str = "utf-8") -> DataFrame:
     """All records of the files: attributes, geometry, record number and file name.
 
-    The files need the same attribute columns; the first one's header gives them.
+    The columns are those of all headers: one that only some files have is null in the others, and a
+    column of several types takes the widest. Only headers are read to find them.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     for path in paths:

@@ -18,6 +18,18 @@ def test_typed_nan_is_missing(spark):
     assert [r[0] for r in clean.with_numbers(df, ["v"]).collect()] == [1.5, None, None]
 
 
+def test_white_space_of_any_kind_is_trimmed(spark):
+    rows = [("가상정류장\t",), ("\u3000가상정류장",), ("\xa0 가상정류장\r\n",), ("가상 정류장",)]
+    df = spark.createDataFrame(rows, "v string").select(clean.trimmed(F.col("v")).alias("v"))
+    assert [r.v for r in df.collect()] == ["가상정류장"] * 3 + ["가상 정류장"]
+
+
+def test_long_ids_keep_every_digit(spark):
+    rows = [("9007199254740993",), (" 12\t",), ("12.0",), ("x",), (None,), ("99999999999999999999",)]
+    df = spark.createDataFrame(rows, "v string").select(clean.to_long(F.col("v")).alias("v"))
+    assert [r.v for r in df.collect()] == [9007199254740993, 12, 12, None, None, None]
+
+
 def test_missing_column_fails_without_a_job(spark):
     with pytest.raises(ValueError, match="missing columns"):
         places.load_subway_stations(spark.createDataFrame([(1.0,)], "`경도` double"))

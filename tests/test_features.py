@@ -55,6 +55,39 @@ def test_risk_counts_rows_and_skips_missing_numbers(spark):
     assert got == pytest.approx([10 * 2 * (1 + 0.1168 + 0.0068 * 2), 0.0])
 
 
+def test_risk_takes_the_points_coordinate_system(spark):
+    df = spark.createDataFrame([("200000", "600000", "1", "0", "0")], "x_crdnt string, y_crdnt string, dprs_cnt string, sep_cnt string, slp_cnt string")
+    p = Layer(points(spark, [(200_000, 600_000)]).df, crs=5186)
+    assert column(ft.add_accident_risk(ids(p), p, df), c.RISK_COLUMN) == [10.0]
+
+
+def test_features_run_with_broadcasts_switched_off(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = points(spark, [(0, 0), (40, 0)])
+        assert column(ft.add_intersection_counts(ids(p), p, marks(spark, [("a", 10, 0)])), c.INTERSECTION_COLUMN) == [1, 1]
+        bump = spark.createDataFrame([("m",)], "MGRNU string").withColumn("parts", rectangle("-5D", "-5D", "5D", "5D"))
+        assert column(ft.add_speed_bump_counts(ids(p), p, Layer(bump, POLYGON)), c.SPEED_BUMP_COLUMN) == [1, 1]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64MB")
+
+
+def test_shapes_are_measured_before_they_are_broadcast(spark):
+    p = points(spark, [(i, i) for i in range(20)])
+    shapes = spark.range(40_000).selectExpr("id % 200 as gx", "id div 200 as gy", "id").withColumn(
+        "parts", rectangle("gx * 300D", "gy * 300D", "gx * 300D + 90", "gy * 300D + 90")
+    )
+    targets = proximity.shape_targets(shapes, POLYGON, 0, F.col("id"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16MB")
+    try:
+        plan = proximity.near_shapes(p.df, targets, 50.0).df._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64MB")
+    assert "strategy=broadcast" not in plan
+    few = proximity.near_shapes(p.df, proximity.shape_targets(shapes.limit(10), POLYGON, 0, F.col("id")), 50.0).df
+    assert "strategy=broadcast" in few._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_population_copies_count_twice_and_round_half_even(spark):
     cell = spark.createDataFrame([("1.25",), ("1.25",), ("*",), (None,)], "val string").withColumn(
         "parts", rectangle("-10D", "-10D", "10D", "10D")
@@ -155,6 +188,31 @@ def test_no_links_is_an_error(spark):
         ft.add_speed_limit(ids(p), p, links(spark, [("L", "50", 9000, 9000, 9100, 9000)]))
 
 
+def test_bound_join_meets_at_most_nine_segments_a_cell(spark):
+    from roadfeat.operators import nearest
+
+    rng = random.Random(9)
+    rows = [(f"L{i}", x := rng.uniform(0, 300), y := rng.uniform(0, 300), x + rng.uniform(-9, 9), y + rng.uniform(-9, 9)) for i in range(400)]
+    sites = [(rng.uniform(-9000, 9000), rng.uniform(-9000, 9000)) for _ in range(80)]
+    p = points(spark, sites)
+    lines = spark.createDataFrame(rows, "LINK_ID string, x1 double, y1 double, x2 double, y2 double").selectExpr("LINK_ID", "1 as MAX_SPD", "x1", "y1", "x2", "y2")
+    lines = lines.withColumn("parts", two_point_line("x1", "y1", "x2", "y2"))
+    pieces = nearest._pieces(nearest._distinct_segments(lines, "LINK_ID", "MAX_SPD"), 50.0)
+    homes = p.df.selectExpr("cast(floor(x / 50) as bigint) as _hx", "cast(floor(y / 50) as bigint) as _hy").selectExpr("_hx * 1000000 + _hy as _cell", "_hx", "_hy").distinct()
+    homes = nearest._with_level(homes, pieces, 50.0, 10).cache()
+    met = nearest._look_around(homes).join(nearest._samples(pieces, 50.0, nearest._levels(homes)), ["_level", "_key"])
+    assert met.groupBy("_cell").count().agg(F.max("count")).first()[0] <= 9
+    box = [f(s[k] for s in sites) for f in (min, max) for k in (0, 1)]
+    got = {r.POINT_ID: r.distance for r in nearest.nearest_line(p.df, lines, "LINK_ID", "MAX_SPD", tuple(box)).collect()}
+
+    def gap(px, py, x1, y1, x2, y2):
+        ex, ey = x2 - x1, y2 - y1
+        t = min(1, max(0, ((px - x1) * ex + (py - y1) * ey) / (ex * ex + ey * ey)))
+        return math.hypot(px - x1 - t * ex, py - y1 - t * ey)
+
+    assert got == pytest.approx({i: min(gap(*s, *r[1:]) for r in rows) for i, s in enumerate(sites)})
+
+
 def test_nearest_matches_brute_force(spark):
     """Clustered links, a very long one and points far from all of them."""
     rnd = random.Random(3)

@@ -75,9 +75,14 @@ def test_segments_in_the_ring_are_clipped(spark):
 def test_representative_point(spark):
     square = [(0.0, 0.0), (4.0, 0.0), (4.0, 2.0), (0.0, 2.0), (0.0, 0.0)]
     u_shape = [(0.0, 0.0), (9.0, 0.0), (9.0, 9.0), (7.0, 9.0), (7.0, 1.0), (3.0, 1.0), (3.0, 9.0), (0.0, 9.0), (0.0, 0.0)]
-    df = spark.createDataFrame([([square],), ([u_shape],)], "parts array<array<struct<x:double,y:double>>>")
+    box = lambda x0, y0, x1, y1: [(x0, y0), (x0, y1), (x1, y1), (x1, y0), (x0, y0)]
+    far = [box(200.0, 200.0, 210.0, 210.0), box(0.0, 0.0, 100.0, 100.0)]
+    holed = [box(0.0, 0.0, 100.0, 100.0), box(10.0, 40.0, 60.0, 60.0), box(20.0, 45.0, 30.0, 55.0)]
+    beside = [box(0.0, 0.0, 10.0, 10.0), box(20.0, 4.0, 24.0, 30.0)]
+    shapes = [[square], [u_shape], far, holed, beside, [[(3.0, 4.0)]]]
+    df = spark.createDataFrame([(s,) for s in shapes], "parts array<array<struct<x:double,y:double>>>")
     got = [tuple(r[0]) for r in df.select(representative_point("parts")).collect()]
-    assert got == [(2.0, 1.0), (1.5, 5.0)]
+    assert got == [(2.0, 1.0), (1.5, 5.0), (50.0, 50.0), (80.0, 50.0), (5.0, 5.0), (3.0, 4.0)]
 
 
 def roads(spark, lines, kind=LINE):

@@ -47,6 +47,41 @@ PRJ_5186 = (
 )
 
 
+def test_folder_reads_merge_the_schemas(spark, tmp_path):
+    cell = outline(5, [(0, 0), (0, 10), (10, 10), (10, 0), (0, 0)])
+    for name, value, field in (("a", "5", ("N", 10, 0)), ("b", "2.50", ("N", 10, 2)), ("c", " 7 ", ("C", 5, 0))):
+        extra = [("only_b", "N", 4, 0)] if name == "b" else []
+        write_shapefile(tmp_path / name, [cell], [(value, *["3"] * len(extra))], [("val", *field), *extra], 5, "utf-8")
+    layer = places.load_population_grid(str(tmp_path))
+    got = {r.source_file[-5:]: (r["val"], r.only_b) for r in layer.df.collect()}
+    assert got == {"a.shp": (5.0, None), "b.shp": (2.5, 3), "c.shp": (7.0, None)}
+
+
+def test_large_shapes_are_read_in_runs(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(shapefile, "BYTES_AT_ONCE", 100)
+    bodies = [outline(3, [(i, 0), (i, 1)]) for i in range(7)]
+    path = write_shapefile(tmp_path / "lines", bodies, [(i,) for i in range(7)], [("k", "N", 3, 0)], 3)
+    assert [high - low for low, high in shapefile._runs([(50 * i, 40) for i in range(7)])] == [2, 2, 2, 1]
+    got = shapefile.read_shapefile(spark, path, "line").orderBy("record_number").collect()
+    assert [(r.k, r.parts[0][0].x) for r in got] == [(i, float(i)) for i in range(7)]
+
+
+def test_coordinate_systems(tmp_path):
+    def code(prj):
+        write_shapefile(tmp_path / "p", [NULL], [("1",)], [("k", "N", 3, 0)], 1, prj=prj)
+        return shapefile.crs_of_shapefile(str(tmp_path / "p.shp"))
+
+    names = ["Longitude of natural origin", "Latitude of natural origin", "Scale factor at natural origin", "False easting", "False northing"]
+    wkt2 = lambda *v: 'PROJCRS["x",BASEGEOGCRS["Korea 2000"],' + ",".join(f'PARAMETER["{n}",{x}]' for n, x in zip(names, v)) + "]"
+    assert code(PRJ_5186) == 5186
+    assert code(wkt2(129.0, 38.0, 1.0, 200000, 600000)) == 5187
+    assert code(wkt2(127.0, 38.0, 1.0, 200000, 550000)) == 5182
+    assert code('GEOGCS["GCS_WGS_1984",DATUM["D_WGS_1984",SPHEROID["WGS_1984",6378137.0,298.257223563]]]') == 4326
+    for prj in ('GEOGCS["Tokyo",DATUM["Tokyo",SPHEROID["Bessel 1841",6377397.155,299.1528128]]]', 'GEOGCS["unknown"]', PRJ_5186.replace('"y"', '"Korean 1985"')):
+        with pytest.raises(ValueError):
+            code(prj)
+
+
 def test_roads(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(shapefile, "RECORDS_PER_TASK", 2)
     bodies = [outline(3, [(0, 0), (50, 0)]), NULL, outline(3, [(0, 0), (10, 0)], [(10, 0), (10, 30)])]
