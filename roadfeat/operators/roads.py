@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 from dataclasses import replace
 
@@ -25,10 +26,6 @@ from roadfeat.layer import LINE, POLYGON, Layer
 
 ROAD_ATTRIBUTES = ("RN", "RN_CD", "ROAD_LT", "ROAD_BT", "ROA_CLS_SE")
 
-# Rows per id bucket, and the most buckets there are: the bucket totals (one row
-# each) are the only thing that meets in one task or is broadcast.
-ROWS_PER_BUCKET = 2_000
-MAX_BUCKETS = 1_024
 # Points of a segment are made in runs of this many, so that no row holds them all.
 POINTS_PER_RUN = 4_096
 
@@ -138,7 +135,7 @@ def _number_roads(lines: DataFrame) -> DataFrame:
 
     Prefix sums in two levels. Roads fall into buckets at quantiles of the order column,
     whatever its distribution; inside a bucket a window numbers them, and the bucket
-    totals, at most ``MAX_BUCKETS`` rows, are summed up and sent to every task. The
+    totals, about the square root of the roads, are summed up and sent to every task. The
     bounds are literals, so a recomputed task finds the same buckets.
     """
     bounds = _bucket_bounds(lines)
@@ -168,17 +165,22 @@ def _number_roads(lines: DataFrame) -> DataFrame:
     )
 
 
+def _bucket_count(roads: int) -> int:
+    return math.isqrt(roads)
+
+
 def _bucket_bounds(lines: DataFrame) -> list[float]:
-    """Quantiles of the order column: one mergeable aggregate, a bounded result."""
-    # As text: one expression instead of a thousand columns.
-    grid = ", ".join(f"{i / MAX_BUCKETS}D" for i in range(1, MAX_BUCKETS))
-    quantile = F.expr(f"percentile_approx(cast(_ord as double), array({grid}), {10 * MAX_BUCKETS})")
-    n, quantiles = lines.agg(F.count("_ord"), quantile).first()
-    wanted = min(MAX_BUCKETS, -(-(n or 0) // ROWS_PER_BUCKET))
-    if wanted <= 1:
+    """Quantiles of the order column for about as many buckets as a bucket has roads.
+
+    So neither a bucket nor the table of bucket totals outgrows the square root of the roads.
+    """
+    buckets = _bucket_count(lines.agg(F.count("_ord")).first()[0])
+    if buckets <= 1:
         return []
-    stride = MAX_BUCKETS / wanted
-    return sorted({quantiles[min(int(i * stride), MAX_BUCKETS - 1) - 1] for i in range(1, wanted)})
+    # As text: one expression instead of a column for each bound.
+    grid = ", ".join(f"{i / buckets}D" for i in range(1, buckets))
+    quantile = F.expr(f"percentile_approx(cast(_ord as double), array({grid}), {10 * buckets})")
+    return sorted(set(lines.agg(quantile).first()[0]))
 
 
 def _bucket_of(order: str, bounds: list[float]) -> Column:

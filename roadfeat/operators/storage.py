@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """The same rows, read back from reliable storage, so lost executors cost no recomputation."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors see; a temporary one stands in for it in local mode."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get(CHECKPOINT_CONF, None)
@@ -20,4 +20,19 @@ def materialize(df: DataFrame) -> DataFrame:
                 raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
             folder = tempfile.mkdtemp(prefix="roadfeat-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def work_path(spark: SparkSession, label: str) -> str:
+    """A new place in the shared folder."""
+    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """The same rows, read back from reliable storage, so lost executors cost no recomputation.
+
+    With ``spark.cleaner.referenceTracking.cleanCheckpoints`` (a session default here) Spark deletes the
+    files when the frame is no longer used.
+    """
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -12,6 +12,8 @@ DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Lets the CSV reader decode cp949 / euc-kr.
     "spark.sql.legacy.javaCharsets": "true",
+    # Checkpoint files go when the frames that read them do.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.session.timeZone": "UTC",
     # Parquet sizes on disk understate what a broadcast holds in memory; the
     # planner's size checks work on this multiple of the file size.

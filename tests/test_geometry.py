@@ -132,7 +132,7 @@ def test_ids_do_not_depend_on_buckets(spark, monkeypatch):
     layer = roads(spark, lines)
     want = sorted(map(tuple, make_points(layer, "ord").df.select("POINT_ID", "ROAD_IDX", "x").collect()))
     assert [w[0] for w in want] == list(range(len(want)))
-    monkeypatch.setattr(module, "ROWS_PER_BUCKET", 7)
+    monkeypatch.setattr(module, "_bucket_count", lambda n: 23)
     monkeypatch.setattr(module, "POINTS_PER_RUN", 2)
     shuffled = Layer(layer.df.repartition(5, "ROAD_LT", "ord"), LINE)
     assert sorted(map(tuple, make_points(shuffled, "ord").df.select("POINT_ID", "ROAD_IDX", "x").collect())) == want

@@ -12,8 +12,10 @@ from roadfeat.functions.crs import project_points
 from roadfeat.functions.geometry import line_of, rectangle, two_point_line
 from roadfeat.layer import LINE, POINT, POLYGON, Layer
 from roadfeat.operators.roads import create_point_buffers, create_road_points, filter_target_roads, make_road_summary
+from roadfeat.operators.storage import work_path
 from roadfeat.plans import features as ft
 from roadfeat.plans import pipeline as pl
+from roadfeat.sources.tables import write_table
 from workload.fixtures import fixture
 
 ENGLISH = {
@@ -217,10 +219,12 @@ def p2_accidents_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table with one feature is written as CSV, read back, and gets two more."""
     s = Sources(spark, sf_dir)
-    points, sources = s.points(), s.all()
-    saved = pl.build_features(points, sources, ["accident_risk"])
-    return english(pl.build_features(points, sources, ["accident_risk", "parking", "signals"], existing=saved))
+    sources, path = s.all(), work_path(spark, "saved")
+    write_table(pl.build_features(s.points(), sources, ["accident_risk"]), path, "csv")
+    saved = pl.read_saved(path, "csv")
+    return english(pl.extend_saved(saved, sources, ["accident_risk", "parking", "signals"]))
 
 
 def p5_all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
