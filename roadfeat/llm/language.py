@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -13,145 +12,171 @@ from pyspark.sql import functions as F
 
 from roadfeat.llm.quality import held_out
 
-#: Longest n-gram; at most 3, as three code points fit a 64-bit number.
-LONGEST = 3
 #: Most frequent n-grams of a language and of a document that are compared.
 PROFILE = 400
-#: Different words or n-grams a worker remembers before it starts afresh; memory only, results do not depend on it.
-REMEMBERED = 300_000
 #: Divides the share of the largest distance in the score.
 SHARPNESS = 20.0
-
-_WORD = re.compile(r"[^\W\d_]+")
-
-
-class Grams:
-    """Numbers for n-grams; a word is padded by ``_`` on both sides and split once."""
-
-    def __init__(self, profiles: list[dict[str, int]] = ()):
-        self.profiles = profiles
-        self.clear()
-
-    def clear(self) -> None:
-        self.ids: dict[str, int] = {}
-        self.words: dict[str, np.ndarray] = {}
-        self.codes = np.zeros(1024, np.int64)
-        self.ranks = np.full((len(self.profiles), 1024), PROFILE, np.int64)
-
-    def _id(self, gram: str) -> int:
-        at = self.ids.get(gram)
-        if at is None:
-            at = self.ids[gram] = len(self.ids)
-            if at == len(self.codes):
-                self.codes = np.concatenate([self.codes, np.zeros_like(self.codes)])
-                self.ranks = np.concatenate([self.ranks, np.full_like(self.ranks, PROFILE)], axis=1)
-            code = 0
-            for c in gram:
-                code = code << 21 | ord(c)
-            self.codes[at] = code
-            for row, profile in enumerate(self.profiles):
-                self.ranks[row, at] = profile.get(gram, PROFILE)
-        return at
-
-    def of(self, word: str) -> np.ndarray:
-        found = self.words.get(word)
-        if found is None:
-            padded = f"_{word}_"
-            grams = (padded[i : i + n] for n in range(1, LONGEST + 1) for i in range(len(padded) - n + 1))
-            found = np.array([self._id(g) for g in grams if g != "_"], np.int64)
-            if len(word) <= 64:
-                self.words[word] = found
-        return found
-
-    def count(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers and counts of the n-grams of a whole text; both empty if it has no letter."""
-        words: Counter[str] = Counter()
-        for word, n in Counter(_WORD.findall(text.lower())).items():
-            if word.isalpha():
-                words[word] += n
-            else:
-                for part in "".join(c if c.isalpha() else " " for c in word).split():
-                    words[part] += n
-        if not words:
-            return np.zeros(0, np.int64), np.zeros(0)
-        rows = [self.of(w) for w in words]
-        weights = np.repeat(np.fromiter(words.values(), np.float64, len(rows)), [len(r) for r in rows])
-        totals = np.bincount(np.concatenate(rows), weights)
-        ids = np.flatnonzero(totals)
-        return ids, totals[ids]
-
-    def full(self) -> bool:
-        return len(self.words) > REMEMBERED or len(self.ids) > REMEMBERED
+#: Characters of a text that are counted at once.
+CHARS_AT_ONCE = 1 << 18
+#: Counts that a task holds for a language before it adds up equal n-grams, and before it passes them on.
+HELD, PASSED_ON = 1 << 20, 1 << 19
+
+_GAP = ord("_")
+#: Bits of a code point; an n-gram's code holds those of up to three.
+_BITS = 21
+#: Different letters in a text up to which its n-grams are counted in a dense table.
+_DENSE = 64
+
+
+@cache
+def _letters() -> np.ndarray:
+    """Whether each code point is a letter."""
+    return np.array([chr(c).isalpha() for c in range(0x110000)])
+
+
+def _spelled(text: str) -> np.ndarray:
+    """Code points of a lower-cased text with one gap before, between and after its words (runs of letters)."""
+    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    letter = _letters()[points]
+    if not letter.any():
+        return np.zeros(0, np.int64)
+    points = np.where(letter, points, _GAP)
+    keep = letter.copy()
+    keep[1:] |= letter[:-1]
+    keep[0] = letter[0]
+    out = np.concatenate([[_GAP], points[keep]])
+    return out if out[-1] == _GAP else np.append(out, _GAP)
+
+
+def code_of(gram: str) -> int:
+    """An n-gram as a number; longer ones have larger numbers."""
+    code = 0
+    for c in gram:
+        code = code << _BITS | ord(c)
+    return code
+
+
+def added(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Equal codes added up, in ascending order."""
+    out, at = np.unique(codes, return_inverse=True)
+    return out, np.bincount(at, counts, len(out)).astype(np.int64)
+
+
+def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Codes, ascending, and counts of the 1- to 3-grams of a whole text's words, each word padded by a gap on both sides."""
+    spelled = _spelled(text)
+    if len(spelled) <= CHARS_AT_ONCE:
+        return _counted(spelled)
+    parts, at = [], 0
+    while at < len(spelled) - 1:
+        # Cut at a gap, which then ends one part and begins the next.
+        gaps = np.flatnonzero(spelled[at + CHARS_AT_ONCE :] == _GAP)
+        end = at + CHARS_AT_ONCE + gaps[0] if len(gaps) else len(spelled) - 1
+        parts.append(_counted(spelled[at : end + 1]))
+        at = end
+    return added(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+
+
+def _counted(spelled: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if not len(spelled):
+        return spelled, spelled
+    symbols, x = np.unique(spelled, return_inverse=True)
+    gap, k = int(np.searchsorted(symbols, _GAP)), len(symbols)
+    inner = x[1:-1] != gap
+    singles, pairs, triples = x[x != gap], x[:-1] * k + x[1:], (x[:-2] * k + x[1:-1])[inner] * k + x[2:][inner]
+    if k <= _DENSE:
+        tables = [np.bincount(v) for v in (singles, pairs, triples)]
+        found = [np.flatnonzero(t) for t in tables]
+        counts = np.concatenate([t[f] for t, f in zip(tables, found, strict=True)])
+    else:
+        unique = [np.unique(v, return_counts=True) for v in (singles, pairs, triples)]
+        found, counts = [u[0] for u in unique], np.concatenate([u[1] for u in unique])
+    one, two, three = found
+    two_code = symbols[two // k] << _BITS | symbols[two % k]
+    head = three // k
+    three_code = (symbols[head // k] << _BITS | symbols[head % k]) << _BITS | symbols[three % k]
+    return np.concatenate([symbols[one], two_code, three_code]), counts
+
+
+class Profiles:
+    """Ranks of the profiles' n-grams, by language."""
+
+    def __init__(self, profiles: dict[str, dict[int, int]]):
+        self.names = list(profiles)
+        self.codes = np.array(sorted({c for p in profiles.values() for c in p}), np.int64)
+        self.ranks = np.array([[p.get(c, PROFILE) for c in self.codes.tolist()] for p in profiles.values()], np.int64)
 
     def distances(self, text: str) -> tuple[np.ndarray, int]:
-        """Out-of-place distance to every profile, and the number of n-grams compared."""
-        ids, counts = self.count(text)
-        top = ids[np.lexsort((self.codes[ids], -counts))[:PROFILE]]
-        ranks = self.ranks[:, top]
+        """Out-of-place distance to every profile, and the number of n-grams compared: the text's most frequent, ties by code."""
+        codes, counts = grams(text)
+        top = codes[np.argsort(-counts, kind="stable")[:PROFILE]]
+        if not len(self.codes) or not len(top):
+            return np.zeros(len(self.names)), 0
+        at = np.minimum(np.searchsorted(self.codes, top), len(self.codes) - 1)
+        ranks = np.where(self.codes[at] == top, self.ranks[:, at], PROFILE)
         return np.where(ranks < PROFILE, np.abs(ranks - np.arange(len(top))), PROFILE).sum(axis=1), len(top)
 
 
 def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    grams, totals = Grams(), {}
+    held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+    size: dict[str, int] = {}
+
+    def total(lang: str) -> tuple[np.ndarray, np.ndarray]:
+        return added(*(np.concatenate(x) for x in zip(*held[lang], strict=True)))
 
-    def flush() -> Iterator[pa.RecordBatch]:
-        names = list(grams.ids)
-        for lang, sums in totals.items():
-            at = np.flatnonzero(sums)
-            columns = [pa.array([lang] * len(at)), pa.array([names[i] for i in at], pa.string()), pa.array(sums[at].astype(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, ["lang", "gram", "n"])
-        grams.clear()
-        totals.clear()
+    def rows(lang: str, sums: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(sums[0]), pa.string()), *map(pa.array, sums)], ["lang", "gram", "n"])
 
     for batch in batches:
         for lang, text in zip(batch["lang"].to_pylist(), batch["text"], strict=True):
-            ids, counts = grams.count(text.as_py())
-            sums = totals.get(lang, np.zeros(0))
-            if len(ids) and ids[-1] >= len(sums):
-                sums = np.concatenate([sums, np.zeros(max(len(grams.codes), ids[-1] + 1) - len(sums))])
-            sums[ids] += counts
-            totals[lang] = sums
-            if grams.full():
-                yield from flush()
-    yield from flush()
-
-
-def language_profiles(docs: DataFrame) -> dict[str, dict[str, int]]:
-    """Ranks of each language's most frequent n-grams, from all rows with text and lang. One short list a language."""
+            found = grams(text.as_py())
+            held.setdefault(lang, []).append(found)
+            size[lang] = size.get(lang, 0) + len(found[0])
+            if size[lang] > HELD:
+                sums = total(lang)
+                if len(sums[0]) > PASSED_ON:
+                    yield rows(lang, sums)
+                    sums = (sums[0][:0], sums[1][:0])
+                held[lang], size[lang] = [sums], len(sums[0])
+    for lang in held:
+        yield rows(lang, total(lang))
+
+
+def language_profiles(docs: DataFrame) -> dict[str, dict[int, int]]:
+    """Ranks of each language's most frequent n-grams, by code, from all rows with text and lang. One short list a language."""
     known = docs.where("text is not null and lang is not null").select("lang", "text")
-    sums = known.mapInArrow(_learn, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    sums = known.mapInArrow(_learn, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     ranked = sums.withColumn("rank", F.row_number().over(order) - 1).where(F.col("rank") < PROFILE)
-    profiles: dict[str, dict[str, int]] = {}
+    profiles: dict[str, dict[int, int]] = {}
     for r in ranked.collect():
         profiles.setdefault(r.lang, {})[r.gram] = r["rank"]
     return dict(sorted(profiles.items()))
 
 
-def predict_language(docs: DataFrame, profiles: dict[str, dict[str, int]]) -> DataFrame:
+def predict_language(docs: DataFrame, profiles: dict[str, dict[int, int]]) -> DataFrame:
     """``(doc_id, lang_pred, score)`` of every row, from its text alone.
 
     The language with the smallest out-of-place distance, the first by name on ties; the score weighs the
     distances of all languages. Texts without a letter, null texts, and all texts if nothing was learned are ``und``, 0.
     """
-    names = list(profiles)
+    known = Profiles(profiles)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams = Grams(list(profiles.values()))
         for batch in batches:
             langs, scores = [], []
             for text in batch["text"]:
-                distance, n = grams.distances(text.as_py() or "") if names else ((), 0)
+                distance, n = known.distances(text.as_py() or "")
                 if n:
                     weight = np.exp(-SHARPNESS * (distance - distance.min()) / (n * PROFILE))
-                    langs.append(names[int(distance.argmin())])
+                    langs.append(known.names[int(distance.argmin())])
                     scores.append(float(weight.max() / weight.sum()))
                 else:
                     langs.append("und")
                     scores.append(0.0)
-                if grams.full():
-                    grams.clear()
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"]
+            )
 
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return base.mapInArrow(run, "doc_id long, lang_pred string, score double")

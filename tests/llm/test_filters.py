@@ -2,7 +2,8 @@ import re
 from collections import Counter
 
 import numpy as np
-from roadfeat.llm.language import PROFILE, Grams, languages
+from roadfeat.llm import language
+from roadfeat.llm.language import PROFILE, Profiles, code_of, grams, languages
 from roadfeat.llm.line_rules import base_counts, line_rules, without_lines
 from roadfeat.llm.quality import STATISTICS, Discriminant, fit, quality_scores, statistics
 from roadfeat.llm.queries import GOOD_FROM
@@ -62,17 +63,31 @@ def test_languages(documents):
     assert [r.lang_pred for r in languages(documents([(1, "text")])).collect()] == ["und"]
 
 
-def test_out_of_place_distance():
-    profiles = [{"a": 0, "b": 1, "ab": 2}, {"b": 0}]
-    text = "ab ab b"
+def plain_grams(text):
     counts = Counter()
-    for w in text.split():
+    for w in "".join(c if c.isalpha() else " " for c in text.lower()).split():
         p = f"_{w}_"
-        counts.update(g for n in (1, 2, 3) for i in range(len(p) - n + 1) if (g := p[i : i + n]) != "_")
-    code = lambda g: sum(ord(c) << 21 * (len(g) - 1 - i) for i, c in enumerate(g))
-    top = sorted(counts, key=lambda g: (-counts[g], code(g)))[:PROFILE]
-    want = [sum(abs(p[g] - i) if g in p else PROFILE for i, g in enumerate(top)) for p in profiles]
-    got, n = Grams(profiles).distances(text)
+        counts.update(code_of(g) for n in (1, 2, 3) for i in range(len(p) - n + 1) if (g := p[i : i + n]) != "_")
+    return counts
+
+
+def test_grams(monkeypatch):
+    many = "".join(chr(0x4E00 + i) + " x" * (i % 2) for i in range(300))
+    for chars in (1 << 18, 7):
+        monkeypatch.setattr(language, "CHARS_AT_ONCE", chars)
+        for text in [*ODD, many, "a", " a", "a ", "İstanbul ½ ß x_y don't", "ab ab b " * 50]:
+            codes, counts = grams(text or "")
+            assert codes.tolist() == sorted(codes.tolist())
+            assert dict(zip(codes.tolist(), counts.tolist(), strict=True)) == plain_grams(text or "")
+
+
+def test_out_of_place_distance():
+    profiles = {"x": {"a": 0, "b": 1, "ab": 2}, "y": {"b": 0}}
+    coded = {k: {code_of(g): r for g, r in p.items()} for k, p in profiles.items()}
+    counts = plain_grams("ab ab b")
+    top = sorted(counts, key=lambda g: (-counts[g], g))[:PROFILE]
+    want = [sum(abs(p[g] - i) if g in p else PROFILE for i, g in enumerate(top)) for p in coded.values()]
+    got, n = Profiles(coded).distances("ab ab b")
     assert got.tolist() == want and n == len(top)
 
 
