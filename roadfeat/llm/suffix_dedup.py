@@ -337,6 +337,12 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["ref", "n_removed", "runs", "left", "sha"])
 
 
+def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = [t.as_py().decode("utf-8", "ignore") for t in batch["left"]]
+        yield pa.RecordBatch.from_arrays([batch["ref"], pa.array(texts, pa.string())], ["ref", "left"])
+
+
 def changed_texts(docs: DataFrame, variants: int = VARIANTS) -> tuple[DataFrame, DataFrame]:
     """``(rows, changed)``: a light row for each document row, and what is left of texts that lose something.
 
@@ -405,8 +411,7 @@ def deduplicated_documents(docs: DataFrame) -> DataFrame:
     """
     rows, cut = changed_texts(docs)
     gone = rows.where("copied").select("ref").distinct()
-    left = cut.select("ref", F.expr("decode(left, 'UTF-8')").alias("left")).dropDuplicates(["ref"])
-    left = left.select("ref", F.regexp_replace("left", "�", "").alias("left"))
+    left = cut.select("ref", "left").mapInArrow(_decoded, "ref long, left string").dropDuplicates(["ref"])
     named = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
     text = F.col(f"c{docs.columns.index('text')}")
     keyed = named.withColumn("ref", F.xxhash64(F.coalesce(text.cast("binary"), F.lit(b""))))

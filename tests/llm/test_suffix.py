@@ -102,8 +102,11 @@ def test_documents_keep_their_other_columns(documents):
     rng = random.Random(6)
     words = lambda n: " ".join("".join(rng.choices("abcdefg", k=5)) for _ in range(n))
     shared = words(60)
-    rows = [(1, "é" + words(5) + shared, "en", "s"), (2, shared + words(3), "fr", "t"), (3, words(90), None, None), (4, shared, "x", "y"), (5, None)]
+    part = "é" * 99 + "è"  # cut inside a character: the first byte of é and è is the same
+    rows = [(10, "A" + part + "é" * 20, "en", "s"), (11, "B" + part + "ê" + words(9), "en", "s")]
+    rows += [(1, "é" + words(5) + shared, "en", "s"), (2, shared + words(3), "fr", "t"), (3, words(90), None, None), (4, shared, "x", "y"), (5, None)]
     docs = documents(rows, "7 as ref,8 as left")
     got = {r.doc_id: r for r in deduplicated_documents(docs).collect()}
-    assert deduplicated_documents(docs).columns == docs.columns and set(got) == {1, 2, 3}
-    assert shared not in got[1].text and got[3].text == rows[2][1] and got[2].lang == "fr" and got[2].n_chars == len(got[2].text)
+    assert deduplicated_documents(docs).columns == docs.columns and set(got) == {1, 2, 3, 10, 11}
+    assert got[11].text.startswith("B") and "\ufffd" not in got[11].text and got[11].text.endswith(rows[1][1][-20:])
+    assert shared not in got[1].text and got[3].text == rows[4][1] and got[2].lang == "fr" and got[2].n_chars == len(got[2].text)
