@@ -14,12 +14,15 @@ from roadfeat.llm.lm_scoring import loss_differences
 from roadfeat.llm.mixing import mix
 from roadfeat.llm.packing import pack
 from roadfeat.llm.quality import quality_scores
+from roadfeat.llm.sharding import Topology, digest, sharding_oracle, write_shards
 from roadfeat.llm.simhash import simhash_groups
 from roadfeat.llm.suffix_dedup import suffix_dedup
 from roadfeat.llm.token_shards import shard_digests, write_token_shards
 
 #: A document is predicted to be good from this score.
 GOOD_FROM = 0.3
+#: Eight shards of equal weight in two regions of two racks each.
+TOPOLOGY = Topology.even(regions=2, racks=2, shards=2)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,6 +90,11 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document as read back from the shards, and its shard if there is one more."""
+    return digest(write_shards(table(spark, sf_dir, "documents"), TOPOLOGY, TOPOLOGY.grown()).rows)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_shards": op1_token_shards,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -98,5 +106,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_quadratic_discriminant": op9_quadratic_discriminant,
     "op10_simhash_dedup": op10_simhash_dedup,
+    "op11_hash_tree_sharding": op11_hash_tree_sharding,
+}
+ORACLES: dict[str, str] = {
+    "op2_embedding_dedup": graph.ORACLE,
+    "op4_line_frequency": rules.ORACLE,
+    "op11_hash_tree_sharding": sharding_oracle(TOPOLOGY, TOPOLOGY.grown()),
 }
-ORACLES: dict[str, str] = {"op2_embedding_dedup": graph.ORACLE, "op4_line_frequency": rules.ORACLE}
