@@ -11,6 +11,7 @@ from roadfeat.llm import embedding_dedup as graph
 from roadfeat.llm import line_rules as rules
 from roadfeat.llm.language import languages
 from roadfeat.llm.lm_scoring import loss_differences
+from roadfeat.llm.merkle import build_manifest, merkle_oracle, tampered_text
 from roadfeat.llm.mixing import mix
 from roadfeat.llm.packing import pack
 from roadfeat.llm.quality import quality_scores
@@ -95,6 +96,11 @@ def op11_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(write_shards(table(spark, sf_dir, "documents"), TOPOLOGY, TOPOLOGY.grown()).rows)
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, proof and verdict; half of the documents are verified with a changed text."""
+    return build_manifest(table(spark, sf_dir, "documents"), tampered_text()).verify()
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_shards": op1_token_shards,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -107,9 +113,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quadratic_discriminant": op9_quadratic_discriminant,
     "op10_simhash_dedup": op10_simhash_dedup,
     "op11_hash_tree_sharding": op11_hash_tree_sharding,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 ORACLES: dict[str, str] = {
     "op2_embedding_dedup": graph.ORACLE,
     "op4_line_frequency": rules.ORACLE,
     "op11_hash_tree_sharding": sharding_oracle(TOPOLOGY, TOPOLOGY.grown()),
+    "op13_merkle_manifest": merkle_oracle(),
 }
