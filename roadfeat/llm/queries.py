@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadfeat.llm import divergence as terms
 from roadfeat.llm import embedding_dedup as graph
 from roadfeat.llm import line_rules as rules
 from roadfeat.llm.language import languages
@@ -96,6 +97,11 @@ def op11_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(write_shards(table(spark, sf_dir, "documents"), TOPOLOGY, TOPOLOGY.grown()).rows)
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances of every source to the others of its language, and the terms that set it apart."""
+    return terms.report(terms.divergence(table(spark, sf_dir, "documents")))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's leaf, proof and verdict; half of the documents are verified with a changed text."""
     return build_manifest(table(spark, sf_dir, "documents"), tampered_text()).verify()
@@ -113,11 +119,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quadratic_discriminant": op9_quadratic_discriminant,
     "op10_simhash_dedup": op10_simhash_dedup,
     "op11_hash_tree_sharding": op11_hash_tree_sharding,
+    "op12_source_divergence": op12_source_divergence,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 ORACLES: dict[str, str] = {
     "op2_embedding_dedup": graph.ORACLE,
     "op4_line_frequency": rules.ORACLE,
     "op11_hash_tree_sharding": sharding_oracle(TOPOLOGY, TOPOLOGY.grown()),
+    "op12_source_divergence": terms.ORACLE,
     "op13_merkle_manifest": merkle_oracle(),
 }
