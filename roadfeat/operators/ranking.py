@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadfeat.operators.storage import work_path
+from roadfeat.operators.storage import stored
 
 #: Rows of a range partition at most, and the least for which another partition is worth its start.
 LARGEST_PART, SMALLEST_PART = 1_000_000, 10_000
@@ -53,13 +53,14 @@ def starts(
     before = ranges.rowsBetween(Window.unboundedPreceding, -1)
     every = ranges.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     keys = [F.col(c).alias(f"_g{i}") for i, c in enumerate(group)]
-    offsets = totals.select(
+    # Written, so that the planner knows its size and need not shuffle the rows to join it.
+    offsets = stored(totals.select(
         *keys,
         F.col("_part").alias("_p"),
         "_first",
         F.sum("_rows").over(every).alias("_total"),
         *[F.coalesce(F.sum(f"_sum_{out}").over(before), F.lit(0)).alias(f"_before_{out}") for out in outs],
-    )
+    ), "offsets")
     inner = Window.partitionBy(*group, "_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
     for out, size in outs.items():
         if size is not None:
@@ -91,7 +92,4 @@ def with_starts(
     The result depends on the rows and the order only, not on how the input is split; rows that are equal in
     group and order stand in any order.
     """
-    spark = df.sparkSession
-    path = work_path(spark, "ranges")
-    in_order(df, group, order, parts_for(df, df.count())).write.parquet(path)
-    return starts(spark.read.parquet(path), group, outs, total)
+    return starts(stored(in_order(df, group, order, parts_for(df, df.count())), "ranges"), group, outs, total)

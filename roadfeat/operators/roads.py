@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from roadfeat.config import (
     BUFFER_50M,
@@ -23,6 +21,8 @@ from roadfeat.functions.clean import require_columns
 from roadfeat.functions.crs import crs_name
 from roadfeat.functions.geometry import PARTS_TYPE, buffer_polygon, cumulative_lengths
 from roadfeat.layer import LINE, POLYGON, Layer
+from roadfeat.operators.ranking import with_starts
+from roadfeat.operators.storage import stored
 
 ROAD_ATTRIBUTES = ("RN", "RN_CD", "ROAD_LT", "ROAD_BT", "ROA_CLS_SE")
 
@@ -131,71 +131,14 @@ def _walkable_lines(roads: Layer, order_by: str, distance: int) -> DataFrame:
 
 
 def _number_roads(lines: DataFrame) -> DataFrame:
-    """Add ``ROAD_IDX`` and the id of each road's first point.
+    """Add ``ROAD_IDX`` and the id of each road's first point, by running sums over ranges of the order column.
 
-    Prefix sums in two levels. Roads fall into buckets at quantiles of the order column,
-    whatever its distribution; inside a bucket a window numbers them, and the bucket
-    totals, about the square root of the roads, are summed up and sent to every task. The
-    bounds are literals, so a recomputed task finds the same buckets.
+    Only the order column and the number of points are ranged; the lines meet them once.
     """
-    bounds = _bucket_bounds(lines)
-    bucketed = lines.withColumn("_bucket", _bucket_of("_ord", bounds))
-    totals = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("roads"), F.sum("_n").alias("points"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select(
-        "_bucket",
-        F.coalesce(F.sum("roads").over(before), F.lit(0)).alias("_roads_before"),
-        F.coalesce(F.sum("points").over(before), F.lit(0)).alias("_points_before"),
-    )
-    inside = Window.partitionBy("_bucket").orderBy("_ord")
-    return (
-        bucketed.withColumns(
-            {
-                "_rank": F.row_number().over(inside) - 1,
-                "_running": F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-            }
-        )
-        .join(F.broadcast(starts), "_bucket")
-        .withColumns(
-            {
-                "ROAD_IDX": F.col("_roads_before") + F.col("_rank"),
-                "_first_id": F.col("_points_before") + F.col("_running") - F.col("_n"),
-            }
-        )
-    )
-
-
-def _bucket_count(roads: int) -> int:
-    return math.isqrt(roads)
-
-
-def _bucket_bounds(lines: DataFrame) -> list[float]:
-    """Quantiles of the order column for about as many buckets as a bucket has roads.
-
-    So neither a bucket nor the table of bucket totals outgrows the square root of the roads.
-    """
-    buckets = _bucket_count(lines.agg(F.count("_ord")).first()[0])
-    if buckets <= 1:
-        return []
-    # As text: one expression instead of a column for each bound.
-    grid = ", ".join(f"{i / buckets}D" for i in range(1, buckets))
-    quantile = F.expr(f"percentile_approx(cast(_ord as double), array({grid}), {10 * buckets})")
-    return sorted(set(lines.agg(quantile).first()[0]))
-
-
-def _bucket_of(order: str, bounds: list[float]) -> Column:
-    """How many bounds lie at or below the value, by halving the bounds."""
-    if not bounds:
-        return F.lit(0)
-    listed = f"array({', '.join(f'{b!r}D' for b in bounds)})"
-    # The answer stays in [lo, hi]; a fixed number of halvings closes the interval.
-    mid = "cast((acc.lo + acc.hi) div 2 as int)"
-    return F.expr(
-        f"aggregate(sequence(1, {len(bounds).bit_length()}), named_struct('lo', 0, 'hi', {len(bounds)}), "
-        f"(acc, i) -> case when acc.lo >= acc.hi then acc "
-        f"when {listed}[{mid}] <= cast({order} as double) then named_struct('lo', {mid} + 1, 'hi', acc.hi) "
-        f"else named_struct('lo', acc.lo, 'hi', {mid}) end, acc -> acc.lo)"
-    )
+    sizes = stored(lines.select("_ord", "_n"), "road-sizes")
+    numbered = with_starts(sizes, [], ["_ord"], {"ROAD_IDX": None, "_first_id": "_n"})
+    placed = numbered.select(F.col("_ord").alias("_o"), "ROAD_IDX", "_first_id")
+    return lines.join(placed, F.col("_ord").eqNullSafe(F.col("_o"))).drop("_o")
 
 
 def _walk(numbered: DataFrame, distance: int) -> DataFrame:

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_made: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -25,7 +26,25 @@ def shared_folder(spark: SparkSession) -> str:
 
 def work_path(spark: SparkSession, label: str) -> str:
     """A new place in the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The same rows, written as Parquet to the shared folder and read back with a size that the planner knows."""
+    path = work_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the tables that this driver has written to the shared folder so far; frames built on them can't be run again."""
+    count = len(_made)
+    while _made:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return count
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -126,13 +126,14 @@ def test_parts_restart_and_empty_roads_keep_their_number(spark):
 
 
 def test_ids_do_not_depend_on_buckets(spark, monkeypatch):
+    from roadfeat.operators import ranking
     from roadfeat.operators import roads as module
 
     lines = [straight(7.0 * (i % 9)) for i in range(60)]
     layer = roads(spark, lines)
     want = sorted(map(tuple, make_points(layer, "ord").df.select("POINT_ID", "ROAD_IDX", "x").collect()))
     assert [w[0] for w in want] == list(range(len(want)))
-    monkeypatch.setattr(module, "_bucket_count", lambda n: 23)
+    monkeypatch.setattr(ranking, "SMALLEST_PART", 20)
     monkeypatch.setattr(module, "POINTS_PER_RUN", 2)
     shuffled = Layer(layer.df.repartition(5, "ROAD_LT", "ord"), LINE)
     assert sorted(map(tuple, make_points(shuffled, "ord").df.select("POINT_ID", "ROAD_IDX", "x").collect())) == want
