@@ -34,7 +34,9 @@ class Layer:
         if self.kind == POINT:
             df = crs_fn.project_points(self.df, "x", "y", self.crs, target)
         else:
-            df = self.df.withColumn("parts", crs_fn.project_parts("parts", self.crs, target))
+            # Boxes that a source gave are in its own system.
+            df = self.df.drop("xmin", "ymin", "xmax", "ymax")
+            df = df.withColumn("parts", crs_fn.project_parts("parts", self.crs, target))
         return replace(self, df=df, crs=target, stored=False)
 
     def drop_empty(self) -> "Layer":

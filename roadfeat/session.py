@@ -14,6 +14,8 @@ DEFAULTS = {
     "spark.sql.legacy.javaCharsets": "true",
     # Checkpoint files go when the frames that read them do.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # Lets Python data sources take conditions; shapefiles meet those on the box of a record.
+    "spark.sql.python.filterPushdown.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     # Parquet sizes on disk understate what a broadcast holds in memory; the
     # planner's size checks work on this multiple of the file size.

@@ -22,14 +22,8 @@ from roadfeat.functions import clean
 from roadfeat.functions.clean import name, trimmed
 from roadfeat.functions.geometry import has_vertices, representative_point, two_point_line
 from roadfeat.layer import LINE, POINT, POLYGON, Layer
-from roadfeat.sources.shapefile import (
-    SOURCE_FILE,
-    crs_of_shapefile,
-    find_shapefiles,
-    read_dbf_header,
-    read_shapefile,
-    _sibling,
-)
+from roadfeat.operators.storage import stored
+from roadfeat.sources.shapefile import SOURCE_FILE, find_shapefiles, header_rows, merged_schema, read_shapefile
 from roadfeat.sources.tables import is_text_file, read_layer, read_table
 
 
@@ -397,16 +391,20 @@ def _population_files(folder: str, source_crs: int) -> Layer:
         options = {"recursiveFileLookup": True, "pathGlobFilter": "*.parquet", "mergeSchema": True}
         files = spark.read.options(**options).parquet(folder)
         return Layer(files.withColumn(SOURCE_FILE, F.col("_metadata.file_path")), POLYGON, source_crs)
-    by_crs: dict[int, list[str]] = {}
-    for path in paths:
-        if not any(f.name == "val" for f in read_dbf_header(_sibling(path, ".dbf"), "utf-8").fields):
-            raise ValueError(f"{path}: missing columns ['val']")
-        by_crs.setdefault(crs_of_shapefile(path) or source_crs, []).append(path)
-    base = crs_of_shapefile(paths[0]) or source_crs
+    headers = stored(header_rows(spark, paths, "utf-8"), "headers")
+    # Every file needs the column, so files are told by those that have it.
+    valued = headers.groupBy("no", "path", "crs").agg(F.max((F.col("field") == "val").cast("int")).alias("has"))
+    lacking = valued.where("has is null or has = 0").orderBy("no").first()
+    if lacking is not None:
+        raise ValueError(f"{lacking['path']}: missing columns ['val']")
+    schema = merged_schema(headers, POLYGON)
+    by_crs = valued.groupBy("crs").agg(F.min("no").alias("first"), F.array_sort(F.collect_list("no")).alias("files"))
+    groups = by_crs.orderBy("first").collect()
+    base = groups[0]["crs"] or source_crs
     merged = None
-    for code, group in by_crs.items():
-        cells = clean.with_numbers(read_shapefile(spark, group, POLYGON, "utf-8"), ["val"])
-        part = Layer(cells, POLYGON, code).to_crs(base).df
+    for group in groups:
+        cells = read_shapefile(spark, [paths[i] for i in group["files"]], POLYGON, "utf-8", schema=schema)
+        part = Layer(clean.with_numbers(cells, ["val"]), POLYGON, group["crs"] or source_crs).to_crs(base).df
         merged = part if merged is None else merged.unionByName(part, allowMissingColumns=True)
     return Layer(merged, POLYGON, base)
 

@@ -12,7 +12,14 @@ from roadfeat.config import PROJECT_CRS
 from roadfeat.functions.clean import name, normalize_na, require_columns
 from roadfeat.functions.geometry import bounds, close_rings
 from roadfeat.layer import LINE, POINT, POLYGON, Layer
-from roadfeat.sources.shapefile import crs_of_shapefile, read_shapefile
+from roadfeat.sources.shapefile import (
+    crs_of_shapefile,
+    find_shapefiles,
+    header_rows,
+    is_file,
+    merged_schema,
+    read_shapefile,
+)
 
 BBOX_COLUMNS = ("xmin", "ymin", "xmax", "ymax")
 Source = "str | os.PathLike | DataFrame"
@@ -82,10 +89,8 @@ def read_layer(
         layer = Layer(source, kind, crs or PROJECT_CRS)
     else:
         path = os.fspath(source)
-        if path.lower().endswith(".shp"):
-            layer = Layer(
-                read_shapefile(active_session(), path, kind, encoding), kind, crs_of_shapefile(path) or crs or PROJECT_CRS
-            )
+        if path.rstrip("/").lower().endswith(".shp"):
+            layer = _shapefile_layer(path, kind, crs, encoding, columns, what)
         else:
             layer = Layer(read_table(path, what=what), kind, crs or PROJECT_CRS)
     require_columns(layer.df, ["x", "y"] if layer.kind == POINT else ["parts"], what)
@@ -99,6 +104,27 @@ def read_layer(
     return replace(layer, df=df)
 
 
+def _shapefile_layer(
+    path: str, kind: str, crs: int | None, encoding: str, columns: Iterable[str] | None, what: str
+) -> Layer:
+    """One shapefile, or a folder of parts that has the name of one; only the named columns are decoded."""
+    spark = active_session()
+    columns = list(columns) if columns is not None else None
+    if is_file(path):
+        return Layer(
+            read_shapefile(spark, path, kind, encoding, columns), kind, crs_of_shapefile(path) or crs or PROJECT_CRS
+        )
+    parts = find_shapefiles(path)
+    if not parts:
+        raise FileNotFoundError(path)
+    headers = header_rows(spark, parts, encoding)
+    systems = [r[0] for r in headers.select("crs").distinct().collect()]
+    if len(systems) > 1:
+        raise ValueError(f"{what}: {path} has files in several coordinate systems {systems}")
+    schema = merged_schema(headers, kind, columns)
+    return Layer(read_shapefile(spark, parts, kind, encoding, schema=schema), kind, systems[0] or crs or PROJECT_CRS)
+
+
 def ingest_layer(layer: Layer, path: str, tile_m: float = 5_000.0, mode: str = "errorifexists") -> None:
     """Write a layer as Parquet with bounding boxes, sorted by tile inside each file.
 

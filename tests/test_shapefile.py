@@ -83,7 +83,7 @@ def test_coordinate_systems(tmp_path):
 
 
 def test_roads(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(shapefile, "RECORDS_PER_TASK", 2)
+    monkeypatch.setattr(shapefile, "BYTES_PER_TASK", 200)
     bodies = [outline(3, [(0, 0), (50, 0)]), NULL, outline(3, [(0, 0), (10, 0)], [(10, 0), (10, 30)])]
     rows = [("11110", "3", "세종로", "10.5"), ("11110", "4", "종로", "1"), ("11110", "4", "길", "")]
     fields = [("SIG_CD", "C", 5, 0), ("ROA_CLS_SE", "C", 1, 0), ("RN", "C", 20, 0), ("ROAD_LT", "N", 8, 2)]
