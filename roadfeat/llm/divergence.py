@@ -15,14 +15,20 @@ from roadfeat.llm.shared import store
 
 #: Fixed by the definition of a chance: chances are whole billionths.
 UNIT = 1_000_000_000
-#: Distinct terms that a task counts before it hands them on, and entries and pairs of one block of the pair sums.
-HELD_TERMS, BLOCK_ROWS, HELD_PAIRS = 200_000, 200_000, 1_000_000
+#: Distinct terms of groups that a task counts before it hands them on, and entries and pairs of one block of the pair sums.
+HELD_TERMS, BLOCK_ROWS, HELD_PAIRS = 300_000, 200_000, 1_000_000
+#: Bytes of text for each bucket of digests; a bucket's records are added up in one task.
+BUCKET_BYTES = 16 << 20
+#: Bits of the filter of kept digests for each of them, and at most; more pass a full one, none are lost.
+FILTER_BITS, MOST_FILTER_BITS = 32, 1 << 28
 #: Groups of a language on the left of one key of the join of groups.
 GROUPS_PER_KEY = 1_000
 #: A-Z become lower case, all other single-byte characters but a-z end a term.
 _TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
-_PARTS = "lang string, source string, digest long, n long, docs long, least string, most string"
+_PACKED = "bucket int, langs array<string>, sources array<string>, sizes array<long>, digests binary, n binary, docs binary, least array<string>, most array<string>"
+_ENTRIES = "lang string, source string, digest long, n long, n_lang long, first boolean"
+_EXACT = "lang string, source string, digest long, term string, n long, docs long"
 _SUMS = "lang string, a string, b string, part long"
 
 
@@ -31,61 +37,173 @@ def terms_of(text: bytes) -> list[bytes]:
     return text.translate(_TERM_BYTES).split()
 
 
-def _counter(bits: int, exact: bool):
-    """Counts of a task's documents by (lang, source, digest), and one row for each digest with its least and greatest string.
+def _arrow(kind: str) -> pa.DataType:
+    plain = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "boolean": pa.bool_()}
+    return pa.list_(plain[kind[6:-1]]) if kind.startswith("array<") else plain[kind]
 
-    With ``exact`` rows are by string: ``least`` is the term.
-    """
-    from xxhash import xxh64_intdigest
 
-    def columns(rows: int, /, **given) -> pa.RecordBatch:  # noqa: ANN003
-        names = [f.split()[0] for f in _PARTS.split(", ")]
-        kinds = [pa.int64() if f.endswith("long") else pa.string() for f in _PARTS.split(", ")]
-        arrays = [pa.array(given[c], k) if c in given else pa.nulls(rows, k) for c, k in zip(names, kinds, strict=True)]
-        return pa.RecordBatch.from_arrays(arrays, names)
+def _batch(schema: str, columns: list) -> pa.RecordBatch:
+    fields = [f.split() for f in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, _arrow(k)) for c, (_, k) in zip(columns, fields, strict=True)], [n for n, _ in fields])
+
+
+def digest_of(term: bytes, bits: int) -> int:
+    """The low ``bits`` bits of a hash as a signed number."""
+    from xxhash import xxh64_intdigest
 
-    def flush(held: dict) -> Iterator[pa.RecordBatch]:
+    return (xxh64_intdigest(term) >> (64 - bits)) - (1 << (bits - 1))
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Counts of terms and of documents for each (lang, source), handed on whenever they hold ``HELD_TERMS`` terms."""
+    held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+    size = 0
+    for batch in batches:
+        for lang, source, text in zip(batch["lang"].to_pylist(), batch["source"].to_pylist(), batch["text"], strict=True):
+            words = terms_of(text.as_py())
+            if words:
+                times, docs = held.setdefault((lang, source), (Counter(), Counter()))
+                size -= len(times)
+                times.update(words)
+                docs.update(set(words))
+                size += len(times)
+            if size >= HELD_TERMS:
+                yield held
+                held, size = {}, 0
+    if held:
+        yield held
+
+
+def _packer(bits: int, buckets: int):
+    """Each time a task hands on: for each bucket one row of packed records (digest, n, docs) of all groups, and one row that
+    keeps, where it was read, the least and greatest string of each digest."""
+
+    def pack(held: dict) -> Iterator[pa.RecordBatch]:
         digests: dict[bytes, int] = {}
-        for (lang, source), (times, docs) in held.items():
+        rows: list[list] = []
+        groups = []
+        for group, (times, docs) in held.items():
             terms = list(times)
             for t in terms:
                 if t not in digests:
-                    digests[t] = (xxh64_intdigest(t) >> (64 - bits)) - (1 << (bits - 1))
+                    digests[t] = digest_of(t, bits)
             found = np.fromiter(map(digests.__getitem__, terms), np.int64, len(terms))
-            n, d = np.fromiter(times.values(), np.int64, len(terms)), np.fromiter(map(docs.__getitem__, terms), np.int64, len(terms))
-            rows = len(terms)
-            if not exact:
-                found, at = np.unique(found, return_inverse=True)
-                rows = len(found)
-                n, d = np.bincount(at, n, rows).astype(np.int64), np.bincount(at, d, rows).astype(np.int64)
-            group = {"lang": [lang] * rows, "source": [source] * rows}
-            yield columns(rows, **group, digest=found, n=n, docs=d, **({"least": [t.decode() for t in terms]} if exact else {}))
-        if not exact:
+            n = np.fromiter(times.values(), np.uint32, len(terms))
+            d = np.fromiter(map(docs.__getitem__, terms), np.uint32, len(terms))
+            bucket = found % buckets
+            order = np.argsort(bucket, kind="stable")
+            groups.append((group, bucket[order], found[order], n[order], d[order]))
+        for b in range(buckets):
+            row: list[list] = [[], [], [], [], [], []]
+            for (lang, source), bucket, found, n, d in groups:
+                low, high = np.searchsorted(bucket, (b, b + 1))
+                if high > low:
+                    for kept, x in zip(row, (lang, source, high - low, found[low:high], n[low:high], d[low:high]), strict=True):
+                        kept.append(x)
+            if row[0]:
+                rows.append([b, row[0], row[1], row[2], *[np.concatenate(x).tobytes() for x in row[3:]], None, None])
+        if rows:
+            yield _batch(_PACKED, list(zip(*rows, strict=True)))
+        terms, found = list(digests), np.fromiter(digests.values(), np.int64, len(digests))
+        least, most = terms, None
+        if len(set(digests.values())) < len(terms):
             ends: dict[int, list[bytes]] = {}
-            for t, d in digests.items():
-                low_high = ends.setdefault(d, [t, t])
-                if not low_high[0] <= t <= low_high[1]:
-                    low_high[t > low_high[0]] = t
-            if ends:
-                least, most = ([x[i].decode() for x in ends.values()] for i in (0, 1))
-                yield columns(len(ends), digest=list(ends), least=least, most=most)
+            for t, x in digests.items():
+                both = ends.setdefault(x, [t, t])
+                both[:] = min(both[0], t), max(both[1], t)
+            found = np.fromiter(ends, np.int64, len(ends))
+            least, most = ([x[i] for x in ends.values()] for i in (0, 1))
+        text = lambda x: None if x is None else [t.decode() for t in x]
+        yield _batch(_PACKED, [[-1], [None], [None], [None], [found.tobytes()], [None], [None], [text(least)], [text(most)]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in _counted(batches):
+            yield from pack(held)
+
+    return run
+
+
+def _adder(least_docs: int):
+    """Adds up the packed records of whole buckets and keeps the digests that enough documents of a language have."""
+
+    def add(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        names: dict[tuple[str, str], int] = {}
+        ids, sizes = [], []
+        for _, langs, sources, row_sizes, *_ in rows:
+            ids += [names.setdefault(g, len(names)) for g in zip(langs, sources, strict=True)]
+            sizes += row_sizes
+        # Groups by language, so that one sort puts the groups of a language together.
+        order = sorted(names)
+        rank = np.empty(len(order), np.int64)
+        rank[[names[g] for g in order]] = np.arange(len(order))
+        lang_no = {lang: i for i, lang in enumerate(dict.fromkeys(g[0] for g in order))}
+        lang_of = np.array([lang_no[g[0]] for g in order])
+        group = np.repeat(rank[ids], sizes)
+        digest, n, docs = (np.frombuffer(b"".join(r[i] for r in rows), k) for i, k in ((4, "<i8"), (5, "<u4"), (6, "<u4")))
+        at = np.lexsort((group, digest))
+        digest, group, n, docs = digest[at], group[at], n[at].astype(np.int64), docs[at].astype(np.int64)
+        lang = lang_of[group]
+        new_lang = np.append(True, (digest[1:] != digest[:-1]) | (lang[1:] != lang[:-1]))
+        new = np.append(True, new_lang[1:] | (group[1:] != group[:-1]))
+        starts, lang_starts = np.flatnonzero(new), np.flatnonzero(new_lang)
+        whole, seen = np.add.reduceat(n, lang_starts), np.add.reduceat(docs, lang_starts)
+        of = np.searchsorted(lang_starts, starts, side="right") - 1
+        keep = seen[of] >= least_docs
+        starts, of, own = starts[keep], of[keep], np.add.reduceat(n, starts)[keep]
+        labels = [[g[i] for g in order] for i in (0, 1)]
+        text = [pa.DictionaryArray.from_arrays(pa.array(group[starts].astype(np.int32)), pa.array(x, pa.string())).cast(pa.string()) for x in labels]
+        yield _batch(_ENTRIES, [*text, digest[starts], own, whole[of], new_lang[starts]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        for batch in batches:
+            for row in zip(*[c.to_pylist() for c in batch.columns[:7]], strict=True):
+                if held and row[0] != held[0][0]:
+                    yield from add(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield from add(held)
+
+    return run
+
+
+def _strings(mask: bytes):
+    """The stored strings whose digest passes the filter, as rows (digest, least, most)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
-        size = 0
+        words = np.frombuffer(mask, "<u8")
         for batch in batches:
-            for lang, source, text in zip(batch["lang"].to_pylist(), batch["source"].to_pylist(), batch["text"], strict=True):
-                words = terms_of(text.as_py())
-                if words:
-                    times, docs = held.setdefault((lang, source), (Counter(), Counter()))
-                    size -= len(times)
-                    times.update(words)
-                    docs.update(set(words))
-                    size += len(times)
-                if size >= HELD_TERMS:
-                    yield from flush(held)
-                    held, size = {}, 0
-        yield from flush(held)
+            for digests, least, most in zip(batch["digests"], batch["least"], batch["most"], strict=True):
+                found = np.frombuffer(digests.as_py(), "<i8")
+                bit = found & (64 * len(words) - 1)
+                keep = pa.array(words[bit >> 6] >> (bit & 63).astype(np.uint64) & np.uint64(1) == 1)
+                low = least.values.filter(keep)
+                high = most.values.filter(keep) if most.is_valid else low
+                yield pa.RecordBatch.from_arrays([pa.array(found).filter(keep), low, high], ["digest", "least", "most"])
+
+    return run
+
+
+def _filter_of(digests: DataFrame, kept: int) -> bytes:
+    """A bit for each kept digest by its low bits; its size is bounded by a parameter, whatever is kept."""
+    bits = min(MOST_FILTER_BITS, 1 << max(16, (FILTER_BITS * kept).bit_length()))
+    bit = F.col("digest").bitwiseAND(F.lit(bits - 1))
+    word, mask = F.shiftright(bit, 6).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit.bitwiseAND(F.lit(63)).cast("int"))
+    words = np.zeros(bits // 64, np.int64)
+    for r in digests.groupBy(word).agg(F.bit_or(mask).alias("mask")).toLocalIterator():
+        words[r["word"]] = r["mask"]
+    return words.tobytes()
+
+
+def _by_string(bits: int):
+    """Counts by the terms themselves: rows (lang, source, digest, term, n, docs)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in _counted(batches):
+            for (lang, source), (times, docs) in held.items():
+                rows = [(lang, source, digest_of(t, bits), t.decode(), n, docs[t]) for t, n in times.items()]
+                yield _batch(_EXACT, list(zip(*rows, strict=True)))
 
     return run
 
@@ -110,34 +228,40 @@ def _pair_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     are compared at once for k = 1, 2, ...
     """
 
-    def blocks() -> Iterator[tuple]:
-        held: list[tuple] = []
-        term = None
+    def code(column: pa.ChunkedArray) -> tuple[np.ndarray, list]:
+        found = column.combine_chunks().dictionary_encode(null_encoding="encode")
+        return found.indices.to_numpy().astype(np.int64), found.dictionary.to_pylist()
+
+    def starts_of(table: pa.Table) -> np.ndarray:
+        """First rows of the terms."""
+        keys = [code(table["lang"])[0], table["digest"].to_numpy(), code(table["term"])[0]]
+        return np.append(0, np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1)
+
+    def blocks() -> Iterator[pa.Table]:
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if row[:3] != term and held and (len(held) >= BLOCK_ROWS or row[0] != held[0][0]):
-                    yield held
-                    held = []
-                term = row[:3]
-                held.append(row)
+            if batch.num_rows:
+                held.append(batch)
+            if sum(b.num_rows for b in held) >= BLOCK_ROWS:
+                table = pa.Table.from_batches(held)
+                last = int(starts_of(table)[-1])
+                if last:
+                    yield table.slice(0, last)
+                held = table.slice(last).combine_chunks().to_batches()
         if held:
-            yield held
+            yield pa.Table.from_batches(held)
 
     def out(sums: dict) -> Iterator[pa.RecordBatch]:
         if sums:
-            lang, a, b = zip(*sums, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (lang, a, b)] + [pa.array(sums.values(), pa.int64())], ["lang", "a", "b", "part"])
+            yield _batch(_SUMS, [*zip(*sums, strict=True), list(sums.values())])
 
     sums: dict[tuple[str, str, str], int] = {}
-    for held in blocks():
-        lang, digests, terms, sources, p, z = zip(*held, strict=True)
-        rows = len(held)
-        p, z = np.array(p, np.int64), np.array(z, np.int64)
-        names, source = np.unique(np.array(sources, object), return_inverse=True)
-        new = np.fromiter((i == 0 or held[i][1:3] != held[i - 1][1:3] for i in range(rows)), bool, rows)
-        starts = np.flatnonzero(new)
+    for table in blocks():
+        rows, starts = table.num_rows, starts_of(table)
+        p, z = table["p"].to_numpy(), table["absent"].to_numpy()
+        (lang, langs), (source, names) = code(table["lang"]), code(table["source"])
         ends = np.repeat(np.append(starts[1:], rows), np.diff(np.append(starts, rows)))
-        at, step = np.arange(rows), 0
+        at, step, width = np.arange(rows), 0, len(names)
         while True:
             step += 1
             at = at[at + step < ends[at]]
@@ -145,10 +269,10 @@ def _pair_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 break
             q, y = at, at + step
             value = _gap(p[q], p[y]) - _gap(p[q], z[y]) - _gap(z[q], p[y]) + _gap(z[q], z[y])
-            cells, cell = np.unique(source[q] * len(names) + source[y], return_inverse=True)
+            cells, cell = np.unique((lang[q] * width + source[q]) * width + source[y], return_inverse=True)
             # Sums of a block stay far below 2^53, where doubles are exact.
             for c, v in zip(cells.tolist(), np.bincount(cell, value).astype(np.int64).tolist(), strict=True):
-                key = (lang[0], names[c // len(names)], names[c % len(names)])
+                key = (langs[c // width // width], names[c // width % width], names[c % width])
                 sums[key] = sums.get(key, 0) + v
         if len(sums) >= HELD_PAIRS:
             yield from out(sums)
@@ -222,7 +346,8 @@ class Divergence:
 def divergence(docs: DataFrame, least_docs: int = 10, bits: int = 64) -> Divergence:
     """Counts and chances of the terms that at least ``least_docs`` documents of their language have.
 
-    Terms are counted by digests of ``bits`` bits; the strings of kept digests are gathered as least and greatest only. Where
+    Terms are counted by digests of ``bits`` bits: tasks shuffle packed records (digest, counts), dealt by digest to as many
+    buckets as the text needs. Strings stay where they were read, and those of kept digests are gathered as least and greatest only. Where
     these differ, two terms share the digest: the documents are read again and the terms of such digests, and only these, are
     counted by their strings. A digest's documents are at least those of each of its terms, so none that is kept is missed.
 
@@ -234,26 +359,28 @@ def divergence(docs: DataFrame, least_docs: int = 10, bits: int = 64) -> Diverge
         raise ValueError("bits must be from 1 to 64")
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     base = docs.select(text("lang").alias("lang"), text("source").alias("source"), text("text").cast("binary").alias("text"))
-    parts = store(base.mapInArrow(_counter(bits, False), _PARTS), "divergence-parts")
+    n_bytes = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_bytes // BUCKET_BYTES)
+    parts = store(base.mapInArrow(_packer(bits, buckets), _PACKED), "divergence-parts")
+    records = parts.where("bucket >= 0").repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    entries = store(records.mapInArrow(_adder(least_docs), _ENTRIES), "divergence-entries")
 
-    def kept(counted: DataFrame, key: list[str]) -> DataFrame:
-        summed = counted.groupBy("lang", "source", *key).agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-        of_term = Window.partitionBy("lang", *key)
-        wide = summed.select(
-            "lang", "source", *key, "n", F.sum("n").over(of_term).alias("n_lang"), F.sum("docs").over(of_term).alias("docs"),
-            (F.col("source") == F.min("source").over(of_term)).alias("first"),
-        )
-        return wide.where(F.col("docs") >= least_docs).drop("docs")
-
-    entries = store(kept(parts.where("n is not null"), ["digest"]), "divergence-entries")
     digests = store(entries.select("digest").distinct(), "divergence-digests")
-    strings = parts.where("n is null").join(digests, "digest", "left_semi")
+    stored = parts.where("bucket < 0").select("digests", "least", "most")
+    near = stored.mapInArrow(_strings(_filter_of(digests, digests.count())), "digest long, least string, most string")
+    strings = near.join(digests, "digest", "left_semi")
     names = store(strings.groupBy("digest").agg(F.min("least").alias("least"), F.max("most").alias("most")), "divergence-names")
     shared = names.where("least != most").select("digest")
     entries = entries.withColumn("term", F.lit(None).cast("string"))
     if not shared.isEmpty():
-        again = base.mapInArrow(_counter(bits, True), _PARTS).join(shared, "digest", "left_semi").withColumnRenamed("least", "term")
-        split = kept(again, ["digest", "term"])
+        again = base.mapInArrow(_by_string(bits), _EXACT).join(shared, "digest", "left_semi")
+        summed = again.groupBy("lang", "source", "digest", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+        of_term = Window.partitionBy("lang", "digest", "term")
+        wide = summed.select(
+            "lang", "source", "digest", "n", F.sum("n").over(of_term).alias("n_lang"),
+            (F.col("source") == F.min("source").over(of_term)).alias("first"), "term", F.sum("docs").over(of_term).alias("docs"),
+        )
+        split = wide.where(F.col("docs") >= least_docs).drop("docs")
         entries = store(entries.join(shared, "digest", "left_anti").unionByName(split), "divergence-split")
 
     langs = entries.groupBy("lang").agg(F.sum(F.col("first").cast("long")).alias("terms"), F.sum("n").alias("lang_total"))

@@ -2,6 +2,7 @@ import random
 import re
 
 import duckdb
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -99,17 +100,25 @@ def test_small_blocks_and_flushes(documents, monkeypatch):
     monkeypatch.setattr(module, "BLOCK_ROWS", 4)
     monkeypatch.setattr(module, "HELD_PAIRS", 2)
     batches = [pa.RecordBatch.from_pydict({"lang": ["en"] * 3, "source": ["a", "b", "a"], "text": [b"a b c d e f", b"a", b"A g"]})]
-    rows = [r for b in module._counter(64, True)(iter(batches)) for r in b.to_pylist()]
-    counts = {}
-    for r in rows:
-        counts[r["source"], r["least"]] = counts.get((r["source"], r["least"]), 0) + r["n"]
-    assert counts == {("a", "a"): 2, ("b", "a"): 1, **{("a", x): 1 for x in "bcdefg"}}
+    counts, strings = {}, {}
+    for b in module._packer(64, 3)(iter(batches)):
+        for r in b.to_pylist():
+            digests = np.frombuffer(r["digests"], "<i8").tolist()
+            if r["bucket"] < 0:
+                strings.update(zip(digests, r["least"], strict=True))
+                continue
+            assert {d % 3 for d in digests} == {r["bucket"]}
+            groups = [s for s, k in zip(r["sources"], r["sizes"], strict=True) for _ in range(k)]
+            for source, d, n in zip(groups, digests, np.frombuffer(r["n"], "<u4").tolist(), strict=True):
+                counts[source, d] = counts.get((source, d), 0) + n
+    named = {(source, strings[d]): n for (source, d), n in counts.items()}
+    assert named == {("a", "a"): 2, ("b", "a"): 1, **{("a", x): 1 for x in "bcdefg"}}
     lists = {"lang": [], "digest": [], "term": [], "source": [], "p": [], "absent": []}
     for digest in range(6):
         for k, source in enumerate("abc"):
             for c, v in zip(lists.values(), ("en", digest, None, source, 10**9 - digest * k, 7), strict=True):
                 c.append(v)
-    table = pa.RecordBatch.from_pydict(lists)
+    table = pa.RecordBatch.from_pydict(lists).set_column(2, "term", pa.nulls(18, pa.string()))
     sums = {}
     for b in module._pair_sums(iter([table.slice(0, 7), table.slice(7)])):
         for r in b.to_pylist():
