@@ -422,10 +422,7 @@ class ShapefileWriter(DataSourceArrowWriter):
         self.encoding = options.get("encoding", "utf-8")
         place = ("x", "y") if self.kind == "point" else ("parts",)
         self.attributes = [f for f in schema.fields if f.name not in (*place, *BOX)]
-        fs, inner = _open(self.path)
-        if fs.get_file_info(pafs.FileSelector(inner, allow_not_found=True)) and not overwrite:
-            raise FileExistsError(self.path)
-        self.run = uuid.uuid4().hex
+        self.overwrite, self.run = overwrite, uuid.uuid4().hex
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         from pyspark import TaskContext
@@ -454,7 +451,8 @@ class ShapefileWriter(DataSourceArrowWriter):
     def commit(self, messages) -> None:  # noqa: ANN001
         fs, folder = _open(self.path)
         fs.create_dir(folder, recursive=True)
-        old = [i.path for i in fs.get_file_info(pafs.FileSelector(folder)) if not i.base_name.startswith("_")]
+        listed = fs.get_file_info(pafs.FileSelector(folder)) if self.overwrite else []
+        old = [i.path for i in listed if not i.base_name.startswith("_")]
         for stem in [s for m in messages if m for s in m.files]:
             # The main file last: a folder is read by these.
             for extension in (".shx", ".dbf", ".prj", ".shp"):
@@ -520,9 +518,12 @@ def shapefile_bytes(bodies, names, types, values, kind: str, encoding: str) -> d
 
 def write_shapefiles(df: DataFrame, path: str, kind: str, crs: int | None = None, encoding: str = "utf-8", mode: str = "errorifexists") -> None:
     """Write a layer's rows as a folder of shapefiles, one for each task: ``x, y`` or ``parts``, and the attributes."""
+    fs, inner = _open(path)
+    if mode == "errorifexists" and fs.get_file_info(inner).type != pafs.FileType.NotFound:
+        raise FileExistsError(path)
     df.sparkSession.dataSource.register(ShapefileSource)
     options = {"kind": kind, "encoding": encoding, "prj": prj_text(crs) if crs is not None else ""}
-    df.write.format(ShapefileSource.name()).options(**options).mode(mode).save(path)
+    df.write.format(ShapefileSource.name()).options(**options).mode("overwrite" if mode == "overwrite" else "append").save(path)
 
 
 class ShapefileSource(DataSource):
