@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadfeat.llm.shared import running_start, store
+from roadfeat.llm.shared import store
+from roadfeat.operators.ranking import with_starts
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Weights of the sources in code point order, repeated.
@@ -95,7 +96,7 @@ class Mixture:
 
 
 def mix(docs: DataFrame, seed: int = 42) -> Mixture:
-    """Mix all documents to their sources' targets; the same rows and seed give the same mix.
+    """Mix all documents to their sources' targets; the same rows and seed give the same mix, however the table is split.
 
     The words of a source, in a pseudorandom order of its documents, are cut into blocks of ``BLOCK_WORDS``.
     A source's quota is its target in blocks. Every slot of every output shard draws a source with
@@ -128,7 +129,9 @@ def mix_sized(sized: DataFrame, seed: int = 42) -> Mixture:
     sources = store(sources.withColumn("low", F.coalesce(F.sum("quota").over(before), F.lit(0))), "mix-targets")
     placed = sized.join(sources.select("source", "source_no"), sized.source.eqNullSafe(sources.source))
     placed = placed.select("row", "doc_id", "source_no", "size", "text_hash")
-    rows = store(running_start(placed, ["source_no"], ["doc_id", "text_hash", "row"], "size", "start"), "mix-rows")
+    # By the rows' own values only: how the input was split has no say.
+    placed = store(placed.withColumn("place", F.xxhash64(F.lit(seed), "doc_id", "text_hash")), "mix-placed")
+    rows = store(with_starts(placed, ["source_no"], ["place", "doc_id", "text_hash"], {"start": "size"}), "mix-rows")
 
     total = sources.agg(F.sum("quota")).first()[0] or 0
     wide = max(total, 1)
@@ -143,7 +146,7 @@ def mix_sized(sized: DataFrame, seed: int = 42) -> Mixture:
     within = Window.partitionBy("shard", "source_no").orderBy("id")
     drawn = store(drawn.select("shard", "source_no", (F.row_number().over(within) - 1).alias("k")), "mix-draws")
     counts = drawn.groupBy("shard", "source_no").agg(F.count("*").alias("n"))
-    firsts = running_start(counts, ["source_no"], ["shard"], "n", "first").select("shard", "source_no", "first")
+    firsts = with_starts(store(counts, "mix-counts"), ["source_no"], ["shard"], {"first": "n"}).select("shard", "source_no", "first")
     numbered = drawn.join(firsts, ["shard", "source_no"]).select("shard", "source_no", (F.col("first") + F.col("k")).alias("j"))
 
     had = counts.groupBy("source_no").agg(F.sum("n").alias("had"))

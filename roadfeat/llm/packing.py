@@ -46,6 +46,7 @@ def _pieces(tokenizer: str, end_id: int, longest: int):
                 kinds = [pa.binary() if i == 5 else pa.int64() for i in range(8)]
                 names = [x.split()[0] for x in _SCHEMA.split(", ")]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+        encode.release()
 
     return run
 

@@ -112,6 +112,7 @@ def _write(path: str, tokenizer: str, end_id: int):
                     ["doc_id", "copy", "shard", "offset", "n"],
                 )
         files.move(draft, name)
+        encode.release()
 
     return run
 

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
-
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
+import pyarrow as pa
 
-#: Words whose ids a worker remembers before it starts afresh; memory only, results do not depend on it.
-REMEMBERED = 800_000
-#: Longest word that is remembered, and characters of texts whose new words are encoded in one call.
-WORD_CHARS, AT_ONCE = 64, 1 << 22
+#: Bytes that a worker's memory of words may take before it starts afresh, and the first words that stay when a task
+#: ends: common words come early. Memory and time only, results do not depend on them.
+REMEMBERED_BYTES, KEPT_WORDS = 96 << 20, 100_000
+#: Bytes of a remembered word beside its own, and of its place in the table.
+WORD_BYTES = 220
+#: Longest word that is remembered, characters of texts that are split at once, and new words of one encoding call.
+WORD_CHARS, AT_ONCE, ENCODED = 64, 1 << 22, 20_000
 
 
 class _NotPlain(Exception):
@@ -34,19 +40,26 @@ class _Words(dict):
 
     def learn(self, words: set[str]) -> None:
         """Encode the new words in one text, with a mark between them that stays a token of its own."""
-        if len(self) > REMEMBERED:
-            self.clear()
+        if len(self) * WORD_BYTES > REMEMBERED_BYTES:
+            self.keep(KEPT_WORDS)
         mark = self.mark.strip(" ")
         new = [w for w in words.difference(self) if 0 < len(w) <= WORD_CHARS and mark not in w and not (w[0].isspace() or w[-1].isspace())]
-        if new:
-            ids = np.array(self.encode(self.mark.join([self.prefix + w for w in new])), self.dtype)
+        for first in range(0, len(new), ENCODED):
+            some = new[first : first + ENCODED]
+            ids = np.array(self.encode(self.mark.join([self.prefix + w for w in some])), self.dtype)
             ends = [*np.flatnonzero(ids == self.mark_id).tolist(), len(ids)]
-            if len(ends) == len(new):
+            if len(ends) == len(some):
                 raw, size, at = ids.tobytes(), self.dtype.itemsize, 0
-                for word, end in zip(new, ends, strict=True):
+                for word, end in zip(some, ends, strict=True):
                     self[word] = raw[at * size : end * size]
                     at = end + 1
 
+    def keep(self, words: int) -> None:
+        """Forget all but the words learned first."""
+        kept = dict(islice(self.items(), words))
+        self.clear()
+        self.update(kept)
+
 
 class Encoder:
     """Little-endian ids of whole texts, equal to the tokenizer's own ``encode`` without special tokens added.
@@ -77,6 +90,12 @@ class Encoder:
     def whole(self, text: str) -> bytes:
         return np.array(self.ids(text), self.dtype).tobytes()
 
+    def release(self) -> None:
+        """Give memory back when a task ends; workers live on."""
+        for words in {id(w): w for w in (self.bare, self.spaced)}.values():
+            words.keep(KEPT_WORDS)
+        give_back()
+
     def __call__(self, text: str | None) -> bytes:
         return next(self.many([text]))
 
@@ -114,6 +133,16 @@ class Encoder:
                 yield self.whole(text)
 
 
+def give_back() -> None:
+    """Return freed memory to the system, which neither Arrow nor the C library does by itself."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # not this C library
+
+
 _encoders: dict[str, Encoder] = {}
 
 

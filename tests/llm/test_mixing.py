@@ -61,6 +61,8 @@ def test_mix_meets_its_targets(documents):
     for (size, target), taken in by_source.items():
         assert taken <= 2 * size and abs(taken - target) <= 1.5 * BLOCK_WORDS
     assert sorted(map(str, got)) == sorted(map(str, mix(docs).digest().collect()))
+    for split in (1, 7):
+        assert sorted(map(str, got)) == sorted(map(str, mix(docs.repartition(split, "n_chars")).digest().collect()))
     blocks = mixture.blocks().groupBy("row").agg(F.sum("n_words").alias("n")).collect()
     assert sum(r.n for r in blocks) == sum(r.taken for r in got)
 
@@ -82,3 +84,53 @@ def test_mixed_documents_hold_the_words_taken(documents):
 def test_empty_table(documents):
     assert mix(documents([])).digest().collect() == []
     assert mixed_documents(documents([])).collect() == []
+
+
+def test_draws_blocks_and_words_equal_a_plain_walk(spark, documents):
+    """Row by row: quotas, draws, slots, permutations and pieces, from the same hash numbers."""
+    docs = documents(rows_for(random.Random(9), 60))
+    mixture = mix(docs)
+    sources = {r.source_no: r for r in mixture.sources.collect()}
+    total = sum(s.quota for s in sources.values())
+    ids = spark.range(total).select("id", F.pmod(F.xxhash64(F.lit(42), F.lit("draw"), "id"), F.lit(total)).alias("v")).collect()
+    low, bounds = 0, []
+    for no in sorted(sources):
+        bounds.append((low, low + sources[no].quota, no))
+        low += sources[no].quota
+    taken = {no: 0 for no in sources}
+    slots = []
+    for r in sorted(ids, key=lambda r: r.id):
+        no = next(n for a, b, n in bounds if a <= r.v < b)
+        if taken[no] < sources[no].quota:
+            slots.append((no, taken[no], r.id // 4096))
+        taken[no] += 1
+    for no, s in sources.items():
+        slots += [(no, j, None) for j in range(taken[no], s.quota)]
+    want = sorted((no, j) for no, j, _ in slots)
+    listed = spark.createDataFrame(want, "source_no int, j long").join(mixture.sources.select("source_no", "n_blocks"), "source_no")
+    turn = F.floor(F.col("j") / F.col("n_blocks"))
+    block = permuted(F.col("j") % F.col("n_blocks"), F.col("n_blocks"), F.lit(42), F.col("source_no"), turn)
+    blocks = sorted((r.source_no, r.b) for r in listed.select("source_no", block.alias("b")).collect())
+    assert sorted((r.source_no, r.block) for r in mixture.slots.collect()) == blocks
+    times = {}
+    for key in blocks:
+        times[key] = times.get(key, 0) + 1
+    # Words of a source in order of a hash of the document, cut into blocks.
+    names = {r.source: r.source_no for r in mixture.sources.collect()}
+    hashed = docs.select("doc_id", "source", "text", F.xxhash64("text").alias("h"))
+    placed = hashed.withColumn("place", F.xxhash64(F.lit(42), F.col("doc_id"), F.col("h"))).collect()
+    ends, result = {}, []
+    for r in sorted(placed, key=lambda r: (r.place, r.doc_id is not None, r.doc_id or 0)):
+        no, size = names[r.source], len(re.findall(r"[^\x20\x09-\x0D]+", r.text or ""))
+        start = ends.get(no, 0)
+        ends[no] = start + size
+        result.append((r.doc_id, size, sum(times.get((no, w // BLOCK_WORDS), 0) for w in range(start, start + size))))
+    assert sorted(map(str, result)) == sorted(str((r.doc_id, r["size"], r.taken)) for r in mixture.digest().collect())
+
+
+def test_very_long_text_and_clashing_columns(documents):
+    docs = documents([(1, "w " * 300_000, "en", "a"), (2, "x y", "en", "b"), (None, "z", "en", "a"), (2, "x y", "en", "b")], "1 as place,2 as block,3 as at,4 as start")
+    got = mix(docs).digest().collect()
+    assert sorted(r["size"] for r in got) == [1, 2, 2, 300_000]
+    assert sum(r.taken for r in got if r["size"] == 300_000) > 100_000
+    assert mixed_documents(docs).columns == docs.columns
