@@ -84,19 +84,27 @@ def apothem(radius: float, quad_segs: int) -> float:
     return radius * math.cos(math.pi / (4 * quad_segs))
 
 
-def inside_buffer(dx: str, dy: str, radius: float, quad_segs: int | None) -> str:
+def _circles(radius: float | str, quad_segs: int) -> tuple[str, str, str]:
+    """Squared circumradius, apothem and squared apothem, of a number or of a column's radius."""
+    if isinstance(radius, str):
+        inner = f"({radius} * {double(apothem(1.0, quad_segs))})"
+        return f"({radius} * {radius})", inner, f"({inner} * {inner})"
+    inner = apothem(radius, quad_segs)
+    return double(float(radius) ** 2), double(inner), double(inner * inner)
+
+
+def inside_buffer(dx: str, dy: str, radius: float | str, quad_segs: int | None) -> str:
     """Strictly inside the buffer polygon around the origin (a disc for ``quad_segs=None``).
 
     Only offsets between the inscribed and the circumscribed circle need the angle.
     """
     d2 = f"(({dx}) * ({dx}) + ({dy}) * ({dy}))"
-    outer2 = double(float(radius) ** 2)
+    outer2, inner, inner2 = _circles(radius, quad_segs or 1)
     if quad_segs is None:
         return f"{d2} < {outer2}"
-    inner = apothem(radius, quad_segs)
     wedge = math.pi / (2 * quad_segs)
     angle = f"pmod(atan2({dy}, {dx}), {double(wedge)}) - {double(wedge / 2)}"
-    return f"({d2} < {double(inner**2)} or ({d2} < {outer2} and sqrt({d2}) * cos({angle}) < {double(inner)}))"
+    return f"({d2} < {inner2} or ({d2} < {outer2} and sqrt({d2}) * cos({angle}) < {inner}))"
 
 
 def buffer_polygon(x: str, y: str, radius: float, quad_segs: int) -> Column:
@@ -138,8 +146,13 @@ def inside_rings(px: str, py: str, edge_array: str) -> str:
     )
 
 
+def ray_crosses(px: str, py: str, x1: str, y1: str, x2: str, y2: str) -> str:
+    """Whether the ray from a point to greater x crosses an edge; its lower end belongs to it, its upper one doesn't."""
+    return f"({y1} > {py}) != ({y2} > {py}) and {px} < {x1} + ({py} - {y1}) * ({x2} - {x1}) / ({y2} - {y1})"
+
+
 def segment_meets_buffer(
-    px: str, py: str, x1: str, y1: str, x2: str, y2: str, radius: float, quad_segs: int | None
+    px: str, py: str, x1: str, y1: str, x2: str, y2: str, radius: float | str, quad_segs: int | None
 ) -> str:
     """Whether a segment touches the closed buffer polygon around a point.
 
@@ -147,11 +160,10 @@ def segment_meets_buffer(
     elsewhere the distance decides.
     """
     d2 = point_segment_d2(px, py, x1, y1, x2, y2)
-    outer2 = double(float(radius) ** 2)
+    outer2, inner, inner2 = _circles(radius, quad_segs or 1)
     if quad_segs is None:
         return f"{d2} <= {outer2}"
     n = 4 * quad_segs
-    inner = apothem(radius, quad_segs)
     sides = ", ".join(
         f"named_struct('nx', {double(math.cos(2 * math.pi * (k + 0.5) / n))}, "
         f"'ny', {double(math.sin(2 * math.pi * (k + 0.5) / n))})"
@@ -159,8 +171,8 @@ def segment_meets_buffer(
     )
     margins = (
         f"transform(array({sides}), s -> named_struct("
-        f"'a', {double(inner)} - (s.nx * ({x1} - {px}) + s.ny * ({y1} - {py})), "
-        f"'b', {double(inner)} - (s.nx * ({x2} - {px}) + s.ny * ({y2} - {py}))))"
+        f"'a', {inner} - (s.nx * ({x1} - {px}) + s.ny * ({y1} - {py})), "
+        f"'b', {inner} - (s.nx * ({x2} - {px}) + s.ny * ({y2} - {py}))))"
     )
     clipped = (
         f"aggregate({margins}, named_struct('lo', 0D, 'hi', 1D), (acc, m) -> named_struct("
@@ -168,7 +180,7 @@ def segment_meets_buffer(
         "'hi', case when m.b < 0 and m.a >= 0 then least(acc.hi, m.a / (m.a - m.b)) else acc.hi end), "
         "acc -> acc.lo <= acc.hi)"
     )
-    return f"({d2} <= {double(inner**2)} or ({d2} <= {outer2} and {clipped}))"
+    return f"({d2} <= {inner2} or ({d2} <= {outer2} and {clipped}))"
 
 
 def representative_point(parts: str) -> Column:

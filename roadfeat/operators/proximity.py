@@ -1,51 +1,62 @@
 """The proximity join: what lies within a radius of every point, aggregated per point.
 
-All features share one target schema (``TARGET_FIELDS``) so that layers with the same
-radius run as one join. Rows of a join are grouped by ``(point, feature, id)`` and then
-by point. Cells of a square grid are the join key; the exact test is part of the join
+All features share one target schema, and the radius is one of its columns, so that all features of a kind (points, or lines
+and polygons) run as one join. Rows of a join are grouped by ``(point, feature, id)`` and then
+by point. Cells of square grids, one grid for each radius or size, are the join key; the exact test is part of the join
 condition, so no row that fails it leaves the join.
 
 Two ways, chosen by the size of the targets:
 
 * small targets are broadcast. Points are hashed by id once; every later step (the
-  look-up of nine cells, both aggregations, the join onto the feature table) keeps
+  look-up of cells, the aggregations, the join onto the feature table) keeps
   that partitioning, so pairs are never shuffled.
 * otherwise both sides are hashed by cell, targets being copied to the nine cells
-  around. A point has one cell, and grouping by ``(cell, point)`` keeps the cell
-  partitioning, so again no pair is shuffled. Cells with too many rows are first cut
-  into tiles of bounded size (``_tile_hot_cells``); then partial results of a point are
+  around. A point has one cell on a grid, and grouping by ``(cell, point)`` keeps the cell
+  partitioning, so no pair is shuffled; with several grids one row of results for each of them is. Cells with too
+  many rows are first cut into tiles of bounded size (``_tile_hot_cells``); then partial results of a point are
   merged by one more shuffle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadfeat.config import POINT_ID, QUAD_SEGS
-from roadfeat.functions.geometry import double, edges, has_vertices, inside_buffer, inside_rings, segment_meets_buffer
+from roadfeat.functions.geometry import double, edges, has_vertices, inside_buffer, ray_crosses, segment_meets_buffer
 from roadfeat.layer import POLYGON
+from roadfeat.operators.storage import stored
 
 # Rows of one cell, on either side, that one task joins; larger cells are tiled.
 HOT_CELL_ROWS = 50_000
 # Hot cells sent to every task as a table; with more of them the tiling is a join.
 MAX_HOT_CELLS_BROADCAST = 100_000
 CELL_LIMIT = 1 << 30
-# Bytes in memory of a row of a shape's copies, and of one edge of the rings it carries.
-COPY_BYTES, EDGE_BYTES = 256, 64
+# Bytes in memory of a row of a shape's copies.
+COPY_BYTES = 256
+# Grids of a shape join: doublings of a cell's size, from the smallest radius up; heights also shrink, in so many halvings.
+MAX_LEVEL, HALVINGS = 40, 12
+# Edges of an outline in one strip of the ray test, on average.
+STRIP_EDGES = 64
 
-VALUE_FIELDS = ("_n", "_v1", "_v2", "_v3")
+IDS, VALUE_FIELDS = ("_id", "_id2"), ("_n", "_v1", "_v2", "_v3")
+# What a row of a shape stands for: a segment that may touch a buffer, or an edge that a point's ray may cross.
+TOUCH, RAY = 0, 1
 
 
 @dataclass(frozen=True)
 class Pairs:
-    """Joined rows and the columns that group them by point without a shuffle."""
+    """Joined rows and the columns that group them by point without a shuffle.
+
+    With ``merged`` a point's rows lie under several such keys, but those of one feature only under one.
+    """
 
     df: DataFrame
     keys: tuple[str, ...]
+    merged: bool = False
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -82,120 +93,168 @@ def point_targets(
         F.col("x").alias("_tx"),
         F.col("y").alias("_ty"),
         (F.lit(code) if isinstance(code, int) else code).cast("int").alias("_f"),
-        (F.lit(None) if ident is None else ident).cast("string").alias("_id"),
+        *_keys((F.lit(None) if ident is None else ident).cast("string")),
         (F.lit(1) if count is None else count).cast("long").alias("_n"),
         *[F.coalesce(v.cast("double"), F.lit(0.0)).alias(f"_v{i}") for i, v in enumerate(sums, 1)],
     )
-    return rows.groupBy("_tx", "_ty", "_f", "_id").agg(*[F.sum(c).alias(c) for c in VALUE_FIELDS])
+    return rows.groupBy("_tx", "_ty", "_f", *IDS).agg(*[F.sum(c).alias(c) for c in VALUE_FIELDS])
+
+
+def _keys(ident: Column) -> list[Column]:
+    """An id as 128 bits of two numbers: pairs are grouped by numbers of fixed width, not by texts; null stays null."""
+    known = ident.isNotNull()
+    return [F.when(known, F.xxhash64(ident)).alias(IDS[0]), F.when(known, F.xxhash64(F.lit(1), ident)).alias(IDS[1])]
 
 
 def shape_targets(df: DataFrame, kind: str, code: int, ident: Column | None = None) -> DataFrame:
     """Bring a line or polygon layer (``parts``) to the shared schema, copies merged.
 
-    A shape becomes one row per segment and, for polygons, one row for the inside, each
-    with its own box. So the hot path tests single segments in generated code, long
-    outlines are found only where they pass, and only points within a polygon's box are
-    tested against its rings. Rows of one shape share ``_id``; a layer without ids gets
-    a digest of the geometry, and ``_n`` says how many copies it has.
+    A shape becomes one row per segment and, for polygons, one row more for each edge that is not level: the
+    ray test counts those that the ray from a point to greater x crosses, and an odd number is inside. So no row
+    holds more than one edge, however long the outline, the tests are plain arithmetic, and points meet only the edges
+    at their own height (``_strip`` is the height of a strip with some dozens of edges). Rows of one shape
+    share ``_id`` and ``_shape``; a layer without ids gets a digest of the geometry, and ``_n`` says how many copies it has.
     """
-    own = F.sha2(F.to_json("parts"), 256) if ident is None else ident.cast("string")
-    rows = df.where(has_vertices("parts")).select("parts", F.lit(code).alias("_f"), own.alias("_id"))
-    merged = rows.groupBy("parts", "_f", "_id").agg(F.count(F.lit(1)).alias("_n"))
-    ring_type = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
-    piece = (
-        "transform(_e, e -> named_struct('x1', e.x1, 'y1', e.y1, 'x2', e.x2, 'y2', e.y2, "
-        "'xmin', least(e.x1, e.x2), 'ymin', least(e.y1, e.y2), 'xmax', greatest(e.x1, e.x2), "
-        f"'ymax', greatest(e.y1, e.y2), 'rings', cast(null as {ring_type})))"
-    )
-    if kind == POLYGON:
-        no = "cast(null as double)"
-        piece = (
-            f"concat({piece}, array(named_struct('x1', {no}, 'y1', {no}, 'x2', {no}, 'y2', {no}, "
-            "'xmin', array_min(transform(_e, e -> e.x1)), 'ymin', array_min(transform(_e, e -> e.y1)), "
-            "'xmax', array_max(transform(_e, e -> e.x1)), 'ymax', array_max(transform(_e, e -> e.y1)), 'rings', _e)))"
-        )
-    return merged.selectExpr("_f", "_id", "_n", f"{edges('parts')} as _e").selectExpr(
-        "_f", "_id", "_n", "0D as _v1", "0D as _v2", "0D as _v3", f"inline({piece})"
-    )
+    own = _keys(F.col("parts") if ident is None else ident.cast("string"))
+    rows = df.where(has_vertices("parts")).select("parts", F.lit(code).alias("_f"), *own)
+    merged = rows.groupBy("parts", "_f", *IDS).agg(F.count(F.lit(1)).alias("_n"))
+    shared = ["_f", *IDS, "_n", "_shape"]
+    whole = merged.selectExpr("_f", *IDS, "_n", "xxhash64(parts) as _shape", f"{edges('parts')} as _e")
+    ends = [f"_s.{c} as {c}" for c in ("x1", "y1", "x2", "y2")]
+    box = ["least(_s.x1, _s.x2) as xmin", "least(_s.y1, _s.y2) as ymin", "greatest(_s.x1, _s.x2) as xmax", "greatest(_s.y1, _s.y2) as ymax"]
+    none = "cast(null as double)"
+    touch = whole.selectExpr(*shared, "explode(_e) as _s").selectExpr(*shared, f"{TOUCH} as _k", *ends, *box, f"{none} as _strip")
+    if kind != POLYGON:
+        return touch
+    left, low, high = "array_min(transform(_e, e -> least(e.x1, e.x2)))", "array_min(transform(_e, e -> e.y1))", "array_max(transform(_e, e -> e.y1))"
+    strip = f"({high} - {low}) * {STRIP_EDGES} / greatest(size(_e), {STRIP_EDGES})"
+    rays = whole.selectExpr(*shared, f"{left} as _left", f"{strip} as _strip", "explode(_e) as _s").where("_s.y1 != _s.y2")
+    return touch.unionByName(rays.selectExpr(*shared, f"{RAY} as _k", *ends, "_left as xmin", *box[1:], "_strip"))
+
+
+def with_radius(targets: DataFrame, radius: float) -> DataFrame:
+    return targets.withColumn("_r", F.lit(float(radius)))
 
 
 def near_points(
     points: DataFrame,
     targets: DataFrame,
-    radius: float,
+    radius: float | Sequence[float],
     quad_segs: int | None = QUAD_SEGS,
     small: bool | None = None,
 ) -> Pairs:
     """Pairs of a point and a target strictly inside its buffer polygon.
 
-    ``targets`` has the schema of :func:`point_targets`. ``small`` overrides the size check.
+    ``targets`` has the schema of :func:`point_targets`; with several radii its column ``_r`` says which is a row's.
+    ``small`` overrides the size check.
     """
+    radii, targets = _radii(targets, radius)
     sites = points.selectExpr(POINT_ID, "x as _px", "y as _py")
-    exact = inside_buffer("_tx - _px", "_ty - _py", radius, quad_segs)
+    exact = inside_buffer("_tx - _px", "_ty - _py", "_r", quad_segs)
+    at = ["_r as _grid", f"{grid_index('_tx', '_r')} as _cx", f"{grid_index('_ty', '_r')} as _cy"]
     if small if small is not None else fits_broadcast(targets):
-        probes = _around(_by_point(sites), "_px", "_py", radius)
-        build = F.broadcast(targets.selectExpr("*", f"{cell_of('_tx', '_ty', radius)} as _cell"))
-        return Pairs(_join(probes, build, ["_cell"], exact), (POINT_ID,))
-    homes = sites.selectExpr("*", f"{cell_of('_px', '_py', radius)} as _cell")
-    return join_by_cell(homes, _around(targets, "_tx", "_ty", radius), ["_cell"], exact)
+        own = ", ".join(
+            f"named_struct('_grid', {double(r)}, '_cx', {grid_index('_px', r)}, '_cy', {grid_index('_py', r)})" for r in radii
+        )
+        # Two small steps: generated methods beyond 8000 byte codes would not be compiled further.
+        gridded = _by_point(sites).selectExpr("*", f"inline(array({own}))")
+        probes = gridded.selectExpr(POINT_ID, "_px", "_py", "_grid", f"explode({block_of('_cx', '_cy')}) as _cell")
+        placed = targets.selectExpr("*", *at).selectExpr("*", f"{pack_cell('_cx', '_cy')} as _cell").drop("_cx", "_cy")
+        return Pairs(_join(probes, F.broadcast(placed), ["_grid", "_cell"], exact), (POINT_ID,))
+    homes = sites.selectExpr(
+        "*", f"inline(array({', '.join(_home(double(r), r, r) for r in radii)}))"
+    )
+    placed = targets.selectExpr("*", *at)
+    copies = placed.selectExpr(*targets.columns, "_grid", f"explode({block_of('_cx', '_cy')}) as _cell")
+    # Copies are counted without being made: by own cell, then spread.
+    own = placed.groupBy("_grid", "_cx", "_cy").agg(F.count(F.lit(1)).alias("_nt"))
+    counts = own.selectExpr("_grid", "_nt", f"explode({block_of('_cx', '_cy')}) as _cell")
+    return join_by_cell(homes, copies, ["_grid", "_cell"], exact, counts, several=len(radii) > 1)
 
 
 def near_shapes(
     points: DataFrame,
     targets: DataFrame,
-    radius: float,
+    radius: float | Sequence[float],
     quad_segs: int | None = QUAD_SEGS,
     small: bool | None = None,
 ) -> Pairs:
-    """Pairs of a point and a segment, or polygon inside, that touches its buffer polygon.
+    """Pairs of a point and a segment that touches its buffer polygon, or an edge that its ray crosses.
 
-    ``targets`` has the schema of :func:`shape_targets`; a pair of point and shape may
-    come up once per segment. Segments of any length meet few cells: the grid has levels
-    of doubling cell size, and a row uses the level at which its box, widened by the
-    radius, spans at most 3 x 3 cells. Points look up one cell at every level in use.
+    ``targets`` has the schema of :func:`shape_targets` (and ``_r`` with several radii); :func:`per_point` makes shapes of the
+    pairs. Segments of any length meet few cells: there are grids of doubling cell size, and a segment uses the one at
+    which its box, widened by the radius, spans at most 3 x 3 cells. Edges of the ray test use grids whose cells are as wide
+    as the way from the outline's left end to the edge, and as high as the edge or its outline's strips. Points look up one cell of every
+    grid in use.
 
-    The copies are counted before they may be broadcast, with the rings they carry, in the
-    aggregation that finds the levels; ``small=False`` rules a broadcast out.
+    Rows are written once, as they are both counted and joined; ``small=False`` rules a broadcast out.
     """
-    base = 2.0 * radius
-    extent = f"greatest(xmax - xmin, ymax - ymin) + {double(2 * radius)}"
-    level = f"cast(least(greatest(ceil(log2(({extent}) / {double(2 * base)})), 0), 40) as int)"
-    shapes = targets.selectExpr("*", f"{level} as _level")
-    size = f"({double(base)} * shiftleft(1L, _level))"
-    reach = double(radius)
-
-    def span(lo: str, hi: str) -> str:
-        return f"explode(sequence({grid_index(f'{lo} - {reach}', size)}, {grid_index(f'{hi} + {reach}', size)}))"
-
-    spread = (
-        shapes.selectExpr("*", f"{span('xmin', 'xmax')} as _cx")
-        .selectExpr("*", f"{span('ymin', 'ymax')} as _cy")
-        .selectExpr("*", f"{pack_cell('_cx', '_cy')} as _cell")
-        .drop("_cx", "_cy")
-    )
-    copies = F.count(F.lit(1)) * COPY_BYTES + F.sum(F.greatest(F.coalesce(F.size("rings"), F.lit(0)), F.lit(0))) * EDGE_BYTES
-    # At most one row per doubling of the extent.
-    measured = {r[0]: r[1] for r in spread.groupBy("_level").agg(copies).collect() if r[0] is not None}
-    levels = sorted(measured) or [0]
+    radii, targets = _radii(targets, radius)
+    base = 2.0 * min(radii)
+    wide = f"case when _k = {RAY} then xmax - xmin else greatest(xmax - xmin, ymax - ymin) + 2 * _r end"
+    high = f"case when _k = {RAY} then greatest(ymax - ymin, _strip) else 0D end"
+
+    def level(size: str, least: int) -> str:
+        return f"cast(least(greatest(ceil(log2(greatest({size}, 1e-9D) / {double(2 * base)})), {least}), {MAX_LEVEL}) as int)"
+
+    # A grid by one number: the doublings of its width, and for rays those of its height too.
+    span_x, span_y = level(wide, 0), level(high, -HALVINGS)
+    per = MAX_LEVEL + HALVINGS + 2
+    grid = f"_lx * {per} + case when _k = {RAY} then _ly + {HALVINGS + 1} else 0 end"
+    placed = targets.selectExpr("*", f"{span_x} as _lx", f"{span_y} as _ly").selectExpr("*", f"{grid} as _grid")
+    size_x = f"({double(base)} * power(2D, _lx))"
+    size_y = f"({double(base)} * power(2D, case when _k = {RAY} then _ly else _lx end))"
+    reach = f"case when _k = {RAY} then 0D else _r end"
+    ends = {
+        "_cx0": grid_index(f"xmin - {reach}", size_x), "_cx1": grid_index(f"xmax + {reach}", size_x),
+        "_cy0": grid_index(f"ymin - {reach}", size_y), "_cy1": grid_index(f"ymax + {reach}", size_y),
+    }
+    pieces = stored(placed.selectExpr("*", *[f"{e} as {c}" for c, e in ends.items()]).drop("_lx", "_ly"), "pieces")
+
+    def spread(df: DataFrame) -> DataFrame:
+        cells = df.selectExpr("*", "explode(sequence(_cx0, _cx1)) as _cx").selectExpr("*", "explode(sequence(_cy0, _cy1)) as _cy")
+        return cells.selectExpr("*", f"{pack_cell('_cx', '_cy')} as _cell").drop(*ends, "_cx", "_cy")
+
+    copies = F.sum((F.col("_cx1") - F.col("_cx0") + 1) * (F.col("_cy1") - F.col("_cy0") + 1)) * COPY_BYTES
+    # At most one row per pair of doublings of the extent.
+    measured = {r[0]: r[1] for r in pieces.groupBy("_grid").agg(copies).collect() if r[0] is not None}
     gap_x, gap_y = "greatest(xmin - _px, _px - xmax, 0D)", "greatest(ymin - _py, _py - ymax, 0D)"
-    on_segment = segment_meets_buffer("_px", "_py", "x1", "y1", "x2", "y2", radius, quad_segs)
+    on_segment = segment_meets_buffer("_px", "_py", "x1", "y1", "x2", "y2", "_r", quad_segs)
     exact = (
-        f"{gap_x} * {gap_x} + {gap_y} * {gap_y} <= {double(float(radius) ** 2)} and "
-        f"case when x1 is not null then {on_segment} else {inside_rings('_px', '_py', 'rings')} end"
+        f"case when _k = {RAY} then {ray_crosses('_px', '_py', 'x1', 'y1', 'x2', 'y2')} "
+        f"else {gap_x} * {gap_x} + {gap_y} * {gap_y} <= _r * _r and {on_segment} end"
     )
     sites = points.selectExpr(POINT_ID, "x as _px", "y as _py")
     is_small = small is not False and sum(measured.values()) <= broadcast_limit(targets)
     if is_small:
         sites = _by_point(sites)
-    probes = sites.selectExpr("*", f"explode(array({', '.join(map(str, levels))})) as _level").selectExpr(
-        "*", f"{pack_cell(grid_index('_px', size), grid_index('_py', size))} as _cell"
-    )
-    keys = ["_level", "_cell"]
+    homes = []
+    for code in sorted(measured) or [0]:
+        lx, ly = divmod(code, per)
+        height = lx if ly == 0 else ly - HALVINGS - 1
+        homes.append(_home(str(code), base * 2.0**lx, base * 2.0**height))
+    probes = sites.selectExpr("*", f"inline(array({', '.join(homes)}))")
+    keys = ["_grid", "_cell"]
     if is_small:
-        return Pairs(_join(probes, F.broadcast(spread), keys, exact), (POINT_ID,))
-    pairs = join_by_cell(probes, spread, keys, exact)
-    # With several levels a point has several cells: merge by point.
-    return pairs if len(levels) <= 1 else Pairs(pairs.df, (POINT_ID,))
+        return Pairs(_join(probes, F.broadcast(spread(pieces)), keys, exact), (POINT_ID,))
+    own = pieces.groupBy("_grid", *ends).agg(F.count(F.lit(1)).alias("_nt"))
+    pairs = join_by_cell(probes, spread(pieces), keys, exact, spread(own), several=False)
+    # Rows of one shape lie on several grids: they meet by point.
+    return pairs if len(homes) <= 1 else Pairs(pairs.df, (POINT_ID,))
+
+
+def _radii(targets: DataFrame, radius: float | Sequence[float]) -> tuple[list[float], DataFrame]:
+    radii = sorted({float(r) for r in (radius if isinstance(radius, (list, tuple, set)) else [radius])})
+    if "_r" not in targets.columns:
+        if len(radii) != 1:
+            raise ValueError("several radii need targets with a radius each")
+        targets = with_radius(targets, radii[0])
+    return radii, targets
+
+
+def _home(code: str, size_x: float, size_y: float) -> str:
+    cell = pack_cell(grid_index("_px", size_x), grid_index("_py", size_y))
+    return f"named_struct('_grid', {code}, '_cell', {cell})"
 
 
 def _by_point(sites: DataFrame) -> DataFrame:
@@ -206,17 +265,25 @@ def _by_point(sites: DataFrame) -> DataFrame:
 def per_point(pairs: Pairs, columns: dict[str, Column], by_feature: bool, shapes: bool = False) -> DataFrame:
     """One row per matched point.
 
-    ``columns`` aggregate over ``_f, _id, _n, _v1.._v3``. With ``by_feature`` the pairs
-    are first reduced to one row per point, feature and id; distinct counts, category
-    counts and shapes need that, plain sums do not.
+    ``columns`` aggregate rows ``_f, _ids, _n, _v1.._v3``, one for each feature code. With ``by_feature`` the pairs
+    are first reduced to one row per point, feature and id; distinct counts and shapes need
+    that, plain sums do not. A shape counts if a segment of it touches or the number
+    of its edges that the ray crosses is odd; its copies count once however many segments touch. Only the few rows of a
+    point's features meet the many expressions of ``columns``.
     """
     rows = pairs.df
-    if by_feature:
-        # A shape may meet a point with several segments: its copies count once.
-        merge = [F.max("_n").alias("_n")] if shapes else [F.sum(c).alias(c) for c in VALUE_FIELDS]
-        rows = rows.groupBy(*pairs.keys, "_f", "_id").agg(*merge)
-    out = rows.groupBy(*pairs.keys).agg(*[c.alias(name) for name, c in columns.items()])
-    return out.drop(*[k for k in pairs.keys if k != POINT_ID])
+    if shapes:
+        met = rows.groupBy(*pairs.keys, "_f", *IDS, "_shape").agg(
+            F.max("_n").alias("_n"), F.count_if(F.col("_k") == TOUCH).alias("_touches"), F.count_if(F.col("_k") == RAY).alias("_crossed")
+        )
+        rows = met.where("_touches > 0 or _crossed % 2 = 1").groupBy(*pairs.keys, "_f", *IDS).agg(F.max("_n").alias("_n"))
+    elif by_feature:
+        rows = rows.groupBy(*pairs.keys, "_f", *IDS).agg(*[F.sum(c).alias(c) for c in VALUE_FIELDS])
+    sums = [F.sum(c).alias(c) for c in VALUE_FIELDS if c in rows.columns]
+    rows = rows.groupBy(*pairs.keys, "_f").agg(F.count("_id").alias("_ids"), *sums)
+    keys = (POINT_ID,) if pairs.merged else pairs.keys
+    out = rows.groupBy(*keys).agg(*[c.alias(name) for name, c in columns.items()])
+    return out.drop(*[k for k in keys if k != POINT_ID])
 
 
 def grid_index(value: str, size: float | str) -> str:
@@ -242,27 +309,27 @@ def block_of(cx: str, cy: str) -> str:
     return f"array({', '.join(pack_cell(f'({cx} + {dx}L)', f'({cy} + {dy}L)') for dx in steps for dy in steps)})"
 
 
-def _around(df: DataFrame, x: str, y: str, size: float) -> DataFrame:
-    """One row per cell of the 3 x 3 block around each row's own cell."""
-    placed = df.selectExpr("*", f"{grid_index(x, size)} as _cx", f"{grid_index(y, size)} as _cy")
-    return placed.selectExpr(*df.columns, f"explode({block_of('_cx', '_cy')}) as _cell")
-
-
 def _join(left: DataFrame, right: DataFrame, keys: list[str], exact: str) -> DataFrame:
     renamed = right.withColumnsRenamed({k: f"{k}_t" for k in keys})
     on = " and ".join([f"{k} = {k}_t" for k in keys] + [f"({exact})"])
     return left.join(renamed, F.expr(on)).drop(*[f"{k}_t" for k in keys])
 
 
-def join_by_cell(homes: DataFrame, copies: DataFrame, keys: list[str], exact: str) -> Pairs:
-    tiled = _tile_hot_cells(homes, copies, keys)
+def join_by_cell(
+    homes: DataFrame, copies: DataFrame, keys: list[str], exact: str, counts: DataFrame | None = None, several: bool = False
+) -> Pairs:
+    """Join by cell; ``counts`` has ``_nt`` copies for each cell, in any number of rows, if there is a cheaper way to count them.
+
+    ``several``: a point has a cell on each of several grids, and a feature's rows are on one.
+    """
+    tiled = _tile_hot_cells(homes, copies, keys, counts)
     if tiled is None:
-        return Pairs(_join(homes, copies, keys, exact), (*keys, POINT_ID))
+        return Pairs(_join(homes, copies, keys, exact), (*keys, POINT_ID), several)
     homes, copies, keys = tiled
     return Pairs(_join(homes, copies, keys, exact), (POINT_ID,))
 
 
-def _tile_hot_cells(homes: DataFrame, copies: DataFrame, keys: list[str]):
+def _tile_hot_cells(homes: DataFrame, copies: DataFrame, keys: list[str], counts: DataFrame | None):
     """Cut cells with more than ``HOT_CELL_ROWS`` rows on a side into tiles.
 
     The points of a hot cell are dealt to ``_ps`` groups and its targets to ``_ts``
@@ -272,7 +339,7 @@ def _tile_hot_cells(homes: DataFrame, copies: DataFrame, keys: list[str]):
     """
     count = F.count(F.lit(1))
     at_home = homes.groupBy(*keys).agg(count.alias("_np"))
-    nearby = copies.groupBy(*keys).agg(count.alias("_nt"))
+    nearby = copies.groupBy(*keys).agg(count.alias("_nt")) if counts is None else counts.groupBy(*keys).agg(F.sum("_nt").alias("_nt"))
     hot = (
         at_home.join(nearby, keys)
         .select(
@@ -298,7 +365,7 @@ def _tile_hot_cells(homes: DataFrame, copies: DataFrame, keys: list[str]):
             .drop(own, other)
         )
 
-    plain = [c for c in copies.columns if c not in keys and c != "rings"]
+    plain = [c for c in copies.columns if c not in keys]
     homes = deal(homes, "_ps", "_ts", "_pslot", "_tslot", F.xxhash64(POINT_ID))
     copies = deal(copies, "_ts", "_ps", "_tslot", "_pslot", F.xxhash64(*plain))
     return homes, copies, [*keys, "_pslot", "_tslot"]

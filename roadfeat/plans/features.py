@@ -1,7 +1,7 @@
 """The features: one declaration each, one planner-friendly way to run any set of them.
 
-Features with the same radius and kind of target run as one proximity join. Each target
-row carries a feature code, so the aggregation tells them apart.
+Features with the same kind of target run as one proximity join. Each target
+row carries its radius and a feature code, so the aggregation tells them apart.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ from roadfeat.operators.proximity import (
     per_point,
     point_targets,
     shape_targets,
+    with_radius,
 )
 from roadfeat.sources import places
 from roadfeat.sources.tables import within_box
@@ -97,7 +98,7 @@ class Feature:
         if self.how == PRESENCE:
             return {self.output: F.expr(f"max(if({mine}, 1, null))")}
         if self.counts_ids(layer):
-            return {self.output: F.expr(f"count_if({mine} and _id is not null)")}
+            return {self.output: F.expr(f"sum(if({mine}, _ids, null))")}
         return {self.output: n}
 
     def _category_counts(self, code: int) -> dict[str, Column]:
@@ -192,19 +193,19 @@ def add_proximity_features(
     small: bool | None = None,
     diagnostics: Diagnostics | None = None,
 ) -> DataFrame:
-    """Add the features' columns; one join per radius and kind of target."""
+    """Add the features' columns; one join for each kind of target, whatever their radii."""
     result = final_df
-    groups: dict[tuple, list[tuple[Feature, Layer]]] = {}
+    groups: dict[bool, list[tuple[Feature, Layer]]] = {}
     for feature, layer in wanted:
         result = result.drop(*feature.outputs())
-        groups.setdefault((feature.shapes, feature.radius), []).append((feature, layer.to_crs(points.crs)))
-    for (shapes, radius), members in groups.items():
+        groups.setdefault(feature.shapes, []).append((feature, layer.to_crs(points.crs)))
+    for shapes, members in groups.items():
         coded = [(f, layer, i * CODES_PER_FEATURE) for i, (f, layer) in enumerate(members)]
-        framed = [(f, layer, code, f.targets(layer, code)) for f, layer, code in coded]
+        framed = [(f, layer, code, with_radius(f.targets(layer, code), f.radius)) for f, layer, code in coded]
         for batch, is_small in _by_size(framed, small):
             targets = reduce(DataFrame.unionByName, [item[3] for item in batch])
             near = near_shapes if shapes else near_points
-            pairs = near(points.df, targets, radius, quad_segs, is_small)
+            pairs = near(points.df, targets, [item[0].radius for item in batch], quad_segs, is_small)
             if diagnostics is not None:
                 matches = {f.key: F.sum(F.when(_codes_of(f, code), F.col("_n"))) for f, _, code, _ in batch}
                 keys = "+".join(matches)
@@ -212,7 +213,7 @@ def add_proximity_features(
             columns: dict[str, Column] = {}
             for f, layer, code, _ in batch:
                 columns.update(f.aggregates(layer, code))
-            by_feature = any(f.counts_ids(layer) or f.how == CATEGORIES or shapes for f, layer, _, _ in batch)
+            by_feature = any(f.counts_ids(layer) for f, layer, _, _ in batch)
             result = attach(result, per_point(pairs, columns, by_feature, shapes))
             for f, _, _, _ in batch:
                 result = f.finish(result)
