@@ -59,12 +59,14 @@ def with_numbers(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 
 
 # White space as text libraries strip it, beyond the blank: controls, no-break and wide spaces.
-WHITE_SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+WHITE_SPACE = "".join(
+    map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+)
 
 
 def trimmed(col: Column) -> Column:
     """Text without white space of any kind at its ends."""
-    return F.regexp_replace(col.cast("string"), f"^{WHITE_SPACE}|{WHITE_SPACE}$", "")
+    return F.btrim(col.cast("string"), F.lit(WHITE_SPACE))
 
 
 def to_long(col: Column) -> Column:
@@ -96,20 +98,22 @@ def in_city_range(lat: str, lon: str) -> Column:
 def canonical_ids(df: DataFrame, column: str, id_type: str = "infer") -> DataFrame:
     """Make equal ids of an untyped text column equal as text.
 
-    In an all-number id column ``007`` and ``7`` are one id. ``infer`` finds out whether
-    it is one, in a pass over that column; ``string`` and ``long`` take no pass.
+    In an all-number id column ``007`` and ``7`` are one id. ``infer`` settles whether it is one by an aggregate of that
+    column inside the query that uses the ids, so nothing runs when a source is declared; ``string`` and ``long`` need none.
     """
     if id_type not in ("infer", "string", "long"):
         raise ValueError(f"unknown id_type {id_type!r}")
-    if id_type == "infer":
-        numeric = df.agg(F.every(name(column).isNull() | name(column).rlike(DECIMAL_PATTERN))).first()[0]
-        id_type = "long" if numeric else "string"
     if id_type == "string":
         return df
-    value = trimmed(name(column))
+    text = name(column)
+    value = trimmed(text)
     # Whole numbers keep every digit; other decimals compare as doubles.
     whole = F.when(value.rlike(r"^[+-]?[0-9]{1,38}$"), value.try_cast("decimal(38,0)").cast("string"))
-    return df.withColumn(column, F.coalesce(whole, whole_or_double(value)))
+    number = F.coalesce(whole, whole_or_double(value))
+    if id_type == "infer":
+        numeric = df.agg(F.every(text.isNull() | text.rlike(DECIMAL_PATTERN))).scalar()
+        number = F.when(numeric, number).otherwise(text)
+    return df.withColumn(column, number)
 
 
 def whole_or_double(value: Column) -> Column:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadfeat.config import POINT_ID, QUAD_SEGS
-from roadfeat.functions.geometry import double, edges, has_vertices, inside_buffer, ray_crosses, segment_meets_buffer
+from roadfeat.functions.geometry import double, has_vertices, inside_buffer, ray_crosses, segment_meets_buffer
 from roadfeat.layer import POLYGON
 from roadfeat.operators.storage import stored
 
@@ -39,8 +39,8 @@ CELL_LIMIT = 1 << 30
 COPY_BYTES = 256
 # Grids of a shape join: doublings of a cell's size, from the smallest radius up; heights also shrink, in so many halvings.
 MAX_LEVEL, HALVINGS = 40, 12
-# Edges of an outline in one strip of the ray test, on average.
-STRIP_EDGES = 64
+# Edges of an outline in one strip of the ray test, on average, and in one row of a shape at most.
+STRIP_EDGES, CHUNK = 64, 1024
 
 IDS, VALUE_FIELDS = ("_id", "_id2"), ("_n", "_v1", "_v2", "_v3")
 # What a row of a shape stands for: a segment that may touch a buffer, or an edge that a point's ray may cross.
@@ -109,27 +109,42 @@ def _keys(ident: Column) -> list[Column]:
 def shape_targets(df: DataFrame, kind: str, code: int, ident: Column | None = None) -> DataFrame:
     """Bring a line or polygon layer (``parts``) to the shared schema, copies merged.
 
-    A shape becomes one row per segment and, for polygons, one row more for each edge that is not level: the
-    ray test counts those that the ray from a point to greater x crosses, and an odd number is inside. So no row
-    holds more than one edge, however long the outline, the tests are plain arithmetic, and points meet only the edges
-    at their own height (``_strip`` is the height of a strip with some dozens of edges). Rows of one shape
-    share ``_id`` and ``_shape``; a layer without ids gets a digest of the geometry, and ``_n`` says how many copies it has.
+    A shape becomes rows of at most ``CHUNK`` edges each: ``_c`` are consecutive vertices of one part. ``_shape`` tells
+    shapes apart, ``_id`` their ids; a layer without ids gets a digest of the geometry, and ``_n`` says how many copies
+    it has. Polygons also have ``_left``, the least x of the outline, and ``_strip``, the height of a strip with some dozens of edges.
     """
     own = _keys(F.col("parts") if ident is None else ident.cast("string"))
     rows = df.where(has_vertices("parts")).select("parts", F.lit(code).alias("_f"), *own)
     merged = rows.groupBy("parts", "_f", *IDS).agg(F.count(F.lit(1)).alias("_n"))
-    shared = ["_f", *IDS, "_n", "_shape"]
-    whole = merged.selectExpr("_f", *IDS, "_n", "xxhash64(parts) as _shape", f"{edges('parts')} as _e")
-    ends = [f"_s.{c} as {c}" for c in ("x1", "y1", "x2", "y2")]
-    box = ["least(_s.x1, _s.x2) as xmin", "least(_s.y1, _s.y2) as ymin", "greatest(_s.x1, _s.x2) as xmax", "greatest(_s.y1, _s.y2) as ymax"]
-    none = "cast(null as double)"
-    touch = whole.selectExpr(*shared, "explode(_e) as _s").selectExpr(*shared, f"{TOUCH} as _k", *ends, *box, f"{none} as _strip")
-    if kind != POLYGON:
-        return touch
-    left, low, high = "array_min(transform(_e, e -> least(e.x1, e.x2)))", "array_min(transform(_e, e -> e.y1))", "array_max(transform(_e, e -> e.y1))"
-    strip = f"({high} - {low}) * {STRIP_EDGES} / greatest(size(_e), {STRIP_EDGES})"
-    rays = whole.selectExpr(*shared, f"{left} as _left", f"{strip} as _strip", "explode(_e) as _s").where("_s.y1 != _s.y2")
-    return touch.unionByName(rays.selectExpr(*shared, f"{RAY} as _k", *ends, "_left as xmin", *box[1:], "_strip"))
+
+    def end(pick: str, axis: str) -> str:
+        return f"array_{pick}(transform(filter(parts, p -> size(p) > 0), p -> array_{pick}(transform(p, v -> v.{axis}))))"
+
+    n_edges = "aggregate(parts, 0, (n, p) -> n + greatest(size(p) - 1, 0))"
+    outline = [f"{end('min', 'x')} as _left", f"({end('max', 'y')} - {end('min', 'y')}) * {STRIP_EDGES} / greatest({n_edges}, {STRIP_EDGES}) as _strip"]
+    none = [f"cast(null as double) as {c}" for c in ("_left", "_strip")]
+    shared = ["_f", *IDS, "_n", "_shape", "_left", "_strip"]
+    whole = merged.selectExpr("_f", *IDS, "_n", "xxhash64(parts) as _shape", *(outline if kind == POLYGON else none), "explode(parts) as _p")
+    cut = f"transform(sequence(0, (size(_p) - 2) div {CHUNK}), k -> slice(_p, k * {CHUNK} + 1, {CHUNK + 1}))"
+    return whole.where("size(_p) >= 2").selectExpr(*shared, f"explode({cut}) as _c")
+
+
+def _pieces(chunks: DataFrame) -> DataFrame:
+    """One row for each segment that may touch a buffer and, of polygons, one for each edge that is not level.
+
+    The ray test counts the edges that the ray from a point to greater x crosses, and an odd number is inside. So no row
+    holds more than one edge, however long the outline, and the tests are plain arithmetic.
+    """
+    shared = [c for c in chunks.columns if c != "_c"]
+    edge = "transform(sequence(1, size(_c) - 1), i -> named_struct('a', _c[i - 1], 'b', _c[i]))"
+    rows = chunks.selectExpr(*shared, f"explode({edge}) as _s").selectExpr(
+        *shared, "_s.a.x as x1", "_s.a.y as y1", "_s.b.x as x2", "_s.b.y as y2", f"explode(array({TOUCH}, {RAY})) as _k"
+    )
+    kept = rows.where(f"_k = {TOUCH} or (_left is not null and y1 != y2)")
+    left = f"if(_k = {RAY}, _left, least(x1, x2))"
+    return kept.selectExpr(
+        "*", f"{left} as xmin", "least(y1, y2) as ymin", "greatest(x1, x2) as xmax", "greatest(y1, y2) as ymax"
+    ).drop("_left")
 
 
 def with_radius(targets: DataFrame, radius: float) -> DataFrame:
@@ -187,9 +202,10 @@ def near_shapes(
     as the way from the outline's left end to the edge, and as high as the edge or its outline's strips. Points look up one cell of every
     grid in use.
 
-    Rows are written once, as they are both counted and joined; ``small=False`` rules a broadcast out.
+    Shapes are written once, in chunks, as they are both counted and joined; ``small=False`` rules a broadcast out.
     """
     radii, targets = _radii(targets, radius)
+    targets = _pieces(stored(targets, "chunks"))
     base = 2.0 * min(radii)
     wide = f"case when _k = {RAY} then xmax - xmin else greatest(xmax - xmin, ymax - ymin) + 2 * _r end"
     high = f"case when _k = {RAY} then greatest(ymax - ymin, _strip) else 0D end"
@@ -209,7 +225,7 @@ def near_shapes(
         "_cx0": grid_index(f"xmin - {reach}", size_x), "_cx1": grid_index(f"xmax + {reach}", size_x),
         "_cy0": grid_index(f"ymin - {reach}", size_y), "_cy1": grid_index(f"ymax + {reach}", size_y),
     }
-    pieces = stored(placed.selectExpr("*", *[f"{e} as {c}" for c, e in ends.items()]).drop("_lx", "_ly"), "pieces")
+    pieces = placed.selectExpr("*", *[f"{e} as {c}" for c, e in ends.items()]).drop("_lx", "_ly")
 
     def spread(df: DataFrame) -> DataFrame:
         cells = df.selectExpr("*", "explode(sequence(_cx0, _cx1)) as _cx").selectExpr("*", "explode(sequence(_cy0, _cy1)) as _cy")
@@ -221,7 +237,8 @@ def near_shapes(
     gap_x, gap_y = "greatest(xmin - _px, _px - xmax, 0D)", "greatest(ymin - _py, _py - ymax, 0D)"
     on_segment = segment_meets_buffer("_px", "_py", "x1", "y1", "x2", "y2", "_r", quad_segs)
     exact = (
-        f"case when _k = {RAY} then {ray_crosses('_px', '_py', 'x1', 'y1', 'x2', 'y2')} "
+        # Left of an outline a point may share a cell with some of its edges only: it is outside.
+        f"case when _k = {RAY} then _px >= xmin and {ray_crosses('_px', '_py', 'x1', 'y1', 'x2', 'y2')} "
         f"else {gap_x} * {gap_x} + {gap_y} * {gap_y} <= _r * _r and {on_segment} end"
     )
     sites = points.selectExpr(POINT_ID, "x as _px", "y as _py")

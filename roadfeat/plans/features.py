@@ -217,6 +217,9 @@ def add_proximity_features(
             result = attach(result, per_point(pairs, columns, by_feature, shapes))
             for f, _, _, _ in batch:
                 result = f.finish(result)
+            if diagnostics is not None:
+                flagged = {f.key: F.count_if(reduce(Column.__or__, [name(o) > 0 for o in f.outputs()])) for f, *_ in batch}
+                result = watch(diagnostics, result, f"{keys}: points", {"points": F.count(F.lit(1)), **flagged})
     return result
 
 
@@ -249,7 +252,9 @@ def _by_size(framed: list, small: bool | None):
     return [(batch, flag) for batch, flag in ((fit, True), (rest, False)) if batch]
 
 
-def add_speed_limit(final_df: DataFrame, points: Layer, nodelink, output_col: str = c.SPEED_LIMIT_COLUMN) -> DataFrame:
+def add_speed_limit(
+    final_df: DataFrame, points: Layer, nodelink, output_col: str = c.SPEED_LIMIT_COLUMN, diagnostics: Diagnostics | None = None
+) -> DataFrame:
     """``MAX_SPD`` of the nearest link; ties go to the smallest ``LINK_ID``."""
     links = places.load_links(nodelink)
     clean.require_columns(links.df, ["LINK_ID", "MAX_SPD"], "links")
@@ -259,7 +264,8 @@ def add_speed_limit(final_df: DataFrame, points: Layer, nodelink, output_col: st
         return attach(final_df, points.df.selectExpr(POINT_ID, f"cast(null as bigint) as `{output_col}`"))
     links = within_box(links, _link_box(box, points.crs, links.crs))
     usable = clean.with_numbers(links.df, ["MAX_SPD"]).where(name("MAX_SPD").isNotNull())
-    links = replace(links, df=usable).drop_empty().to_crs(points.crs)
+    links = replace(links, df=usable).drop_empty()
+    links = replace(links, df=watch(diagnostics, links.df, "links: rows", {"used": F.count(F.lit(1))})).to_crs(points.crs)
     speeds = nearest_line(points.df, links.df, "LINK_ID", "MAX_SPD", tuple(box))
     if speeds is None:
         raise ValueError(f"no link around the points of {c.TARGET_REGION_NAME}")
@@ -292,8 +298,6 @@ def _add(key: str, final_df: DataFrame, points: Layer, source, radius_m: float,
 
 
 def load_feature_source(feature: Feature, source, diagnostics: Diagnostics | None = None) -> Layer:
-    if feature.shapes and feature.key != "priority_roads" or feature.key in ("population", "intersections", "crosswalk_warnings"):
-        return feature.load(source)
     return feature.load(source, diagnostics=diagnostics)
 
 

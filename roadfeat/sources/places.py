@@ -5,7 +5,7 @@ Loaders return a :class:`Layer` whose rows are clean; nothing runs until it is u
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -339,34 +339,41 @@ def load_links(source, encoding: str = "cp949", crs: int | None = None) -> Layer
     return read_layer(source, LINE, crs, encoding, columns=("LINK_ID", "ROAD_NAME", "MAX_SPD"), what="links")
 
 
-def load_traditional_markets(source, crs: int | None = None) -> Layer:
-    layer = read_layer(source, POLYGON, crs, "utf-8", columns=("TRDAR_CD", "TRDAR_SE_1"), what="markets").drop_empty()
-    if "TRDAR_SE_1" not in layer.df.columns:
-        return layer
-    return Layer(layer.df.where(_matches(name("TRDAR_SE_1"), "전통시장", False, True)), POLYGON, layer.crs)
+def _kept(layer: Layer, what: str, diagnostics: Diagnostics | None, wanted: Column | None = None) -> Layer:
+    """The rows that have a geometry (and are ``wanted``); how many there were is counted in the same pass."""
+    present = F.col("x").isNotNull() & F.col("y").isNotNull() if layer.kind == POINT else has_vertices("parts")
+    used = present if wanted is None else present & wanted
+    metrics = {"rows": F.count(F.lit(1)), "empty": F.count_if(~present), "used": F.count_if(used)}
+    return replace(layer, df=watch(diagnostics, layer.df, f"{what}: rows", metrics).where(used))
+
+
+def load_traditional_markets(source, crs: int | None = None, diagnostics: Diagnostics | None = None) -> Layer:
+    layer = read_layer(source, POLYGON, crs, "utf-8", columns=("TRDAR_CD", "TRDAR_SE_1"), what="markets")
+    known = "TRDAR_SE_1" in layer.df.columns
+    return _kept(layer, "markets", diagnostics, _matches(name("TRDAR_SE_1"), "전통시장", False, True) if known else None)
 
 
-def _load_managed(source, kind: str, crs: int | None, what: str) -> Layer:
-    return read_layer(source, kind, crs, "euc-kr", columns=("MGRNU",), what=what).drop_empty()
+def _load_managed(source, kind: str, crs: int | None, what: str, diagnostics: Diagnostics | None) -> Layer:
+    return _kept(read_layer(source, kind, crs, "euc-kr", columns=("MGRNU",), what=what), what, diagnostics)
 
 
-def load_speed_bumps(source, crs: int | None = None) -> Layer:
-    return _load_managed(source, POLYGON, crs, "speed bumps")
+def load_speed_bumps(source, crs: int | None = None, diagnostics: Diagnostics | None = None) -> Layer:
+    return _load_managed(source, POLYGON, crs, "speed bumps", diagnostics)
 
 
-def load_crosswalks(source, crs: int | None = None) -> Layer:
-    return _load_managed(source, POLYGON, crs, "crosswalks")
+def load_crosswalks(source, crs: int | None = None, diagnostics: Diagnostics | None = None) -> Layer:
+    return _load_managed(source, POLYGON, crs, "crosswalks", diagnostics)
 
 
-def load_intersections(source, crs: int | None = None) -> Layer:
-    return _load_managed(source, POINT, crs, "intersections")
+def load_intersections(source, crs: int | None = None, diagnostics: Diagnostics | None = None) -> Layer:
+    return _load_managed(source, POINT, crs, "intersections", diagnostics)
 
 
-def load_crosswalk_warnings(source, crs: int | None = None) -> Layer:
-    return _load_managed(source, POINT, crs, "crosswalk warnings")
+def load_crosswalk_warnings(source, crs: int | None = None, diagnostics: Diagnostics | None = None) -> Layer:
+    return _load_managed(source, POINT, crs, "crosswalk warnings", diagnostics)
 
 
-def load_population_grid(source, source_crs: int = PROJECT_CRS) -> Layer:
+def load_population_grid(source, source_crs: int = PROJECT_CRS, diagnostics: Diagnostics | None = None) -> Layer:
     """Grid cells of all files below a folder, or of a layer; copies of a cell all stay.
 
     ``source_file`` tells where a cell came from. Missing numbers become 0.
@@ -379,7 +386,7 @@ def load_population_grid(source, source_crs: int = PROJECT_CRS) -> Layer:
         layer = _population_files(str(source), source_crs)
     clean.require_columns(layer.df, ["val"], "population grid")
     df = clean.with_numbers(layer.df, ["val"]).fillna(0.0, ["val"])
-    return Layer(df.where(has_vertices("parts")), POLYGON, layer.crs)
+    return _kept(Layer(df, POLYGON, layer.crs), "population grid", diagnostics)
 
 
 def _population_files(folder: str, source_crs: int) -> Layer:

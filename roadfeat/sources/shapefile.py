@@ -72,6 +72,7 @@ PARTS = ArrayType(ArrayType(VERTEX))
 
 
 def _open(path: str):
+    path = re.sub(r"^file:/+", "/", path)
     if "://" in path:
         fs, inner = pafs.FileSystem.from_uri(path)
     else:

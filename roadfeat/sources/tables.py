@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Iterable
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadfeat.config import PROJECT_CRS
+from roadfeat.config import POINT_ID, PROJECT_CRS
 from roadfeat.functions.clean import name, normalize_na, require_columns
 from roadfeat.functions.geometry import bounds, close_rings
 from roadfeat.layer import LINE, POINT, POLYGON, Layer
@@ -39,9 +40,12 @@ def read_table(
     encoding: str = "utf-8",
     file_format: str | None = None,
     what: str = "table",
+    multi_line: bool = False,
 ) -> DataFrame:
     """The needed columns of a CSV, Parquet, ORC or JSON table, or of a DataFrame.
 
+    ``multi_line`` reads quoted line feeds in CSV values; such a file can't be split, so each is one task.
+
     CSV columns stay text (no inference pass) with missing-value texts made null; typed
     tables keep their types. A missing required column fails before any job.
     """
@@ -51,7 +55,7 @@ def read_table(
         path = os.fspath(source)
         reader = active_session().read
         if is_text_file(source, file_format):
-            df = reader.csv(path, header=True, encoding=encoding, quote='"', escape='"')
+            df = reader.csv(path, header=True, encoding=encoding, quote='"', escape='"', multiLine=multi_line)
         else:
             df = reader.format(file_format or _suffix(source) or "parquet").load(path)
     required = list(required)
@@ -161,15 +165,89 @@ def within_box(layer: Layer, box: tuple[float, float, float, float]) -> Layer:
     return replace(layer, df=kept)
 
 
-def write_table(df: DataFrame, path: str, file_format: str = "parquet", mode: str = "overwrite") -> None:
-    """The result table: Parquet by default, or CSV with a header."""
+def write_table(
+    df: DataFrame, path: str, file_format: str = "parquet", mode: str = "overwrite", single: bool = False, order_by: str | None = None
+) -> None:
+    """The result table, in ranges of ``order_by`` (the point id where there is one): Parquet by default, or CSV with a header.
+
+    All parts are written to a folder beside ``path`` and published by a rename, so a reader sees the old table or the
+    new one, and a run that is killed leaves the old one; what a run killed between its two renames moved aside is put back by the next
+    call. ``single`` makes ``path`` one CSV file, streamed together from the sorted parts. ``mode`` is ``overwrite`` or
+    ``errorifexists``; appending goes through Spark's own writer.
+    """
+    if mode not in ("overwrite", "errorifexists", "append") or (single and file_format != "csv"):
+        raise ValueError("mode must be overwrite, errorifexists or append, and a single file is a CSV")
+    order_by = order_by or (POINT_ID if POINT_ID in df.columns else None)
+    ordered = df if order_by is None else df.repartitionByRange(name(order_by)).sortWithinPartitions(name(order_by))
+    if mode == "append":
+        _save(ordered, path, file_format, mode, True)
+        return
+    spark = df.sparkSession
+    target, files = _hadoop(spark, path)
+    _put_back(spark, target, files)
+    if mode == "errorifexists" and files.exists(target):
+        raise FileExistsError(path)
+    run = uuid.uuid4().hex
+    draft = _beside(spark, target, f"_draft-{run}")
+    _save(ordered, draft.toString(), file_format, "errorifexists", not single)
+    if single:
+        joined = _beside(spark, target, f"_joined-{run}")
+        _join_parts(spark, files, df.columns, draft, joined)
+        files.delete(draft, True)
+        draft = joined
+    aside = _beside(spark, target, f"_old-{run}")
+    if files.exists(target):
+        files.rename(target, aside)
+    if not files.rename(draft, target):
+        raise OSError(f"{path}: the new table could not be moved to its place")
+    files.delete(aside, True)
+
+
+def _save(df: DataFrame, path: str, file_format: str, mode: str, header: bool) -> None:
     writer = df.write.mode(mode)
     if file_format == "csv":
-        writer.option("header", True).option("encoding", "UTF-8").csv(path)
+        writer.option("header", header).option("encoding", "UTF-8").csv(path)
     else:
         writer.format(file_format).save(path)
 
 
+def _hadoop(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.makeQualified(target), files
+
+
+def _beside(spark: SparkSession, target, suffix: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{target.getName()}{suffix}")
+
+
+def _put_back(spark: SparkSession, target, files) -> None:
+    """The table that a run moved aside and could not replace."""
+    if files.exists(target) or not files.exists(target.getParent()):
+        return
+    for status in files.listStatus(target.getParent()):
+        if status.getPath().getName().startswith(f".{target.getName()}_old-"):
+            files.rename(status.getPath(), target)
+            return
+
+
+def _join_parts(spark: SparkSession, files, columns: list[str], folder, out_path) -> None:
+    """One file from a header and the parts in order; bytes are streamed, a part at a time."""
+    header = ",".join(f'"{c.replace(chr(34), chr(34) * 2)}"' if any(x in c for x in ',"\n') else c for c in columns)
+    out = files.create(out_path)
+    try:
+        out.write(bytearray((header + "\n").encode()))
+        for status in sorted(files.listStatus(folder), key=lambda s: s.getPath().getName()):
+            if status.getPath().getName().startswith("part-"):
+                part = files.open(status.getPath())
+                try:
+                    spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, out, 1 << 20, False)
+                finally:
+                    part.close()
+    finally:
+        out.close()
+
+
 __all__ = [
     "LINE", "POINT", "POLYGON", "ingest_layer", "read_layer", "read_table", "within_box", "write_table",
 ]

@@ -1,5 +1,6 @@
 import math
 import random
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from roadfeat.layer import LINE, POINT, POLYGON, Layer
 from roadfeat.operators import proximity
 from roadfeat.plans import features as ft
 from roadfeat.plans import pipeline as pl
+from roadfeat.sources import places
 
 
 def points(spark, places):
@@ -266,3 +268,121 @@ def test_plans_have_no_cross_join_and_no_python(spark, small):
     plan = df._jdf.queryExecution().executedPlan().toString()
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython"):
         assert word not in plan
+
+
+def test_diagnostics_of_layers_links_and_flagged_points(spark):
+    seen = Diagnostics()
+    box = spark.createDataFrame([("a", 0), ("b", 900)], "MGRNU string, x long").withColumn("parts", rectangle("x", "0D", "x + 5", "5D"))
+    box = box.unionByName(spark.sql("select 'c' as MGRNU, 0L as x, cast(null as array<array<struct<x: double, y: double>>>) as parts"))
+    markets = box.selectExpr("parts", "if(MGRNU = 'a', '전통시장', '골목상권') as TRDAR_SE_1")
+    p = points(spark, [(0, 0), (40, 0), (500, 0)])
+    lines = spark.range(3).select(F.col("id").cast("string").alias("LINK_ID"), F.when(F.col("id") > 0, 30).alias("MAX_SPD"), two_point_line("0D", "0D", "9D", "9D").alias("parts"))
+    sources = {"crosswalks": Layer(box, POLYGON), "market": Layer(markets, POLYGON), "intersections": marks(spark, [("m", 1, 1)]), "speed_limit": Layer(lines, LINE)}
+    pl.build_features(p, sources, diagnostics=seen).collect()
+    assert seen["crosswalks: rows"] == {"rows": 3, "empty": 1, "used": 2}
+    assert seen["markets: rows"] == {"rows": 3, "empty": 1, "used": 1}
+    assert seen["intersections: rows"] == {"rows": 1, "empty": 0, "used": 1}
+    assert seen["links: rows"] == {"used": 2}
+    flagged = {k: v for n in seen.names() if n.endswith(": points") for k, v in seen[n].items()}
+    assert flagged == {"points": 3, "crosswalks": 2, "market": 2, "intersections": 2}
+
+
+def test_declaring_a_source_starts_no_job(spark, tmp_path):
+    rows = "관리번호,위도,경도\n" + "".join(f"{i},37.5,127.0{k}\n" for k, i in enumerate(("007", "7", "8.0", "8")))
+    (tmp_path / "lights.csv").write_text(rows, encoding="cp949")
+    mixed = rows + "A8,37.5,127.0\n8 ,37.5,127.0\n"
+    (tmp_path / "mixed.csv").write_text(mixed, encoding="cp949")
+    spark.sparkContext.setJobGroup("declare", "")
+    layers = [places.load_streetlights(str(tmp_path / f)) for f in ("lights.csv", "mixed.csv")]
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("declare")
+    spark.sparkContext.setJobGroup("", "")
+    # Reading a header takes a job; the ids' type is found out when they are used.
+    assert len(jobs) <= 2
+    got = [sorted(r["관리번호"] for r in layer.df.collect()) for layer in layers]
+    assert got == [["7", "7", "8", "8"], ["007", "7", "8", "8 ", "8.0", "A8"]]
+
+
+def ring(*xy):
+    return "array(" + ", ".join(f"named_struct('x', {x}D, 'y', {y}D)" for x, y in [*xy, xy[0]]) + ")"
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_outlines_with_holes_parts_and_notches(spark, small):
+    frame = f"array({ring((0, 0), (400, 0), (400, 400), (0, 400))}, {ring((60, 60), (340, 60), (340, 340), (60, 340))}, {ring((900, 0), (910, 0), (910, 10), (900, 10))})"
+    notch = f"array({ring((2000, 0), (2300, 0), (2300, 300), (2150, 100), (2000, 300))})"
+    bow = f"array({ring((4000, 0), (4200, 200), (4200, 0), (4000, 200))})"
+    df = spark.sql(f"select 'f' as MGRNU, {frame} as parts union all select 'n', {notch} union all select 'b', {bow}")
+    # Two overlapping shapes of one id: inside both is inside, not twice across.
+    df = df.unionByName(spark.sql(f"select 'n' as MGRNU, array({ring((1900, -100), (2400, -100), (2400, 400), (1900, 400))}) as parts"))
+    places_ = {(200, 200): 0, (30, 200): 1, (112, 112): 0, (109, 200): 1, (905, 5): 1, (700, 5): 0, (2150, 50): 1, (2150, 280): 1, (4100, 100): 1, (4190, 100): 1, (4100, 190): 0, (4100, 130): 1, (4100, 260): 0, (-300, 5): 0, (-500, 90): 0, (1600, 200): 0, (3700, 100): 0}
+    p = points(spark, list(places_))
+    got = ft.add_proximity_features(ids(p), p, [(ft.FEATURES["crosswalks"], Layer(df, POLYGON))], small=small)
+    assert column(got, c.CROSSWALK_COLUMN) == list(places_.values())
+
+
+def test_an_outline_of_a_million_vertices(spark):
+    n = 1_000_000
+    # A wave around a circle: the radius at angle t is 50000 + 20000 sin(9 t).
+    angle = f"(2 * pi() * i / {n})"
+    radius = f"(50000 + 20000 * sin(9 * {angle}))"
+    vertices = f"array(transform(sequence(0, {n}), i -> named_struct('x', {radius} * cos({angle}), 'y', {radius} * sin({angle}))))"
+    shape = Layer(spark.range(1).selectExpr("'m' as MGRNU", f"{vertices} as parts"), POLYGON)
+    rnd, places_ = random.Random(3), []
+    while len(places_) < 400:
+        x, y = rnd.uniform(-75000, 75000), rnd.uniform(-75000, 75000)
+        off = math.hypot(x, y) - (50000 + 20000 * math.sin(9 * math.atan2(y, x)))
+        if abs(off) > 1500:  # farther from the outline than any buffer reaches
+            places_.append((x, y, int(off < 0)))
+    p = points(spark, [xy[:2] for xy in places_])
+    got = ft.add_proximity_features(ids(p), p, [(ft.FEATURES["crosswalks"], shape)])
+    assert column(got, c.CROSSWALK_COLUMN) == [k for *_, k in places_]
+
+
+def test_one_join_for_all_radii(spark):
+    rnd = random.Random(11)
+    spots = [(rnd.uniform(0, 900), rnd.uniform(0, 900)) for _ in range(120)]
+    targets = [(f"t{i % 90}", rnd.uniform(0, 900), rnd.uniform(0, 900)) for i in range(150)]
+    p, m = points(spark, spots), marks(spark, targets)
+    near = replace(ft.FEATURES["intersections"], key="near", output="near")
+    far = replace(near, key="far", output="far", radius=300.0)
+    for small in (True, False):
+        df = ft.add_proximity_features(ids(p), p, [(near, m), (far, m)], small=small)
+        assert column(df, "near") == brute(spots, targets, 50) and column(df, "far") == brute(spots, targets, 300)
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Join Inner") == 1
+
+
+def test_tables_are_published_whole(spark, tmp_path, monkeypatch):
+    from roadfeat.sources import tables
+
+    path = str(tmp_path / "out")
+    df = spark.range(2000).select((F.lit(1999) - F.col("id")).alias(c.POINT_ID), F.lit("a,\"b").alias("x,y")).repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    tables.write_table(df, path)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    parts = [spark.read.parquet(str(f)) for f in sorted(tmp_path.glob("out/part-*"))]
+    ends = [d.agg(F.min(c.POINT_ID), F.max(c.POINT_ID)).first() for d in parts]
+    assert len(ends) > 1 and all(a[1] < b[0] for a, b in zip(ends, ends[1:]))
+    broken = df.withColumn("z", F.raise_error(F.lit("killed")))
+    with pytest.raises(Exception, match="killed"):
+        tables.write_table(broken, path)
+    assert spark.read.parquet(path).count() == 2000
+    # Killed between the two renames: the next call finds the old table again.
+    (tmp_path / "out").rename(tmp_path / ".out_old-1")
+    with pytest.raises(FileExistsError):
+        tables.write_table(df, path, mode="errorifexists")
+    assert spark.read.parquet(path).count() == 2000
+    one = str(tmp_path / "one.csv")
+    for _ in range(2):
+        tables.write_table(df, one, "csv", single=True)
+    lines = (tmp_path / "one.csv").read_text().splitlines()
+    assert lines[0] == f'{c.POINT_ID},"x,y"' and [int(x.split(",")[0]) for x in lines[1:]] == list(range(2000))
+    assert pl.read_table(one, file_format="csv").count() == 2000
+    assert not [f for f in tmp_path.iterdir() if f.name.startswith((".out", ".one")) and f.suffix != ".crc"]
+
+
+def test_quoted_line_feeds(spark, tmp_path):
+    from roadfeat.sources.tables import read_table
+
+    (tmp_path / "t.csv").write_text('a,b\n1,"x\ny"\n2,z\n')
+    assert [r.b for r in read_table(str(tmp_path / "t.csv"), multi_line=True).orderBy("a").collect()] == ["x\ny", "z"]

@@ -63,6 +63,11 @@ select 'M' || cast(k as string) as mgrnu,
        950000.23e0 + (k * 6700417) % 9887 + 20 * (p_partkey % 2) + 3 + p_size as xmax,
        1946000.71e0 + (k * 2147483) % 9883 + 2 + p_size % 11 as ymax
 from (select *, cast(floor(p_partkey / 2) as bigint) as k from {part}) t
+""",
+    "fx_outlines": """
+select 'C' || cast(k as string) as mgrnu, p_partkey % 4 as form, cast(x as double) as x, cast(y as double) as y
+from (select p_partkey, cast(floor(p_partkey / 3) as bigint) as k, 950000.53e0 + (p_partkey * 5915587) % 9661 as x,
+             1946000.17e0 + (p_partkey * 1500450) % 9643 as y from {part}) t
 """,
     "fx_stops": """
 select cast(100000 + k as string) as node_id,

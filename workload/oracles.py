@@ -155,6 +155,23 @@ agg as (select point_id, {agg} as v from near where {sides(low)} <= {a!r} group
 select pts.point_id, cast(coalesce(v, 0) as bigint) as {out} from pts left join agg using (point_id)"""
 
 
+def outlines() -> str:
+    """Outlines as rectangles: a frame is met where its outer rectangle is and the polygon isn't within the hole."""
+    boxes = "(0, 0, 0, 320, 300), (0, 400, 0, 430, 25), (1, 0, 0, 60, 20), (1, 0, 0, 20, 60), (2, 0, 0, 9, 4)"
+    table = f"""(select mgrnu, x + a as xmin, y + b as ymin, x + c as xmax, y + d as ymax, form = 0 and a = 0 as framed, x, y
+        from {duckdb_sql('fx_outlines')} join (values {boxes}) v(f, a, b, c, d) on form = f)"""
+    gx, gy = "greatest(xmin - px, px - xmax, 0)", "greatest(ymin - py, py - ymax, 0)"
+    low = "least(nx * (xmin - px), nx * (xmax - px)) + least(ny * (ymin - py), ny * (ymax - py))"
+    # The buffer polygon has corners at its box's sides, and the hole is a rectangle.
+    in_hole = "framed and px - 50 > x + 40 and px + 50 < x + 280 and py - 50 > y + 40 and py + 50 < y + 260"
+    return f"""
+with pts as materialized {POINTS},
+tgt as materialized {table},
+near as materialized (select * from pts join tgt on {gx} * {gx} + {gy} * {gy} <= 2500 and not ({in_hole})),
+agg as (select point_id, count(distinct mgrnu) as v from near where {sides(low)} <= {50 * math.cos(math.pi / (4 * SEGS))!r} group by point_id)
+select pts.point_id, cast(coalesce(v, 0) as bigint) as crosswalk_count from pts left join agg using (point_id)"""
+
+
 def segment_d2(px: str = "px", py: str = "py") -> str:
     len2 = "((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1))"
     dot = f"(({px} - x1) * (x2 - x1) + ({py} - y1) * (y2 - y1))"
@@ -286,6 +303,8 @@ def _tables() -> dict[str, str]:
         "p1_accident_union": f"select * from {duckdb_sql('fx_accidents')}",
         "p2_accidents_by_year": f"select yr, count(*) as accidents from {duckdb_sql('fx_accidents')} group by yr",
     }
+    oracle |= {"s1_roads_file": oracle["r4_road_points"], "s3_links_file": oracle["f3_speed_limit"], "s5_population_files": oracle["f5_population"]}
+    oracle["s15_outlines_file"] = outlines()
     oracle["p3_incremental"] = _joined(oracle, ["f1_base_points", "f2_accident_risk", "f19_parking", "f17_signals"])
     oracle["p5_all_features"] = _joined(oracle, [k for k in oracle if k.startswith("f")])
     return oracle

@@ -15,6 +15,8 @@ from roadfeat.operators.roads import create_point_buffers, create_road_points, f
 from roadfeat.operators.storage import work_path
 from roadfeat.plans import features as ft
 from roadfeat.plans import pipeline as pl
+from roadfeat.sources.places import load_road_segments
+from roadfeat.sources.shapefile import write_shapefiles
 from roadfeat.sources.tables import write_table
 from workload.fixtures import fixture
 
@@ -166,6 +168,13 @@ class Sources:
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _file(layer: Layer, label: str, encoding: str, crs: int | None) -> str:
+    """The layer as a folder of shapefiles in the shared folder."""
+    path = f"{work_path(layer.df.sparkSession, label)}.shp"
+    write_shapefiles(layer.df, path, layer.kind, crs, encoding)
+    return path
+
+
 def _ids(points: Layer) -> DataFrame:
     return points.df.select(c.POINT_ID)
 
@@ -227,6 +236,51 @@ def p3_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return english(pl.extend_saved(saved, sources, ["accident_risk", "parking", "signals"]))
 
 
+def s1_roads_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points along roads that are read from shapefiles."""
+    s = Sources(spark, sf_dir)
+    roads = load_road_segments(_file(s.roads(), "roads", "cp949", c.PROJECT_CRS))
+    df = create_road_points(filter_target_roads(roads)[1]).df
+    return df.select(*[F.col(n).alias(n.lower()) for n in df.columns])
+
+
+def s3_links_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The speed limit from shapefiles that name no coordinate system; the points' box limits what is decoded."""
+    s = Sources(spark, sf_dir)
+    points = s.points()
+    return english(ft.add_speed_limit(_ids(points), points, _file(s.links(), "links", "cp949", None)))
+
+
+def s5_population_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The population from a folder whose files disagree on the type and order of their columns."""
+    s = Sources(spark, sf_dir)
+    points, folder = s.points(), work_path(spark, "population")
+    cell = rectangle("xmin", "ymin", "xmin + 250", "ymin + 250").alias("parts")
+    cells = s.fx("fx_population")
+    write_shapefiles(cells.where("ci < 20").select("val", "ci", cell), f"{folder}/west/grid.shp", POLYGON, c.PROJECT_CRS, "utf-8")
+    east = cells.where("ci >= 20").select(F.col("val").try_cast("double").alias("val"), "cj", cell)
+    write_shapefiles(east, f"{folder}/east/grid.shp", POLYGON, c.PROJECT_CRS, "utf-8")
+    return english(ft.add_elderly_population_300m(_ids(points), points, folder))
+
+
+def s15_outlines_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Crosswalks from shapefiles: frames with a hole and a second part, notched outlines, plain ones and missing ones."""
+    s = Sources(spark, sf_dir)
+    points = s.points()
+
+    def ring(*xy: tuple[int, int]) -> str:
+        return "array(" + ", ".join(f"named_struct('x', x + {a}, 'y', y + {b})" for a, b in (*xy, xy[0])) + ")"
+
+    def box(x0: int, y0: int, x1: int, y1: int) -> str:
+        return ring((x0, y0), (x0, y1), (x1, y1), (x1, y0))
+
+    frame = f"array({box(0, 0, 320, 300)}, {box(40, 40, 280, 260)}, {box(400, 0, 430, 25)})"
+    notch = f"array({ring((0, 0), (0, 60), (20, 60), (20, 20), (60, 20), (60, 0))})"
+    parts = f"case form when 0 then {frame} when 1 then {notch} when 2 then array({box(0, 0, 9, 4)}) end as parts"
+    layer = Layer(s.fx("fx_outlines").selectExpr("mgrnu as MGRNU", parts), POLYGON)
+    return english(ft.add_crosswalk_counts(_ids(points), points, _file(layer, "crosswalks", "euc-kr", c.PROJECT_CRS)))
+
+
 def p5_all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = Sources(spark, sf_dir)
     return english(pl.build_features(s.points(), s.all()))
@@ -265,4 +319,8 @@ QUERIES: dict[str, Query] = {
     "p2_accidents_by_year": p2_accidents_by_year,
     "p3_incremental": p3_incremental,
     "p5_all_features": p5_all_features,
+    "s1_roads_file": s1_roads_file,
+    "s3_links_file": s3_links_file,
+    "s5_population_files": s5_population_files,
+    "s15_outlines_file": s15_outlines_file,
 }
