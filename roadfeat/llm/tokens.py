@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-import ctypes
-import gc
 import os
 from collections.abc import Iterable, Iterator
 from itertools import islice
 
 import numpy as np
-import pyarrow as pa
+
+from roadfeat.llm.shared import give_back
 
 #: Bytes that a worker's memory of words may take before it starts afresh, and the first words that stay when a task
 #: ends: common words come early. Memory and time only, results do not depend on them.
-REMEMBERED_BYTES, KEPT_WORDS = 96 << 20, 100_000
+REMEMBERED_BYTES, KEPT_WORDS = 160 << 20, 400_000
 #: Bytes of a remembered word beside its own, and of its place in the table.
 WORD_BYTES = 220
 #: Longest word that is remembered, characters of texts that are split at once, and new words of one encoding call.
@@ -133,16 +132,6 @@ class Encoder:
                 yield self.whole(text)
 
 
-def give_back() -> None:
-    """Return freed memory to the system, which neither Arrow nor the C library does by itself."""
-    gc.collect()
-    pa.default_memory_pool().release_unused()
-    try:
-        ctypes.CDLL(None).malloc_trim(0)
-    except (AttributeError, OSError):
-        pass  # not this C library
-
-
 _encoders: dict[str, Encoder] = {}
 
 
