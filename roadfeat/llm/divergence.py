@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadfeat.llm.shared import store
+from roadfeat.llm.shared import store, text_batches
 
 #: Fixed by the definition of a chance: chances are whole billionths.
 UNIT = 1_000_000_000
@@ -361,7 +361,7 @@ def divergence(docs: DataFrame, least_docs: int = 10, bits: int = 64) -> Diverge
     base = docs.select(text("lang").alias("lang"), text("source").alias("source"), text("text").cast("binary").alias("text"))
     n_bytes = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_bytes // BUCKET_BYTES)
-    parts = store(base.mapInArrow(_packer(bits, buckets), _PACKED), "divergence-parts")
+    parts = store(text_batches(base).mapInArrow(_packer(bits, buckets), _PACKED), "divergence-parts")
     records = parts.where("bucket >= 0").repartition(buckets, "bucket").sortWithinPartitions("bucket")
     entries = store(records.mapInArrow(_adder(least_docs), _ENTRIES), "divergence-entries")
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadfeat.llm.shared import store
+from roadfeat.llm.shared import store, text_batches
 from roadfeat.llm.tokens import encoder
 
 _SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary, shard long, rank long"
@@ -63,7 +63,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, longest: int = 4096) -> D
     read; no ids are shuffled.
     """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    pieces = store(base.mapInArrow(_pieces(tokenizer, end_id, longest), _SCHEMA), "pieces")
+    pieces = store(text_batches(base).mapInArrow(_pieces(tokenizer, end_id, longest), _SCHEMA), "pieces")
     counts = pieces.groupBy("length", "shard").agg((F.max("rank") + 1).alias("n"))
     earlier = Window.partitionBy("length").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     longer = Window.orderBy(F.desc("length")).rowsBetween(Window.unboundedPreceding, -1)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadfeat.llm.shared import store
+from roadfeat.llm.shared import store, text_batches
 
 #: Statistics of a text, all shares or logarithms, in the order of ``statistics``.
 STATISTICS = (
@@ -65,7 +65,7 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def document_statistics(docs: DataFrame) -> DataFrame:
     """``(doc_id, x)`` of every row, written to the shared folder."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return store(base.mapInArrow(_statistics, "doc_id long, x array<double>"), "quality-statistics")
+    return store(text_batches(base).mapInArrow(_statistics, "doc_id long, x array<double>"), "quality-statistics")
 
 
 @dataclass
@@ -177,4 +177,4 @@ def good_documents(docs: DataFrame, labels: DataFrame, least: float) -> DataFram
             x = np.array([statistics(t.as_py()) for t in batch.column(at).cast(pa.binary())]).reshape(-1, len(STATISTICS))
             yield batch.filter(pa.array(model.scores(x) >= least, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return text_batches(docs).mapInArrow(run, docs.schema)

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-import math
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of rows that go to a Python worker at once.
+BATCH_BYTES = 8 << 20
 _fallback: dict[str, str] = {}
 
 
@@ -47,31 +49,25 @@ def discard(df: DataFrame) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def running_start(df: DataFrame, group: list[str], order: list[str], size: str, out: str) -> DataFrame:
-    """Add ``out``: the sum of ``size`` over the rows before this one in its group.
+def text_batches(df: DataFrame) -> DataFrame:
+    """``df`` itself; from here on its session hands rows to Python in batches of at most ``BATCH_BYTES``.
 
-    Rows are dealt to about sqrt(n) hash buckets of the order columns and ordered by bucket, then
-    by ``order``; only bucket totals of a group meet in one task. So a group may hold any share of
-    the rows. Equal order values make ties whose order is not defined.
+    Texts are of any length, so a batch is bounded by its bytes; a longer text is a batch of its own.
     """
-    buckets = max(1, math.isqrt(df.count()))
-    keyed = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
-    inner = Window.partitionBy(*group, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    outer = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    totals = (
-        keyed.groupBy(*group, "_bucket")
-        .agg(F.sum(size).alias("_total"))
-        .withColumn("_before", F.coalesce(F.sum("_total").over(outer), F.lit(0)))
-        .drop("_total")
-    )
-    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in [*group, "_bucket"]]
-    return (
-        keyed.withColumn("_inner", F.coalesce(F.sum(size).over(inner), F.lit(0)))
-        .alias("a")
-        .join(totals.alias("b"), same)
-        .select("a.*", (F.col("_inner") + F.col("_before")).alias(out))
-        .drop("_bucket", "_inner")
-    )
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
+def give_back() -> None:
+    """Return freed memory to the system, which neither Arrow nor the C library does by itself."""
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # not this C library
 
 
 def whole_groups(batches: Iterator, key: str) -> Iterator:

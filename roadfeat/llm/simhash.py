@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadfeat.llm.components import components
-from roadfeat.llm.shared import store, whole_groups
+from roadfeat.llm.shared import store, text_batches, whole_groups
 
 SEED = 42
 #: Shingles turned to bits at once, so that a very long text needs bounded memory.
@@ -211,7 +211,7 @@ def _prints_and_roots(docs: DataFrame, width: int, radius: int) -> tuple[DataFra
     fingerprint that names their group."""
     text = F.col("text")
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.cast("binary").alias("text"))
-    prints = store(base.mapInArrow(_fingerprints(width), "doc_id long, text_hash long, fp long"), "simhash-prints")
+    prints = store(text_batches(base).mapInArrow(_fingerprints(width), "doc_id long, text_hash long, fp long"), "simhash-prints")
     nodes = store(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-nodes")
     roots = components(link_fingerprints(nodes, radius)).select(F.col("node").alias("fp"), "component")
     return prints, nodes.join(roots, "fp", "left").select("fp", "low", F.coalesce("component", "fp").alias("root"))

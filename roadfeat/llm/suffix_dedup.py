@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadfeat.llm.shared import discard, new_path, store, whole_groups
+from roadfeat.llm.shared import discard, give_back, new_path, store, text_batches, whole_groups
 
 #: Bytes of a string that may not occur twice.
 LENGTH = 200
@@ -122,8 +122,8 @@ def suffixes(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _array_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for at in range(0, whole.num_rows, 1000):
-            batch = whole.slice(at, 1000)
+        for at in range(0, whole.num_rows, 200):
+            batch = whole.slice(at, 200)
             rows: list[list[np.ndarray]] = [[], [], [], []]
             for ref, number, text in zip(batch["ref"].to_pylist(), batch["batch"].to_pylist(), batch["text"], strict=True):
                 place, prints, own = suffixes(text.as_py())
@@ -134,6 +134,7 @@ def _array_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 rows[3].append(np.repeat([number, -1], [len(place), len(low)]))
             columns = [pa.array(np.concatenate(x).astype(np.int64)) for x in rows]
             yield pa.RecordBatch.from_arrays(columns, ["head", "ref", "place", "batch"])
+    give_back()
 
 
 def _bucketed(df: DataFrame, buckets: int, label: str, *partition: str) -> DataFrame:
@@ -209,6 +210,7 @@ def _surroundings(with_bytes: bool):
                         columns.append(pa.array([r.tobytes() for r in rows], pa.binary()))
                         names.append("bytes")
                     yield pa.RecordBatch.from_arrays(columns, names)
+        give_back()
 
     return run
 
@@ -218,7 +220,7 @@ def _variant_windows(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     n = table.num_rows
     width = PLACES - 1 + LENGTH
     raw = np.frombuffer(b"".join(table["bytes"].to_pylist()), np.uint8).reshape(n, width)
-    found = np.concatenate([_window_hashes(raw[k : k + 2048], LENGTH) for k in range(0, n, 2048)])
+    found = np.concatenate([_window_hashes(raw[k : k + 512], LENGTH) for k in range(0, n, 512)])
     head = np.asarray(table["head"]).view(np.uint64)
     place = np.arange(PLACES, dtype=np.uint64)
     found = _mix(found ^ _mix(head[:, None] + place[None, :] * np.uint64(_BASE)))
@@ -250,6 +252,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         again[real] = (at < len(twice)) & (twice[np.minimum(at, max(0, len(twice) - 1))] == values) if len(twice) else False
         again |= real & (np.asarray(table["n"]) > 1)[:, None]
         yield from _run_rows(table, again)
+    give_back()
 
 
 def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,7 +285,7 @@ def repeated_spans(texts: DataFrame, variants: int = VARIANTS) -> DataFrame:
     Suffixes with equal head and equal surroundings (all bytes that windows over the head reach) are one variant.
     A variant found twice repeats all its windows; different variants of a head are compared window by window.
     """
-    rows = store(texts.mapInArrow(_surroundings(False), _ROWS), "suffix-rows")
+    rows = store(text_batches(texts).mapInArrow(_surroundings(False), _ROWS), "suffix-rows")
     kinds = rows.groupBy("head", "variant").agg(
         F.count("*").alias("n"), F.min(F.struct("ref", "place")).alias("one"), F.first("before").alias("before"), F.first("after").alias("after")
     )
@@ -359,7 +362,7 @@ def changed_texts(docs: DataFrame, variants: int = VARIANTS) -> tuple[DataFrame,
     copies = store(copies, "suffix-copies")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     batch = F.pmod(F.xxhash64("ref"), F.lit(BATCHES))
-    arrays = base.select("ref", batch.alias("batch"), "text").mapInArrow(_array_rows, "head long, ref long, place long, batch long")
+    arrays = text_batches(base).select("ref", batch.alias("batch"), "text").mapInArrow(_array_rows, "head long, ref long, place long, batch long")
     arrays = _bucketed(arrays, buckets, "suffix_batches", "batch")
     family = SuffixFamily(spark, buckets)
     for number in range(BATCHES):

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from roadfeat.llm.shared import new_path, store
+from roadfeat.llm.shared import new_path, store, text_batches
 from roadfeat.llm.tokens import encoder
 
 #: Keys of one index bucket, on average; a bucket is built and searched in one go.
@@ -209,7 +209,7 @@ def write_token_shards(docs: DataFrame, tokenizer: str, end_id: int) -> TokenSha
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     ordered = base.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
     schema = "doc_id long, copy long, shard long, offset long, n long"
-    keys = store(ordered.mapInArrow(_write(path, tokenizer, end_id), schema), "token-keys")
+    keys = store(text_batches(ordered).mapInArrow(_write(path, tokenizer, end_id), schema), "token-keys")
     buckets = -(-keys.count() // KEYS_IN_BUCKET) or 1
     entries = _hashed(keys, buckets).drop("doc_id", "copy")
     index = entries.groupBy("bucket").applyInArrow(_build, "bucket long, sizes binary, bits binary, slots binary")
