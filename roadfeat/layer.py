@@ -17,18 +17,18 @@ class Layer:
     """Points keep ``x, y``; lines and polygons keep ``parts`` (lines or rings).
 
     ``parts`` is ``array<array<struct<x: double, y: double>>>``. The coordinate
-    system belongs to the whole layer, so it is no column. ``size_bound`` may name
+    system (an EPSG code, a projection or a datum) belongs to the whole layer, so it is no column. ``size_bound`` may name
     a frame that has at least as many rows as ``df``, for the join's size check.
     ``stored`` says that ``df`` is read from storage, so reading it again is cheap.
     """
 
     df: DataFrame
     kind: str = POINT
-    crs: int | None = PROJECT_CRS
+    crs: crs_fn.Crs | None = PROJECT_CRS
     size_bound: DataFrame | None = None
     stored: bool = False
 
-    def to_crs(self, target: int) -> "Layer":
+    def to_crs(self, target: crs_fn.Crs) -> "Layer":
         if self.crs is None or self.crs == target:
             return replace(self, crs=target)
         if self.kind == POINT:

@@ -20,10 +20,11 @@ from roadfeat.config import (
 from roadfeat.diagnostics import Diagnostics, watch
 from roadfeat.functions import clean
 from roadfeat.functions.clean import name, trimmed
+from roadfeat.functions.crs import Crs
 from roadfeat.functions.geometry import has_vertices, representative_point, two_point_line
 from roadfeat.layer import LINE, POINT, POLYGON, Layer
 from roadfeat.operators.storage import stored
-from roadfeat.sources.shapefile import SOURCE_FILE, find_shapefiles, header_rows, merged_schema, read_shapefile
+from roadfeat.sources.shapefile import SOURCE_FILE, crs_of_text, find_shapefiles, header_rows, merged_schema, read_shapefile
 from roadfeat.sources.tables import is_text_file, read_layer, read_table
 
 
@@ -400,18 +401,20 @@ def _population_files(folder: str, source_crs: int) -> Layer:
         return Layer(files.withColumn(SOURCE_FILE, F.col("_metadata.file_path")), POLYGON, source_crs)
     headers = stored(header_rows(spark, paths, "utf-8"), "headers")
     # Every file needs the column, so files are told by those that have it.
-    valued = headers.groupBy("no", "path", "crs").agg(F.max((F.col("field") == "val").cast("int")).alias("has"))
+    valued = headers.groupBy("no", "path", "prj").agg(F.max((F.col("field") == "val").cast("int")).alias("has"))
     lacking = valued.where("has is null or has = 0").orderBy("no").first()
     if lacking is not None:
         raise ValueError(f"{lacking['path']}: missing columns ['val']")
     schema = merged_schema(headers, POLYGON)
-    by_crs = valued.groupBy("crs").agg(F.min("no").alias("first"), F.array_sort(F.collect_list("no")).alias("files"))
-    groups = by_crs.orderBy("first").collect()
-    base = groups[0]["crs"] or source_crs
+    by_text = valued.groupBy("prj").agg(F.min("no").alias("first"), F.array_sort(F.collect_list("no")).alias("files"))
+    groups: dict[Crs, list[int]] = {}
+    for r in by_text.orderBy("first").collect():
+        groups.setdefault(crs_of_text(r["prj"], paths[r["first"]]) or source_crs, []).extend(r["files"])
+    base = next(iter(groups))
     merged = None
-    for group in groups:
-        cells = read_shapefile(spark, [paths[i] for i in group["files"]], POLYGON, "utf-8", schema=schema)
-        part = Layer(clean.with_numbers(cells, ["val"]), POLYGON, group["crs"] or source_crs).to_crs(base).df
+    for code, files in groups.items():
+        cells = read_shapefile(spark, [paths[i] for i in files], POLYGON, "utf-8", schema=schema)
+        part = Layer(clean.with_numbers(cells, ["val"]), POLYGON, code).to_crs(base).df
         merged = part if merged is None else merged.unionByName(part, allowMissingColumns=True)
     return Layer(merged, POLYGON, base)
 

@@ -42,7 +42,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from roadfeat.functions.crs import PROJECTIONS
+from roadfeat.functions.crs import WGS84, Crs, crs_from_wkt, datum, projection
 
 RECORD_NUMBER = "record_number"
 SOURCE_FILE = "source_file"
@@ -58,15 +58,6 @@ POINT_SHAPE, LINE_SHAPE, POLYGON_SHAPE, MULTIPOINT_SHAPE = 1, 3, 5, 8
 # Bytes of a file's header, of a record's header, and of a line record before its parts.
 FILE_HEADER, RECORD_HEADER, LINE_HEADER = 100, 8, 44
 
-# Datums that are the same to within a metre (text without marks), and the newer names of parameters.
-KNOWN_DATUMS = ("wgs1984", "wgs84", "korea2000", "koreandatum2000", "geocentricdatumofkorea", "itrf2000", "grs1980")
-OTHER_DATUMS = ("bessel", "tokyo", "koreandatum1985", "korean1985", "koreandatum1995", "korean1995")
-WKT2_NAMES = {
-    "longitude_of_natural_origin": "central_meridian",
-    "latitude_of_natural_origin": "latitude_of_origin",
-    "scale_factor_at_natural_origin": "scale_factor",
-}
-
 VERTEX = StructType([StructField("x", DoubleType()), StructField("y", DoubleType())])
 PARTS = ArrayType(ArrayType(VERTEX))
 
@@ -137,52 +128,50 @@ def read_dbf_header(path: str, encoding: str) -> DbfHeader:
     return DbfHeader(header_bytes, row_bytes, tuple(fields))
 
 
-def crs_of_shapefile(path: str) -> int | None:
-    """The code of the ``.prj`` next to a shapefile, if it is one of the known systems."""
+def prj_of_shapefile(path: str) -> str | None:
+    """The text of the ``.prj`` next to a shapefile."""
     try:
-        text = _read(_sibling(path, ".prj")).decode("utf-8", "replace")
+        return _read(_sibling(path, ".prj")).decode("utf-8", "replace").strip("\ufeff \r\n") or None
     except FileNotFoundError:
         return None
-    plain = re.sub(r"[^a-z0-9]", "", text.lower())
-    other = any(datum in plain for datum in OTHER_DATUMS)
-    geographic = not text.lstrip().upper().startswith("PROJ")
-    if geographic and not other and any(datum in plain for datum in KNOWN_DATUMS):
-        return 4326
-    params = {}
-    for label, value in re.findall(r'PARAMETER\["([^"]+)",\s*([-+0-9.eE]+)', text, re.I):
-        label = label.lower().replace(" ", "_")
-        params[WKT2_NAMES.get(label, label)] = float(value)
-    for code, p in PROJECTIONS.items():
-        expected = {
-            "central_meridian": p.lon0,
-            "latitude_of_origin": p.lat0,
-            "scale_factor": p.scale,
-            "false_easting": p.false_easting,
-            "false_northing": p.false_northing,
-        }
-        if not geographic and not other and all(abs(params.get(k, float("inf")) - v) < 1e-6 for k, v in expected.items()):
-            return code
-    raise ValueError(f"{path}: coordinate system of the .prj file is not supported")
 
 
-def _gather(data: np.ndarray, at: np.ndarray, width: int, kind: str) -> np.ndarray:
-    """One row of ``kind`` values for each offset; the bytes need no alignment."""
-    found = data[at[:, None] + np.arange(width)]
-    return np.ascontiguousarray(found).view(kind)
+def crs_of_shapefile(path: str) -> Crs | None:
+    """The system that the ``.prj`` next to a shapefile describes; None without one."""
+    return crs_of_text(prj_of_shapefile(path), path)
 
 
-def prj_text(code: int) -> str:
-    """The ``.prj`` text of a known system."""
-    base = 'GEOGCS["GRS 1980",DATUM["Korea_2000",SPHEROID["GRS 1980",6378137.0,298.257222101]],PRIMEM["Greenwich",0.0],UNIT["Degree",0.0174532925199433]]'
-    if code == 4326:
-        return base.replace("Korea_2000", "D_WGS_1984")
-    p = PROJECTIONS[code]
+def crs_of_text(text: str | None, path: str) -> Crs | None:
+    try:
+        return None if text is None else crs_from_wkt(text)
+    except ValueError as e:
+        raise ValueError(f"{path}: coordinate system of the .prj file is not supported: {e}") from None
+
+
+def prj_text(code: Crs) -> str:
+    """The ``.prj`` text of a system."""
+    plane = projection(code)
+    base = datum(code)
+    e = base.ellipsoid
+    name, shift = ("D_WGS_1984", "") if base == WGS84 else ("Other", f",TOWGS84[{','.join(map(repr, base.shift))}]")
+    geographic = (
+        f'GEOGCS["Base",DATUM["{name}",SPHEROID["Ellipsoid",{e.semi_major!r},{e.inverse_flattening!r}]{shift}],'
+        'PRIMEM["Greenwich",0.0],UNIT["Degree",0.0174532925199433]]'
+    )
+    if plane is None:
+        return geographic
     named = {
-        "False_Easting": p.false_easting, "False_Northing": p.false_northing, "Central_Meridian": p.lon0,
-        "Scale_Factor": p.scale, "Latitude_Of_Origin": p.lat0,
+        "False_Easting": plane.false_easting, "False_Northing": plane.false_northing, "Central_Meridian": plane.lon0,
+        "Scale_Factor": plane.scale, "Latitude_Of_Origin": plane.lat0,
     }
     listed = ",".join(f'PARAMETER["{k}",{v!r}]' for k, v in named.items())
-    return f'PROJCS["EPSG_{code}",{base},PROJECTION["Transverse_Mercator"],{listed},UNIT["Meter",1.0]]'
+    return f'PROJCS["Plane",{geographic},PROJECTION["Transverse_Mercator"],{listed},UNIT["Meter",1.0]]'
+
+
+def _gather(data: np.ndarray, at: np.ndarray, width: int, kind: str) -> np.ndarray:
+    """One row of ``kind`` values for each offset; the bytes need no alignment."""
+    found = data[at[:, None] + np.arange(width)]
+    return np.ascontiguousarray(found).view(kind)
 
 
 def shape_codes(data: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -517,7 +506,7 @@ def shapefile_bytes(bodies, names, types, values, kind: str, encoding: str) -> d
     return {".shp": head(at) + b"".join(main), ".shx": head(FILE_HEADER + 8 * len(bodies)) + b"".join(index), ".dbf": table}
 
 
-def write_shapefiles(df: DataFrame, path: str, kind: str, crs: int | None = None, encoding: str = "utf-8", mode: str = "errorifexists") -> None:
+def write_shapefiles(df: DataFrame, path: str, kind: str, crs: Crs | None = None, encoding: str = "utf-8", mode: str = "errorifexists") -> None:
     """Write a layer's rows as a folder of shapefiles, one for each task: ``x, y`` or ``parts``, and the attributes."""
     fs, inner = _open(path)
     if mode == "errorifexists" and fs.get_file_info(inner).type != pafs.FileType.NotFound:
@@ -611,11 +600,11 @@ def read_shapefile(
     return (reader if schema is None else reader.schema(schema)).load()
 
 
-_HEADER = "no long, path string, crs int, at int, field string, type string"
+_HEADER = "no long, path string, prj string, at int, field string, type string"
 
 
 def header_rows(spark: SparkSession, paths: list[str], encoding: str) -> DataFrame:
-    """One row for each field of each file, read in tasks: file number, path, coordinate system, place in the header, name and type.
+    """One row for each field of each file, read in tasks: file number, path, text of the coordinate system, place in the header, name and type.
 
     A file without fields has one row with a null name.
     """
@@ -626,10 +615,10 @@ def header_rows(spark: SparkSession, paths: list[str], encoding: str) -> DataFra
             rows = []
             for no, path in zip(batch["no"].to_pylist(), batch["path"].to_pylist(), strict=True):
                 fields = [(f.name, _own_type(f).typeName()) for f in read_dbf_header(_sibling(path, ".dbf"), encoding).fields]
-                crs = crs_of_shapefile(path)
-                rows += [(no, path, crs, i, *f) for i, f in enumerate(fields or [(None, None)])]
+                prj = prj_of_shapefile(path)
+                rows += [(no, path, prj, i, *f) for i, f in enumerate(fields or [(None, None)])]
             if rows:
-                kinds = [pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string()]
+                kinds = [pa.int64(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.string()]
                 names = [f.split()[0] for f in _HEADER.split(", ")]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 

@@ -15,6 +15,7 @@ from roadfeat.functions.geometry import bounds, close_rings
 from roadfeat.layer import LINE, POINT, POLYGON, Layer
 from roadfeat.sources.shapefile import (
     crs_of_shapefile,
+    crs_of_text,
     find_shapefiles,
     header_rows,
     is_file,
@@ -122,7 +123,7 @@ def _shapefile_layer(
     if not parts:
         raise FileNotFoundError(path)
     headers = header_rows(spark, parts, encoding)
-    systems = [r[0] for r in headers.select("crs").distinct().collect()]
+    systems = list(dict.fromkeys(crs_of_text(r["prj"], path) for r in headers.select("prj").distinct().collect()))
     if len(systems) > 1:
         raise ValueError(f"{what}: {path} has files in several coordinate systems {systems}")
     schema = merged_schema(headers, kind, columns)

@@ -43,10 +43,11 @@ def outline(code, *parts, box=(0, 0, 0, 0)):
 
 
 NULL = struct.pack("<i", 0)
+GRS80_GEOGCS = 'GEOGCS["y",DATUM["D_Korea_2000",SPHEROID["GRS_1980",6378137.0,298.257222101]]]'
 PRJ_5186 = (
-    'PROJCS["x",GEOGCS["y"],PROJECTION["Transverse_Mercator"],PARAMETER["False_Easting",200000.0],'
+    f'PROJCS["x",{GRS80_GEOGCS},PROJECTION["Transverse_Mercator"],PARAMETER["False_Easting",200000.0],'
     'PARAMETER["False_Northing",600000.0],PARAMETER["Central_Meridian",127.0],PARAMETER["Scale_Factor",1.0],'
-    'PARAMETER["Latitude_Of_Origin",38.0]]'
+    'PARAMETER["Latitude_Of_Origin",38.0],UNIT["Meter",1.0]]'
 )
 
 
@@ -75,13 +76,16 @@ def test_coordinate_systems(tmp_path):
         return shapefile.crs_of_shapefile(str(tmp_path / "p.shp"))
 
     names = ["Longitude of natural origin", "Latitude of natural origin", "Scale factor at natural origin", "False easting", "False northing"]
-    wkt2 = lambda *v: 'PROJCRS["x",BASEGEOGCRS["Korea 2000"],' + ",".join(f'PARAMETER["{n}",{x}]' for n, x in zip(names, v)) + "]"
+    wkt2 = lambda *v: 'PROJCRS["x",BASEGEOGCRS["Korea 2000",DATUM["Geocentric datum of Korea",ELLIPSOID["GRS 1980",6378137,298.257222101,LENGTHUNIT["metre",1]]]],CONVERSION["y",METHOD["Transverse Mercator",ID["EPSG",9807]],' + ",".join(f'PARAMETER["{n}",{x}]' for n, x in zip(names, v)) + '],CS[Cartesian,2],LENGTHUNIT["metre",1]]'
     assert code(PRJ_5186) == 5186
     assert code(wkt2(129.0, 38.0, 1.0, 200000, 600000)) == 5187
     assert code(wkt2(127.0, 38.0, 1.0, 200000, 550000)) == 5182
     assert code('GEOGCS["GCS_WGS_1984",DATUM["D_WGS_1984",SPHEROID["WGS_1984",6378137.0,298.257223563]]]') == 4326
-    for prj in ('GEOGCS["Tokyo",DATUM["Tokyo",SPHEROID["Bessel 1841",6377397.155,299.1528128]]]', 'GEOGCS["unknown"]', PRJ_5186.replace('"y"', '"Korean 1985"')):
-        with pytest.raises(ValueError):
+    assert code('GEOGCS["Tokyo",DATUM["Tokyo",SPHEROID["Bessel 1841",6377397.155,299.1528128]]]') == 4301
+    bessel = 'GEOGCS["y",DATUM["D_Korean_Datum_1985",SPHEROID["Bessel_1841",6377397.155,299.1528128]]]'
+    assert code(PRJ_5186.replace(GRS80_GEOGCS, bessel).replace("600000.0", "500000.0")) == 2097
+    for prj in ('GEOGCS["unknown"]', 'GEOGCS["u",DATUM["u",SPHEROID["u",6377000.0,299.0]]]', PRJ_5186.replace('UNIT["Meter",1.0]', 'UNIT["Foot",0.3048]'), PRJ_5186.replace("Transverse_Mercator", "Lambert"), "nothing ["):
+        with pytest.raises(ValueError, match="not supported"):
             code(prj)
 
 
@@ -258,7 +262,7 @@ def test_headers_of_many_files_are_merged_by_a_job(spark, tmp_path):
     one_by_one = shapefile.shapefile_schema([shapefile.read_dbf_header(p[:-4] + ".dbf", "utf-8") for p in paths], "polygon")
     merged = shapefile.merged_schema(headers, "polygon")
     assert {f.name: f.dataType for f in merged} == {f.name: f.dataType for f in one_by_one} and merged.names[-1] == "late"
-    assert {r[0] for r in headers.select("crs").distinct().collect()} == {None, 5186}
+    assert {shapefile.crs_of_text(r[0], "") for r in headers.select("prj").distinct().collect()} == {None, 5186}
     write_shapefile(tmp_path / "g", [NULL], [("1",)], [("other", "N", 4, 0)], 5)
     with pytest.raises(ValueError, match="g.shp: missing columns"):
         places.load_population_grid(str(tmp_path))
