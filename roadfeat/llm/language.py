@@ -18,7 +18,7 @@ PROFILE = 400
 SHARPNESS = 20.0
 #: Characters of a text that are counted at once.
 CHARS_AT_ONCE = 1 << 18
-#: Counts that a task holds for a language before it adds up equal n-grams, and before it passes them on.
+#: Counts that a task holds for all languages before it adds up equal n-grams, and before it passes them on.
 HELD, PASSED_ON = 1 << 20, 1 << 19
 
 _GAP = ord("_")
@@ -119,10 +119,7 @@ class Profiles:
 
 def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
-    size: dict[str, int] = {}
-
-    def total(lang: str) -> tuple[np.ndarray, np.ndarray]:
-        return added(*(np.concatenate(x) for x in zip(*held[lang], strict=True)))
+    size = 0
 
     def rows(lang: str, sums: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([lang] * len(sums[0]), pa.string()), *map(pa.array, sums)], ["lang", "gram", "n"])
@@ -131,15 +128,16 @@ def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, text in zip(batch["lang"].to_pylist(), batch["text"], strict=True):
             found = grams(text.as_py())
             held.setdefault(lang, []).append(found)
-            size[lang] = size.get(lang, 0) + len(found[0])
-            if size[lang] > HELD:
-                sums = total(lang)
-                if len(sums[0]) > PASSED_ON:
-                    yield rows(lang, sums)
-                    sums = (sums[0][:0], sums[1][:0])
-                held[lang], size[lang] = [sums], len(sums[0])
-    for lang in held:
-        yield rows(lang, total(lang))
+            size += len(found[0])
+            if size > HELD:
+                sums = {x: added(*(np.concatenate(c) for c in zip(*parts, strict=True))) for x, parts in held.items()}
+                size = sum(len(s[0]) for s in sums.values())
+                held = {x: [s] for x, s in sums.items()}
+                if size > PASSED_ON:
+                    yield from (rows(x, s) for x, s in sums.items())
+                    held, size = {}, 0
+    for lang, parts in held.items():
+        yield rows(lang, added(*(np.concatenate(c) for c in zip(*parts, strict=True))))
 
 
 def language_profiles(docs: DataFrame) -> dict[str, dict[int, int]]:
@@ -147,10 +145,11 @@ def language_profiles(docs: DataFrame) -> dict[str, dict[int, int]]:
     known = docs.where("text is not null and lang is not null").select("lang", "text")
     sums = known.mapInArrow(_learn, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    ranked = sums.withColumn("rank", F.row_number().over(order) - 1).where(F.col("rank") < PROFILE)
+    # A plain bound on row_number lets Spark keep the first of each task before it shuffles.
+    ranked = sums.withColumn("place", F.row_number().over(order)).where(F.col("place") <= PROFILE)
     profiles: dict[str, dict[int, int]] = {}
     for r in ranked.collect():
-        profiles.setdefault(r.lang, {})[r.gram] = r["rank"]
+        profiles.setdefault(r.lang, {})[r.gram] = r.place - 1
     return dict(sorted(profiles.items()))
 
 

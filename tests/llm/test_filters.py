@@ -2,6 +2,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 from roadfeat.llm import language
 from roadfeat.llm.language import PROFILE, Profiles, code_of, grams, languages
 from roadfeat.llm.line_rules import base_counts, line_rules, without_lines
@@ -119,3 +120,83 @@ def test_discriminant_is_the_difference_of_log_densities(spark):
         logs.append(np.log([300, 500][k] / 800) - 0.5 * np.linalg.slogdet(s)[1] - 0.5 * np.einsum("ij,jk,ik->i", z, np.linalg.inv(s), z))
     assert np.allclose(model.scores(x), 1 / (1 + np.exp(logs[0] - logs[1])), atol=1e-9)
     assert isinstance(model, Discriminant) and len(statistics(None)) == d
+
+
+def test_profiles_and_predictions_equal_plain_ones(documents):
+    """Learning, ranking, distance and score of every row, from plain dictionaries."""
+    import math
+    import random
+    import zlib
+
+    rng = random.Random(12)
+    alphabets = {"en": "abcdefghijké ", "fr": "defghijklmnop ", "Ü": "xyzäß  "}
+    rows = [(i, "".join(rng.choices(alphabets[lang], k=rng.choice([0, 3, 40, 300]))), lang) for i, lang in enumerate(rng.choices(list(alphabets), k=150))]
+    rows += [(900, None, "en"), (901, "123", "fr"), (902, "abc", None), (903, "de " * 60_000, "fr"), (903, "de", "fr"), (None, "ab ab", "en")]
+    docs = documents(rows, "1 as gram,2 as place,3 as n")
+    learned = {}
+    for doc_id, text, lang in rows:
+        if lang is not None and text is not None and doc_id is not None and zlib.crc32(str(doc_id).encode()) % 5:
+            counts = learned.setdefault(lang, {})
+            for g, n in plain_grams(text).items():
+                counts[g] = counts.get(g, 0) + n
+    ranks = {lang: {g: i for i, g in enumerate(sorted(c, key=lambda g: (-c[g], g))[:PROFILE])} for lang, c in sorted(learned.items())}
+    assert language.language_profiles(docs.where(~language.held_out())) == {k: v for k, v in ranks.items() if v}
+    for r in languages(docs).collect():
+        matching = [t for d, t, _ in rows if d == r.doc_id]
+        results = []
+        for text in matching:
+            counts = plain_grams(text or "")
+            top = sorted(counts, key=lambda g: (-counts[g], g))[:PROFILE]
+            if not top:
+                results.append(("und", 0.0))
+                continue
+            far = {lang: sum(abs(p[g] - i) if g in p else PROFILE for i, g in enumerate(top)) for lang, p in ranks.items()}
+            best = min(far, key=lambda lang: (far[lang], lang))
+            weights = [math.exp(-language.SHARPNESS * (d - far[best]) / (len(top) * PROFILE)) for d in far.values()]
+            results.append((best, max(weights) / sum(weights)))
+        assert any(r.lang_pred == lang and abs(r.score - score) < 1e-9 for lang, score in results)
+
+
+def test_top_ngrams_are_limited_before_the_shuffle(spark, documents):
+    import contextlib
+    import io
+
+    out = io.StringIO()
+    order = language.Window.partitionBy("lang").orderBy(language.F.desc("n"), "gram")
+    sums = spark.createDataFrame([("a", 1, 2)], "lang string, gram long, n long").groupBy("lang", "gram").agg(language.F.sum("n").alias("n"))
+    with contextlib.redirect_stdout(out):
+        sums.withColumn("place", language.F.row_number().over(order)).where(language.F.col("place") <= PROFILE).explain()
+    assert "WindowGroupLimit" in out.getvalue()
+
+
+def test_statistics_equal_plain_ones():
+    import math
+
+    from roadfeat.llm.quality import STATISTICS, statistics
+
+    def plain(text):
+        data = text.encode()
+        words = [w for w in re.split(rb"[ \t-\r]+", data) if w]
+        lines = [x for x in data.split(b"\n") if re.search(rb"[^ \t-\r]", x)]
+        n, w = max(1, len(data)), max(1, len(words))
+        letters = max(1, len(re.findall(rb"[A-Za-z]", data)))
+        share = lambda pattern: math.sqrt(len(re.findall(pattern, data)) / n)
+        return [
+            math.log1p(len(words)),
+            math.log1p((n - len(re.findall(rb"[ \t-\r]", data))) / w),
+            math.sqrt(len(re.findall(rb"[A-Z]", data)) / letters),
+            share(rb"[0-9]"),
+            share(rb"!"),
+            share(rb"[#*$%&|<>~^=+_@\\{}\[\]]"),
+            share(rb"[.,;:'\"()\-?/`]"),
+            share(rb" "),
+            share(rb"[\x80-\xff]"),
+            len(set(words)) / w,
+            math.sqrt(1 - len(set(lines)) / max(1, len(lines))),
+            math.log1p(len(words) / max(1, len(lines))),
+            math.sqrt(sum(len(x) == 1 and not re.fullmatch(rb"[A-Za-z0-9]", x) for x in words) / w),
+        ]
+
+    for text in ["", " ", "A b! c1\n\nA b! c1\n", "# * x _ é 中 \t[y] {z}", "Word " * 3000, "a\x0bb\x0cc\r\nd"]:
+        assert statistics(text.encode()) == pytest.approx(plain(text), abs=1e-12), (text, STATISTICS)
+    assert statistics(None) == statistics(b"")
