@@ -38,6 +38,10 @@ def _matrix(column) -> np.ndarray:
     n = len(column)
     flat = np.asarray(pa.concat_arrays(column.chunks).flatten() if isinstance(column, pa.ChunkedArray) else column.flatten(), np.float64)
     x = flat.reshape(n, -1)
+    largest = np.abs(x).max(axis=1, initial=0.0)
+    odd = (largest > 1e100) | (largest < 1e-100)
+    if odd.any():  # squares would overflow or vanish
+        x = np.where(odd[:, None], x / np.where(largest > 0, largest, 1)[:, None], x)
     return x / np.sqrt((x * x).sum(axis=1))[:, None]
 
 
@@ -62,7 +66,7 @@ def _deal(key: tuple, nodes: pa.Table, pivots: pa.Table) -> pa.Table:
     return pa.table({"node": nodes["node"].take(take), "m": nodes["m"].take(take), "vec": nodes["vec"].take(take), "cell": nodes["cell"].take(take), "pivot": best.ravel()})
 
 
-_NODE = "node long, m long, vec array<float>, cell long"
+_NODE = "node long, m long, vec array<{kind}>, cell long"
 
 
 def overlapping_shards(nodes: DataFrame) -> DataFrame:
@@ -72,6 +76,7 @@ def overlapping_shards(nodes: DataFrame) -> DataFrame:
     about ``SAMPLE`` of its vectors; a vector joins its nearest ``OVERLAP`` pivots. A shard stays whole if its sample has too few
     pivots or most of it is near one of them, and after ``LEVELS`` divisions; such shards are searched in blocks.
     """
+    kind = dict(nodes.dtypes)["vec"].removeprefix("array<").removesuffix(">")
     open_rows, done = nodes.withColumn("cell", F.xxhash64("label", F.size("vec"))).select("node", "m", "vec", "cell"), None
     for _ in range(LEVELS):
         open_rows = store(open_rows, "graph-cells")
@@ -85,7 +90,7 @@ def overlapping_shards(nodes: DataFrame) -> DataFrame:
         parts = F.ceil(F.col("n") / DEALT)
         dealt = pivots.select("cell", "pivots", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
         members = open_rows.join(pivots.select("cell", "n"), "cell").withColumn("part", F.pmod(F.xxhash64("node"), parts)).drop("n")
-        children = members.groupBy("cell", "part").cogroup(dealt.groupBy("cell", "part")).applyInArrow(_deal, _NODE + ", pivot long")
+        children = members.groupBy("cell", "part").cogroup(dealt.groupBy("cell", "part")).applyInArrow(_deal, _NODE.format(kind=kind) + ", pivot long")
         stay = open_rows.join(pivots, "cell", "left_anti").select("node", "m", "vec", "cell")
         done = stay if done is None else done.union(stay)
         open_rows = children.withColumn("cell", F.xxhash64("cell", "pivot")).select("node", "m", "vec", "cell")
@@ -208,7 +213,9 @@ def _search(least: float):
 def embedding_nodes(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(rows, nodes)``: numbered rows with the node that stands for them (null if they cannot link), and one node for
     equal vectors of a label with their number ``m``."""
-    vec = F.col("embedding").cast("array<float>")
+    # Single precision stays so, all else is double.
+    kind = "float" if dict(vectors.dtypes)["embedding"] == "array<float>" else "double"
+    vec = F.col("embedding").cast(f"array<{kind}>")
     finite = F.forall(vec, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     usable = F.coalesce(F.col("label").isNotNull() & finite & F.exists(vec, lambda v: v != 0), F.lit(False))
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), vec.alias("vec"), usable.alias("usable"))
@@ -244,7 +251,8 @@ def embedding_groups(vectors: DataFrame, least: float = 0.98) -> DataFrame:
     Vectors of equal, non-null label link if their cosine in double precision is at least ``least``. Vectors that are
     null, empty, all zero, or hold null or non-finite components link with nothing and are their own component, as are those whose
     label is null. Equal vectors are one node of the graph, so any number of copies costs one search;
-    copies count as links of each other. Rows with equal vec_id are vectors of their own. A pair that the graph
+    copies count as links of each other. Rows with equal vec_id are vectors of their own. Further columns don't matter, whatever
+    their names; no rows give no rows. A pair that the graph
     search does not reach is missed (``audit_recall`` measures how many); every link reported is verified.
     """
     rows, nodes = embedding_nodes(vectors)

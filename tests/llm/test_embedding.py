@@ -83,3 +83,13 @@ def test_graph_search_finds_what_is_in_range():
 
 def test_empty_table(spark):
     assert embedding_groups(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_double_vectors_keep_their_precision_and_range(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "SHARD", 4)
+    near = [0.98, (1 - 0.98**2) ** 0.5]
+    rows = [(1, "a", [1.0, 0.0]), (2, "a", [1e39, 0.0]), (3, "a", [1e-200, 0.0]), (4, "a", [1e300, 1e290]), (5, "b", [1.0, 0.0]), (6, "b", [near[0] * (1 - 1e-12), near[1]])]
+    df = spark.createDataFrame(rows, "vec_id long, label string, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_groups(df).collect()}
+    # The last cosine is less than 0.98 by 4e-14: single precision could not tell.
+    assert got == {1: (3, 1), 2: (3, 1), 3: (3, 1), 4: (3, 1), 5: (0, 5), 6: (0, 6)}
