@@ -158,6 +158,8 @@ def predict_language(docs: DataFrame, profiles: dict[str, dict[int, int]]) -> Da
 
     The language with the smallest out-of-place distance, the first by name on ties; the score weighs the
     distances of all languages. Texts without a letter, null texts, and all texts if nothing was learned are ``und``, 0.
+    Repeated rows are predicted each; a text counts whole, however long, in pieces that share no n-gram; further
+    columns don't matter, whatever their names; no rows give no rows.
     """
     known = Profiles(profiles)
 

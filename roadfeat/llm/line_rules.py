@@ -80,7 +80,8 @@ def line_rules(docs: DataFrame, host: str = "source", least: int = LEAST_DOCUMEN
     ``one_in`` documents of its host is removed there. A document is rejected if the base rules fail (under 50
     words, or over half its words in repeated windows), or if over half its words were in removed lines.
 
-    Null texts have no words and fail; null hosts are one host; repeated rows are judged each; no rows give no rows.
+    Null texts have no words and fail; null hosts are one host; repeated rows are judged each; a text counts whole, however
+    long; further columns don't matter, whatever their names; no rows give no rows.
     The heaviest host or line is no hot group: counts are partial sums before they are shuffled, and a document
     sends a line once.
     """
