@@ -77,3 +77,31 @@ def test_one_of_each_group_with_repeated_ids(documents):
     got = sorted(((r.doc_id, r.text) for r in one_of_each_group(docs).collect()), key=lambda r: (r[0] is None, r))
     assert got == [(7, "another text of its own"), (7, long), (None, "unique null words here")]
     assert one_of_each_group(docs).columns == docs.columns
+
+
+def test_clashing_columns_long_texts_and_repeated_or_missing_ids_through_all_stages(spark, documents, tmp_path, sf_dir):
+    rng = random.Random(4)
+    rows = [(i % 30 if i % 7 else None, good_text(rng, 3 + i % 5), "en", rng.choice(["a", None])) for i in range(80)]
+    rows += [(500, good_text(rng, 4_000), "en", "a"), (501, None, "en", "a"), (501, None, "en", "a"), (502, "", None, None), rows[3], rows[3]]
+    extra = "1 as fp,2 as ref,3 as row,'x' as copy,4 as size,5 as place,6 as parts,7 as new,8 as left,9 as score,10 as x"
+    plain, clashing = documents(rows), documents(rows, extra)
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        results = []
+        for name, docs in (("plain", plain), ("clash", clashing)):
+            path = f"{tmp_path}/{name}{k}"
+            stage(spark, docs, sf_dir[0]).write.parquet(path)
+            results.append(spark.read.parquet(path))
+        if k < 4:
+            assert results[1].columns == clashing.columns
+            assert all(r.fp == 1 and r.x == 10 for r in results[1].select("fp", "x").distinct().collect())
+        shown = [c for c in results[0].columns if c not in ("sequence_id", "ids")]
+        a, b = (sorted(map(str, r.select(shown).collect())) for r in results)
+        assert a == b and a
+        plain, clashing = results
+    assert 500 in {r.doc_id for r in plain.collect()}
+
+
+def test_two_runs_of_the_mix_after_shuffles_agree(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir[0]}/documents.parquet")
+    one, two = (sorted(map(str, corpus_pipeline.mixture(spark, d, sf_dir[0]).collect())) for d in (docs, docs.repartition(9, "text")))
+    assert one == two
