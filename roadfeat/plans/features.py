@@ -110,17 +110,17 @@ class Feature:
             out[label] = F.expr(f"sum(if(_f in ({', '.join(map(str, own))}), _n, null))")
         return out
 
-    def finish(self, df: DataFrame) -> DataFrame:
-        """Fill the points without targets and settle the types."""
+    def finished(self) -> dict[str, Column]:
+        """The outputs from the aggregates: points without targets are filled and types settled."""
         if self.how == RISK:
             parts = [F.coalesce(F.col(f"`{self.output}_{i}`"), F.lit(0)).cast("long") for i in range(4)]
             n, deaths, serious, slight = parts
             # Weights of the risk score.
             risk = 10 * n * (deaths + F.lit(0.1168) * serious + F.lit(0.0068) * slight)
-            return df.withColumn(self.output, risk.cast("double")).drop(*[f"{self.output}_{i}" for i in range(4)])
+            return {self.output: risk.cast("double")}
         if self.how == SUM:
-            return df.withColumn(self.output, F.bround(F.coalesce(name(self.output), F.lit(0.0))).cast("long"))
-        return df.withColumns({o: F.expr(f"cast(coalesce(`{o}`, 0) as bigint)") for o in self.outputs()})
+            return {self.output: F.bround(F.coalesce(name(self.output), F.lit(0.0))).cast("long")}
+        return {o: F.expr(f"cast(coalesce(`{o}`, 0) as bigint)") for o in self.outputs()}
 
 
 def _sum_points(source, **kw) -> Layer:
@@ -214,9 +214,9 @@ def add_proximity_features(
             for f, layer, code, _ in batch:
                 columns.update(f.aggregates(layer, code))
             by_feature = any(f.counts_ids(layer) for f, layer, _, _ in batch)
-            result = attach(result, per_point(pairs, columns, by_feature, shapes))
-            for f, _, _, _ in batch:
-                result = f.finish(result)
+            kept = [name(col) for col in result.columns]
+            made = [value.alias(o) for f, _, _, _ in batch for o, value in f.finished().items()]
+            result = attach(result, per_point(pairs, columns, by_feature, shapes)).select(*kept, *made)
             if diagnostics is not None:
                 flagged = {f.key: F.count_if(reduce(Column.__or__, [name(o) > 0 for o in f.outputs()])) for f, *_ in batch}
                 result = watch(diagnostics, result, f"{keys}: points", {"points": F.count(F.lit(1)), **flagged})
