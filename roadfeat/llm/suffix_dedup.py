@@ -278,8 +278,8 @@ def _release(spark: SparkSession, *tables: DataFrame) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def repeated_spans(texts: DataFrame, variants: int = VARIANTS) -> DataFrame:
-    """``(ref, low, high)``: runs of bytes covered by repeated windows, of ``texts`` ``(ref, text, at)`` with ``at``
+def repeated_spans(texts: DataFrame, variants: int = VARIANTS) -> tuple[DataFrame, list[DataFrame]]:
+    """``(ref, low, high)``, and the stored tables that it reads: runs of bytes covered by repeated windows, of ``texts`` ``(ref, text, at)`` with ``at``
     the places and heads of their matching suffixes. Runs may overlap.
 
     Suffixes with equal head and equal surroundings (all bytes that windows over the head reach) are one variant.
@@ -298,18 +298,21 @@ def repeated_spans(texts: DataFrame, variants: int = VARIANTS) -> DataFrame:
     shown = texts.select("ref", "text").join(chosen, "ref").mapInArrow(_surroundings(True), _ROWS + ", bytes binary")
     sized = kinds.join(many, "head").select("head", "variant", "n", "kinds")
     shown = shown.select("head", "variant", "before", "after", "bytes").join(sized, ["head", "variant"])
+    read = [rows, kinds, many]
     hot = not many.where(F.col("kinds") > variants).isEmpty()
     if hot:
         shown = store(shown, "suffix-shown")
+        read.append(shown)
     few = shown.where(F.col("kinds") <= variants).repartition("head").sortWithinPartitions("head")
     runs = alone.union(few.mapInArrow(_compare, _RUNS))
     if hot:
         spread = shown.where(F.col("kinds") > variants).mapInArrow(_spread, "head long, variant long, n long, low long, window long")
         spread = store(spread, "suffix-windows")
+        read.append(spread)
         twice = spread.groupBy("head", "window").agg(F.sum("n").alias("all")).where("all > 1").select("head", "window")
         runs = runs.union(spread.join(twice, ["head", "window"]).select("head", "variant", "low", (F.col("low") + LENGTH).alias("high")))
     found = rows.join(runs, ["head", "variant"])
-    return found.select("ref", (F.col("place") + F.col("low")).alias("low"), (F.col("place") + F.col("high")).alias("high"))
+    return found.select("ref", (F.col("place") + F.col("low")).alias("low"), (F.col("place") + F.col("high")).alias("high")), read
 
 
 def merged(low: np.ndarray, high: np.ndarray) -> list[tuple[int, int]]:
@@ -375,9 +378,11 @@ def changed_texts(docs: DataFrame, variants: int = VARIANTS) -> tuple[DataFrame,
     same = (base.ref == wanted.ref) & base.doc_id.eqNullSafe(wanted.first_id)
     texts = store(base.join(wanted, same).select(base.ref, "text", "at", "own"), "suffix-texts")
     _release(spark, wanted)
-    spans = repeated_spans(texts.where("at is not null").select("ref", "text", "at"), variants)
-    spans = spans.union(texts.where("own is not null").select("ref", F.inline("own")))
-    spans = spans.distinct().groupBy("ref").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+    found, read = repeated_spans(texts.where("at is not null").select("ref", "text", "at"), variants)
+    spans = found.union(texts.where("own is not null").select("ref", F.inline("own")))
+    # Written, so that nothing of the search is on disk while texts are cut.
+    spans = store(spans.distinct().groupBy("ref").agg(F.collect_list(F.struct("low", "high")).alias("spans")), "suffix-spans")
+    _release(spark, *read)
     cut = texts.select("ref", "text").join(spans, "ref").mapInArrow(
         _cut, "ref long, n_removed long, runs array<struct<low:long,high:long>>, left binary, sha string"
     )
