@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -62,7 +61,6 @@ def give_back() -> None:
     """Return freed memory to the system, which neither Arrow nor the C library does by itself."""
     import pyarrow as pa
 
-    gc.collect()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)

@@ -10,9 +10,9 @@ import numpy as np
 
 from roadfeat.llm.shared import give_back
 
-#: Bytes that a worker's memory of words may take before it starts afresh, and the first words that stay when a task
-#: ends: common words come early. Memory and time only, results do not depend on them.
-REMEMBERED_BYTES, KEPT_WORDS = 160 << 20, 400_000
+#: Bytes that a worker's memory of words may take, and the words learned first that stay when it is full: common
+#: words come early. Memory and time only, results do not depend on them.
+REMEMBERED_BYTES, KEPT_WORDS = 110 << 20, 250_000
 #: Bytes of a remembered word beside its own, and of its place in the table.
 WORD_BYTES = 220
 #: Longest word that is remembered, characters of texts that are split at once, and new words of one encoding call.
@@ -90,9 +90,7 @@ class Encoder:
         return np.array(self.ids(text), self.dtype).tobytes()
 
     def release(self) -> None:
-        """Give memory back when a task ends; workers live on."""
-        for words in {id(w): w for w in (self.bare, self.spaced)}.values():
-            words.keep(KEPT_WORDS)
+        """Give memory back when a task ends; workers live on, with the words that they remember."""
         give_back()
 
     def __call__(self, text: str | None) -> bytes:
