@@ -35,8 +35,10 @@ HOT_CELL_ROWS = 50_000
 # Hot cells sent to every task as a table; with more of them the tiling is a join.
 MAX_HOT_CELLS_BROADCAST = 100_000
 CELL_LIMIT = 1 << 30
-# Bytes in memory of a row of a shape's copies.
-COPY_BYTES = 256
+# Bytes in memory of a row of a shape's copies, and of a point target.
+COPY_BYTES, TARGET_BYTES = 256, 192
+# Times that an estimate of a size may fall short, or exceed what it stands for.
+TRUSTED, HOPELESS = 8, 256
 # Grids of a shape join: doublings of a cell's size, from the smallest radius up; heights also shrink, in so many halvings.
 MAX_LEVEL, HALVINGS = 40, 12
 # Edges of an outline in one strip of the ray test, on average, and in one row of a shape at most.
@@ -72,8 +74,17 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    return estimated_bytes(df) <= broadcast_limit(df)
+def checked_size(targets: DataFrame) -> tuple[DataFrame, bool]:
+    """The targets, and whether they may be broadcast.
+
+    An estimate from file sizes may fall short by a few times: one under a ``TRUSTED`` part of the limit is taken as it is; otherwise
+    the targets are written and their rows counted. Far larger ones are not even written.
+    """
+    estimate, limit = estimated_bytes(targets), broadcast_limit(targets)
+    if estimate * TRUSTED <= limit or estimate > limit * HOPELESS:
+        return targets, estimate <= limit
+    targets = stored(targets, "targets")
+    return targets, targets.count() * TARGET_BYTES <= limit
 
 
 def point_targets(
@@ -161,13 +172,15 @@ def near_points(
     """Pairs of a point and a target strictly inside its buffer polygon.
 
     ``targets`` has the schema of :func:`point_targets`; with several radii its column ``_r`` says which is a row's.
-    ``small`` overrides the size check.
+    ``small`` overrides the size check (:func:`checked_size`).
     """
     radii, targets = _radii(targets, radius)
     sites = points.selectExpr(POINT_ID, "x as _px", "y as _py")
     exact = inside_buffer("_tx - _px", "_ty - _py", "_r", quad_segs)
     at = ["_r as _grid", f"{grid_index('_tx', '_r')} as _cx", f"{grid_index('_ty', '_r')} as _cy"]
-    if small if small is not None else fits_broadcast(targets):
+    if small is None:
+        targets, small = checked_size(targets)
+    if small:
         own = ", ".join(
             f"named_struct('_grid', {double(r)}, '_cx', {grid_index('_px', r)}, '_cy', {grid_index('_py', r)})" for r in radii
         )

@@ -69,6 +69,7 @@ def make_road_summary(
     )
     # Two one-row frames made one by union and aggregation, not by a cross join.
     both = region.unionByName(target).agg(*[F.max(c).alias(c) for c in region.columns])
+    # The labels of the summary.
     rows = [
         ("시각화 대상 도로구간 수", F.format_number("n_target", 0)),
         (f"전체 {target_region_name} 도로구간 수", F.format_number("n_region", 0)),

@@ -22,6 +22,7 @@ from roadfeat.layer import Layer
 from roadfeat.operators.nearest import nearest_line
 from roadfeat.operators.storage import materialize
 from roadfeat.operators.proximity import (
+    TRUSTED,
     Pairs,
     broadcast_limit,
     estimated_bytes,
@@ -228,15 +229,16 @@ def _codes_of(feature: Feature, code: int) -> Column:
 
 
 def _by_size(framed: list, small: bool | None):
-    """Split the layers of one join: those that fit a broadcast together, and the rest."""
+    """Split the layers of one join: those that seem to fit a broadcast together (None: to be measured), and the rest."""
     if small is not None or not framed:
         return [(framed, small)]
     room = broadcast_limit(framed[0][3])
     unbounded = [item[3] for item in framed if item[1].size_bound is None]
     bounds = [item[1].size_bound for item in framed if item[1].size_bound is not None]
     together = [reduce(DataFrame.unionByName, unbounded)] if unbounded else []
-    if sum(estimated_bytes(df) for df in together + bounds) <= room:
-        return [(framed, True)]
+    whole = sum(estimated_bytes(df) for df in together + bounds)
+    if whole <= room:
+        return [(framed, True if whole * TRUSTED <= room else None)]
     sized = sorted(
         ((estimated_bytes(item[1].size_bound if item[1].size_bound is not None else item[3]), i, item)
          for i, item in enumerate(framed)),
@@ -249,7 +251,7 @@ def _by_size(framed: list, small: bool | None):
             room -= size
         else:
             rest.append(item)
-    return [(batch, flag) for batch, flag in ((fit, True), (rest, False)) if batch]
+    return [(batch, flag) for batch, flag in ((fit, None), (rest, False)) if batch]
 
 
 def add_speed_limit(

@@ -386,3 +386,20 @@ def test_quoted_line_feeds(spark, tmp_path):
 
     (tmp_path / "t.csv").write_text('a,b\n1,"x\ny"\n2,z\n')
     assert [r.b for r in read_table(str(tmp_path / "t.csv"), multi_line=True).orderBy("a").collect()] == ["x\ny", "z"]
+
+
+def test_sizes_near_the_limit_are_counted(spark):
+    def sized(rows, limit):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            targets = proximity.point_targets(spark.range(rows).selectExpr("id * 1D as x", "0D as y"), 0)
+            same, small = proximity.checked_size(targets)
+            return same is targets, small
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64MB")
+
+    assert sized(1000, "64MB") == (True, True)  # far below: trusted
+    assert sized(20_000, "4MB") == (False, True)  # near: counted, fits
+    assert sized(20_000, "3MB") == (False, False)
+    assert sized(20_000, "1KB") == (True, False)  # hopeless: not written
+    assert sized(10, "-1") == (True, False)
