@@ -10,9 +10,9 @@ import numpy as np
 
 from roadfeat.llm.shared import give_back
 
-#: Bytes that a worker's memory of words may take, and the words learned first that stay when it is full: common
-#: words come early. Memory and time only, results do not depend on them.
-REMEMBERED_BYTES, KEPT_WORDS = 110 << 20, 250_000
+#: Bytes that a worker's memory of words may take (of those that follow a blank, and of others), and how many of the words met again
+#: stay when it is full; most words of a corpus are met once. Memory and time only, results do not depend on them.
+REMEMBERED_BYTES, KEPT_WORDS = (176 << 20, 128 << 20), 350_000
 #: Bytes of a remembered word beside its own, and of its place in the table.
 WORD_BYTES = 220
 #: Longest word that is remembered, characters of texts that are split at once, and new words of one encoding call.
@@ -29,7 +29,7 @@ class _Words(dict):
     def __init__(self, encode, dtype: np.dtype, prefix: str, mark: str, edges: bool):
         super().__init__()
         self.encode, self.dtype, self.prefix, self.edges = encode, dtype, prefix, edges
-        self.mark = mark
+        self.mark, self.again = mark, set()
         (self.mark_id,) = encode(mark)
 
     def __missing__(self, word: str) -> bytes:
@@ -39,10 +39,11 @@ class _Words(dict):
 
     def learn(self, words: set[str]) -> None:
         """Encode the new words in one text, with a mark between them that stays a token of its own."""
-        if len(self) * WORD_BYTES > REMEMBERED_BYTES:
+        if len(self) * WORD_BYTES > REMEMBERED_BYTES[not self.prefix]:
             self.keep(KEPT_WORDS)
-        mark = self.mark.strip(" ")
-        new = [w for w in words.difference(self) if 0 < len(w) <= WORD_CHARS and mark not in w and not (w[0].isspace() or w[-1].isspace())]
+        mark, unknown = self.mark.strip(" "), words.difference(self)
+        self.again |= words - unknown
+        new = [w for w in unknown if 0 < len(w) <= WORD_CHARS and mark not in w and not (w[0].isspace() or w[-1].isspace())]
         for first in range(0, len(new), ENCODED):
             some = new[first : first + ENCODED]
             ids = np.array(self.encode(self.mark.join([self.prefix + w for w in some])), self.dtype)
@@ -54,10 +55,11 @@ class _Words(dict):
                     at = end + 1
 
     def keep(self, words: int) -> None:
-        """Forget all but the words learned first."""
-        kept = dict(islice(self.items(), words))
+        """Forget all but words that were met again since the last time."""
+        kept = {w: self[w] for w in islice((w for w in self.again if w in self), words)}
         self.clear()
         self.update(kept)
+        self.again = set()
 
 
 class Encoder:
