@@ -295,8 +295,8 @@ ORACLE = """
 with recursive v as (
   select vec_id, label, cast(embedding as double[]) as e, row_number() over () as r from embeddings
 ), ok as (
-  select * from v where label is not null and len(e) > 0 and len(list_filter(e, x -> x is null or not isfinite(x))) = 0
-  and len(list_filter(e, x -> x <> 0)) > 0
+  select * from v where label is not null and len(e) > 0 and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0
+  and len(list_filter(e, lambda x: x <> 0)) > 0
 ), links as (
   select a.r as a, b.r as b from ok a join ok b on a.label = b.label and len(a.e) = len(b.e) and a.r <> b.r
   where list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.98
