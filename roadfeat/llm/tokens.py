@@ -12,7 +12,7 @@ from roadfeat.llm.shared import give_back
 
 #: Bytes that a worker's memory of words may take (of those that follow a blank, and of others), and how many of the words met again
 #: stay when it is full; most words of a corpus are met once. Memory and time only, results do not depend on them.
-REMEMBERED_BYTES, KEPT_WORDS = (176 << 20, 128 << 20), 350_000
+REMEMBERED_BYTES, KEPT_WORDS = (176 << 20, 112 << 20), 300_000
 #: Bytes of a remembered word beside its own, and of its place in the table.
 WORD_BYTES = 220
 #: Longest word that is remembered, characters of texts that are split at once, and new words of one encoding call.
