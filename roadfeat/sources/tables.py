@@ -171,7 +171,7 @@ def write_table(
 ) -> None:
     """The result table, in ranges of ``order_by`` (the point id where there is one): Parquet by default, or CSV with a header.
 
-    All parts are written to a folder beside ``path`` and published by a rename, so a reader sees the old table or the
+    Rows are written once, then ranged; all parts go to a folder beside ``path`` and published by a rename, so a reader sees the old table or the
     new one, and a run that is killed leaves the old one; what a run killed between its two renames moved aside is put back by the next
     call. ``single`` makes ``path`` one CSV file, streamed together from the sorted parts. ``mode`` is ``overwrite`` or
     ``errorifexists``; appending goes through Spark's own writer.
@@ -179,23 +179,33 @@ def write_table(
     if mode not in ("overwrite", "errorifexists", "append") or (single and file_format != "csv"):
         raise ValueError("mode must be overwrite, errorifexists or append, and a single file is a CSV")
     order_by = order_by or (POINT_ID if POINT_ID in df.columns else None)
-    ordered = df if order_by is None else df.repartitionByRange(name(order_by)).sortWithinPartitions(name(order_by))
+    spark = df.sparkSession
     if mode == "append":
-        _save(ordered, path, file_format, mode, True)
+        _save(df, path, file_format, mode, True)
         return
-    spark = df.sparkSession
     target, files = _hadoop(spark, path)
     _put_back(spark, target, files)
     if mode == "errorifexists" and files.exists(target):
         raise FileExistsError(path)
     run = uuid.uuid4().hex
-    draft = _beside(spark, target, f"_draft-{run}")
-    _save(ordered, draft.toString(), file_format, "errorifexists", not single)
-    if single:
-        joined = _beside(spark, target, f"_joined-{run}")
-        _join_parts(spark, files, df.columns, draft, joined)
+    draft, rows = _beside(spark, target, f"_draft-{run}"), _beside(spark, target, f"_rows-{run}")
+    try:
+        if order_by is not None:
+            # Ranges are found from a sample of the rows: of written ones, or all that leads to them would run twice.
+            df.write.parquet(rows.toString())
+            written = spark.read.schema(df.schema).parquet(rows.toString())
+            df = written.repartitionByRange(name(order_by)).sortWithinPartitions(name(order_by))
+        _save(df, draft.toString(), file_format, "errorifexists", not single)
+        if single:
+            joined = _beside(spark, target, f"_joined-{run}")
+            _join_parts(spark, files, df.columns, draft, joined)
+            files.delete(draft, True)
+            draft = joined
+    except BaseException:
         files.delete(draft, True)
-        draft = joined
+        raise
+    finally:
+        files.delete(rows, True)
     aside = _beside(spark, target, f"_old-{run}")
     if files.exists(target):
         files.rename(target, aside)
