@@ -116,3 +116,40 @@ def test_repeated_ids_of_points_go_by_pairs(spark, both):
     p = Layer(p.df.unionByName(p.df.withColumn("x", F.col("x") + 5)))
     by_pairs, by_cells, used = both(p, [(ft.FEATURES["intersections"], Layer(some_marks(spark, rng, 500), POINT))])
     assert sorted(by_cells) == sorted(by_pairs) and used == [None]
+
+
+def test_wide_outlines_go_by_cells_in_groups(spark, both, monkeypatch):
+    """Outlines wider than the tiles, holes that a buffer fits into, edges in all directions, and tiles with more rows than a group."""
+    monkeypatch.setattr(dense, "GROUP_ROWS", 40)
+    rng = random.Random(7)
+    p = some_points(spark, rng, 300, 500.0)
+    rows = []
+    for i in range(150):
+        x, y, a = rng.uniform(-600, 600), rng.uniform(-600, 600), rng.uniform(0, 6)
+        size = rng.choice([8.0, 130.0, 390.0])
+
+        def ring(share, dx=0.0):
+            corners = [(a + math.pi * k * 2 / 5, size * share * rng.uniform(0.6, 1)) for k in range(5)]
+            made = [(x + dx + s * math.cos(t), y + s * math.sin(t)) for t, s in corners]
+            return [*made, made[0]]
+
+        parts = [ring(1.0), ring(0.5)] if i % 3 == 0 else [ring(1.0), ring(0.1, 450.0)] if i % 3 == 1 else [ring(1.0)]
+        rows.append((f"{i // 2}", parts))
+    shapes = spark.createDataFrame(rows, "MGRNU string, parts array<array<struct<x:double,y:double>>>")
+    wanted = [(ft.FEATURES["crosswalks"], Layer(shapes, POLYGON)), (ft.FEATURES["market"], Layer(shapes.limit(30), POLYGON))]
+    by_pairs, by_cells, used = both(p, wanted)
+    assert by_cells == by_pairs and not used[0][1].take(1)
+    assert sum(r[c.CROSSWALK_COLUMN] for r in by_pairs) > 1000 and {r[c.TRADITIONAL_MARKET_COLUMN] for r in by_pairs} == {0, 1}
+
+
+def test_sums_of_odd_values_in_groups(spark, both, monkeypatch):
+    """Fractions, and a value that would drown the others in a running sum."""
+    monkeypatch.setattr(dense, "GROUP_ROWS", 200)
+    rng = random.Random(8)
+    p = some_points(spark, rng, 100)
+    marks = some_marks(spark, rng, 800).withColumn("val", F.expr("if(x between 0 and 9, 4e17D, val + 0.25D)"))
+    by_pairs, by_cells, _ = both(p, [(ft.replace(ft.FEATURES["population"], value="val"), Layer(marks, POINT))])
+    pairs, cells = ([r[c.ELDERLY_POPULATION_COLUMN] for r in rows] for rows in (by_pairs, by_cells))
+    # Sums with the great value are rounded in the order of addition.
+    assert cells == [want if want < 1 << 50 else pytest.approx(want, rel=1e-14) for want in pairs]
+    assert max(pairs) > 1 << 58 and min(pairs) < 1 << 20
