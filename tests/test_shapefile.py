@@ -266,3 +266,15 @@ def test_headers_of_many_files_are_merged_by_a_job(spark, tmp_path):
     write_shapefile(tmp_path / "g", [NULL], [("1",)], [("other", "N", 4, 0)], 5)
     with pytest.raises(ValueError, match="g.shp: missing columns"):
         places.load_population_grid(str(tmp_path))
+
+
+def test_a_task_writes_files_of_bounded_size(spark, tmp_path):
+    df = spark.range(5000).coalesce(1).selectExpr("id", "array(array(named_struct('x', id * 1D, 'y', 0D), named_struct('x', 5D, 'y', id * 1D))) as parts")
+    spark.dataSource.register(shapefile.ShapefileSource)
+    path = str(tmp_path / "many.shp")
+    options = {"kind": "line", "encoding": "utf-8", "prj": "", "bytesPerFile": "100000"}
+    df.write.format(shapefile.ShapefileSource.name()).options(**options).mode("append").save(path)
+    found = shapefile.find_shapefiles(path)
+    assert len(found) == 4
+    got = read_layer(path, LINE).df.select("id", "parts").orderBy("id").collect()
+    assert got == df.orderBy("id").collect()
