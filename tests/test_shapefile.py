@@ -275,6 +275,6 @@ def test_a_task_writes_files_of_bounded_size(spark, tmp_path):
     options = {"kind": "line", "encoding": "utf-8", "prj": "", "bytesPerFile": "100000"}
     df.write.format(shapefile.ShapefileSource.name()).options(**options).mode("append").save(path)
     found = shapefile.find_shapefiles(path)
-    assert len(found) == 4
+    assert len(found) == 3
     got = read_layer(path, LINE).df.select("id", "parts").orderBy("id").collect()
     assert got == df.orderBy("id").collect()
