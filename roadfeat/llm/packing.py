@@ -33,7 +33,7 @@ def _pieces(tokenizer: str, end_id: int, longest: int):
             for at in range(0, whole.num_rows, 1000):
                 batch = whole.slice(at, 1000)
                 rows = []
-                texts = encode.many(t.as_py() for t in batch["text"])
+                texts = encode.many(batch["text"].to_pylist())
                 for doc, found in zip(batch["doc_id"].to_pylist(), texts, strict=True):
                     raw = np.frombuffer(found + end, encode.dtype)
                     wide, start = raw.astype("<u4").tobytes(), 0

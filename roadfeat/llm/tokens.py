@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+from collections import ChainMap
 from collections.abc import Iterable, Iterator
-from itertools import islice
+from itertools import compress, islice, repeat
+from operator import is_
 
 import numpy as np
 
@@ -26,14 +28,14 @@ class _NotPlain(Exception):
 class _Words(dict):
     """Ids of words; ``learn`` asks the tokenizer for many at once, a look-up for a single one."""
 
-    def __init__(self, encode, dtype: np.dtype, prefix: str, mark: str, edges: bool):
+    def __init__(self, encode, dtype: np.dtype, prefix: str, mark: str):
         super().__init__()
-        self.encode, self.dtype, self.prefix, self.edges = encode, dtype, prefix, edges
+        self.encode, self.dtype, self.prefix = encode, dtype, prefix
         self.mark, self.again = mark, set()
         (self.mark_id,) = encode(mark)
 
     def __missing__(self, word: str) -> bytes:
-        if self.edges and (not word or word[0].isspace() or word[-1].isspace()):
+        if not word or word[0].isspace() or word[-1].isspace():
             raise _NotPlain
         return np.array(self.encode(self.prefix + word), self.dtype).tobytes()
 
@@ -41,7 +43,7 @@ class _Words(dict):
         """Encode the new words in one text, with a mark between them that stays a token of its own."""
         if len(self) * WORD_BYTES > REMEMBERED_BYTES[not self.prefix]:
             self.keep(KEPT_WORDS)
-        mark, unknown = self.mark.strip(" "), words.difference(self)
+        mark, unknown = self.mark, words.difference(self)
         self.again |= words - unknown
         new = [w for w in unknown if 0 < len(w) <= WORD_CHARS and mark not in w and not (w[0].isspace() or w[-1].isspace())]
         for first in range(0, len(new), ENCODED):
@@ -62,6 +64,67 @@ class _Words(dict):
         self.again = set()
 
 
+class _BareWords:
+    """Ids of lower-cased words as bytes, for tokenizers that drop white space.
+
+    They are remembered in two tables: a word that only the older one has moves to the newer, which takes the older one's place when
+    it is full. So a word is looked up once where it is met, and words that are met once are forgotten.
+    """
+
+    MARK = b" ~ "
+
+    def __init__(self, encode, dtype: np.dtype, closing: np.ndarray):
+        self.encode, self.dtype, self.closing = encode, dtype, closing
+        self.newer: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        (self.mark_id,) = encode(self.MARK.decode())
+
+    def many(self, texts: list[list[bytes]]) -> Iterator[bytes]:
+        """The ids of texts, each given by its words."""
+        if 2 * len(self.newer) * WORD_BYTES > REMEMBERED_BYTES[1]:
+            self.newer, self.older = {}, self.newer
+        found = [list(map(self.newer.get, words)) for words in texts]
+        new: set[bytes] = set()
+        for words, ids in zip(texts, found, strict=True):
+            new.update(compress(words, map(is_, ids, repeat(None))))
+        long = self._learn(new)
+        known = ChainMap(long, self.newer) if long else self.newer
+        for words, ids in zip(texts, found, strict=True):
+            for at in compress(range(len(ids)), map(is_, ids, repeat(None))):
+                ids[at] = known[words[at]]
+            yield b"".join(ids)
+
+    def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """Bring words to the newer table; the ids of those that are not remembered are returned."""
+        older, newer, mark = self.older, self.newer, self.MARK.strip()
+        met = older.keys() & words
+        newer.update((w, older[w]) for w in met)
+        letters, others = [], []
+        for word in words - met:
+            if len(word) <= WORD_CHARS and mark not in word:
+                (letters if word.isalpha() else others).append(word)
+        # Without closing tokens, words of letters need the mark too.
+        self._encode(letters, b" " if len(self.closing) else self.MARK)
+        self._encode(others, self.MARK)
+        return {w: np.array(self.encode(w.decode()), self.dtype).tobytes() for w in words.difference(newer)}
+
+    def _encode(self, words: list[bytes], between: bytes) -> None:
+        """Encode many words in one text: with a mark between them, which stays a token of its own, or words of a-z, whose last tokens tell."""
+        size = self.dtype.itemsize
+        for first in range(0, len(words), ENCODED):
+            some = words[first : first + ENCODED]
+            ids = np.array(self.encode(between.join(some).decode()), self.dtype)
+            if between == self.MARK:
+                ends = np.append(np.flatnonzero(ids == self.mark_id), len(ids))
+                starts = np.append(0, ends[:-1] + 1)
+            else:
+                ends = np.flatnonzero(self.closing[ids]) + 1
+                starts = np.append(0, ends[:-1])
+            if len(ends) == len(some):
+                parts = map(slice, (starts * size).tolist(), (ends * size).tolist())
+                self.newer.update(zip(some, map(ids.tobytes().__getitem__, parts), strict=True))
+
+
 class Encoder:
     """Little-endian ids of whole texts, equal to the tokenizer's own ``encode`` without special tokens added.
 
@@ -79,10 +142,23 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.line_feed = self.whole("\n")
-        spaces = bool(self.line_feed)
-        mark = "\n" if spaces else " ~ "
-        self.bare = _Words(self.ids, self.dtype, "", mark, spaces)
-        self.spaced = _Words(self.ids, self.dtype, " ", mark, spaces) if spaces else self.bare
+        self.drops_space = not self.line_feed
+        if self.drops_space:
+            self.words = _BareWords(self.ids, self.dtype, self._closing())
+            # Written with A-Z, these are no tokens of their own, but would be when lower-cased.
+            self.special = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        else:
+            self.bare, self.spaced = (_Words(self.ids, self.dtype, prefix, "\n") for prefix in ("", " "))
+
+    def _closing(self) -> np.ndarray:
+        """Which ids end a word; empty if the tokenizer doesn't mark them."""
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        if not suffix:
+            return np.zeros(0, bool)
+        ids = [i for token, i in self.tokenizer.get_vocab().items() if token.endswith(suffix)]
+        closing = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        closing[ids] = True
+        return closing
 
     def ids(self, text: str) -> list[int]:
         (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
@@ -111,9 +187,10 @@ class Encoder:
         yield from self._some(held)
 
     def _some(self, texts: list[str]) -> Iterator[bytes]:
-        # word_bpe lower-cases after composing characters; A-Z can be lower-cased first.
-        lower = [t.encode().lower().decode() for t in texts] if self.spaced is self.bare else texts
-        split = [[line.split(" ") for line in text.split("\n")] for text in lower]
+        if self.drops_space:
+            yield from self._bare(texts)
+            return
+        split = [[line.split(" ") for line in text.split("\n")] for text in texts]
         first, rest = set(), set()
         for lines in split:
             for line in lines:
@@ -132,6 +209,15 @@ class Encoder:
                 yield self.whole(text)
 
 
+    def _bare(self, texts: list[str]) -> Iterator[bytes]:
+        # word_bpe lower-cases after composing characters; A-Z can be lower-cased first. Bytes are split at ASCII white space.
+        lower = [t.encode().lower() for t in texts]
+        special = [any(s in t for s in self.special) for t in lower]
+        made = self.words.many([[] if odd else t.split() for t, odd in zip(lower, special, strict=True)])
+        for text, ids, odd in zip(texts, made, special, strict=True):
+            yield self.whole(text) if odd else ids
+
+
 _encoders: dict[str, Encoder] = {}
 
 

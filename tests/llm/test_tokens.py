@@ -4,6 +4,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from roadfeat.llm import tokens
 from roadfeat.llm.packing import binary_lengths, pack
 from roadfeat.llm.token_shards import PerfectHash, shard_digests, write_token_shards
 from roadfeat.llm.tokens import Encoder
@@ -30,6 +31,29 @@ def test_encoder_equals_the_tokenizer(path):
         assert np.frombuffer(ids, encode.dtype).tolist() == want, text
 
 
+def test_special_tokens_are_not_made_by_lower_case():
+    plain, encode = Tokenizer.from_file(WORD), Encoder(WORD)
+    for text in ("a <|EndOfText|> b", "<|endoftext|>A<|STARTOFTEXT|> <|endoftext|>", "A\u3000B\x85C \x1cD"):
+        assert np.frombuffer(encode(text), encode.dtype).tolist() == plain.encode(text, add_special_tokens=False).ids, text
+
+
+def test_new_words_cost_one_encoding(monkeypatch):
+    """Words of letters go to the tokenizer once and without marks; tables that are full lose words that are not met again."""
+    plain, encode, asked = Tokenizer.from_file(WORD), Encoder(WORD), []
+    monkeypatch.setattr(encode.words, "encode", lambda text: asked.append(text) or encode.ids(text))
+    long = "x" * 100
+    list(encode.many(["alpha beta", "beta Gamma it's", f"alpha {long} {long} gamma"]))
+    assert sorted(" ".join(asked).split()) == ["alpha", "beta", "gamma", "it's", long]
+    assert long.encode() not in encode.words.newer
+    monkeypatch.setattr(tokens, "REMEMBERED_BYTES", (0, 40 * tokens.WORD_BYTES))
+    for i in range(30):
+        texts = [f"common word{i}x{j} it's {long}" for j in range(20)]
+        got = [np.frombuffer(ids, encode.dtype).tolist() for ids in encode.many(texts)]
+        assert got == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(encode.words.newer) + len(encode.words.older) <= 100
+    assert b"common" in encode.words.newer
+
+
 def test_perfect_hash_is_minimal_and_survives_a_dump():
     rng = np.random.default_rng(5)
     h1, h2 = rng.integers(0, 1 << 63, (2, 5000), dtype=np.uint64)
