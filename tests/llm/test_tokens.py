@@ -54,6 +54,55 @@ def test_new_words_cost_one_encoding(monkeypatch):
     assert b"common" in encode.words.newer
 
 
+class Counted(dict):
+    """A table that counts how often a word is looked up."""
+
+    asked = 0
+
+    def get(self, word, default=None):
+        self.asked += 1
+        return super().get(word, default)
+
+
+def test_byte_words_are_looked_up_once_and_encoded_without_marks(monkeypatch):
+    """op1: a word that occurs often costs one look-up; words after a blank go to the tokenizer as they stand."""
+    plain, encode, asked = Tokenizer.from_file(BYTE), Encoder(BYTE), []
+    encode.spaced.newer = Counted()
+    monkeypatch.setattr(encode.spaced, "encode", lambda text: asked.append(text) or encode.ids(text))
+    texts = ["one two two\nthree two it's two", "two one two", "x  two <|endoftext|>", None, "one two\nit's"]
+    got = [np.frombuffer(ids, encode.dtype).tolist() for ids in encode.many(texts)]
+    assert got == [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert sorted("".join(asked).split(" ")) == ["", "it's", "one", "two"] and "\n" not in "".join(asked)
+    assert encode.spaced.newer.asked <= 4  # the line feed too
+
+
+def test_bare_words_are_looked_up_once():
+    """op3: a word that occurs often costs one look-up."""
+    plain, encode = Tokenizer.from_file(WORD), Encoder(WORD)
+    encode.words.newer = Counted()
+    texts = ["one two Two two it's\ttwo " * 50, " two  one ", None, "a~b"]
+    got = [np.frombuffer(ids, encode.dtype).tolist() for ids in encode.many(texts)]
+    assert got == [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert encode.words.newer.asked <= 5  # the place before a first blank counts as an empty word
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_encoder_in_small_steps(path, monkeypatch):
+    """Few characters and few words at once, and tables that are full at once, give the same ids."""
+    monkeypatch.setattr(tokens, "AT_ONCE", 60)
+    monkeypatch.setattr(tokens, "ENCODED", 3)
+    monkeypatch.setattr(tokens, "REMEMBERED_BYTES", (20 * tokens.WORD_BYTES, 20 * tokens.WORD_BYTES))
+    plain, rng = Tokenizer.from_file(path), random.Random(8)
+    parts = ["a", "Bc", "é", "中", "'s", "7", "!", "~", "<|endoftext|>", "\u3000", "\x1c", "\x85", "\t", "\r", "long" * 30]
+    texts = [
+        rng.choice([" ", "\n", " ", "  ", " \n"]).join("".join(rng.choices(parts, k=rng.randrange(1, 4))) for _ in range(rng.randrange(9)))
+        for _ in range(600)
+    ]
+    got = [np.frombuffer(ids, plain.get_vocab_size() > 1 << 16 and "<u4" or "<u2").tolist() for ids in Encoder(path).many(texts)]
+    for text, ids in zip(texts, got, strict=True):
+        assert ids == plain.encode(text, add_special_tokens=False).ids, text
+
+
 def test_perfect_hash_is_minimal_and_survives_a_dump():
     rng = np.random.default_rng(5)
     h1, h2 = rng.integers(0, 1 << 63, (2, 5000), dtype=np.uint64)
