@@ -30,11 +30,10 @@ def _pieces(tokenizer: str, end_id: int, longest: int):
         end = np.array([end_id], encode.dtype).tobytes()
         made: dict[int, int] = {}
         for whole in batches:
+            texts = encode.many(t.as_py() for t in whole["text"])
             for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
                 rows = []
-                texts = encode.many(batch["text"].to_pylist())
-                for doc, found in zip(batch["doc_id"].to_pylist(), texts, strict=True):
+                for doc, found in zip(whole["doc_id"].slice(at, 1000).to_pylist(), texts):
                     raw = np.frombuffer(found + end, encode.dtype)
                     wide, start = raw.astype("<u4").tobytes(), 0
                     for n in binary_lengths(len(raw), longest):

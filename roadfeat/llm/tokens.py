@@ -13,9 +13,9 @@ import pyarrow.compute as pc
 
 from roadfeat.llm.shared import give_back
 
-#: Bytes that a worker's memory of words may take (of those that follow a blank, and of others); most words of a corpus are met once.
-#: Memory and time only, results do not depend on them.
-REMEMBERED_BYTES = (176 << 20, 112 << 20)
+#: Bytes that a worker's memory of words may take (of those that follow a blank, and of others; the larger one where blanks are dropped);
+#: most words of a corpus are met once. Memory and time only, results do not depend on them.
+REMEMBERED_BYTES = (256 << 20, 96 << 20)
 #: Bytes of a remembered word beside its own, and of its place in the table.
 WORD_BYTES = 220
 #: Longest word in bytes that is remembered, characters of texts that are split at once, and new words of one encoding call.
@@ -29,7 +29,7 @@ class _Words:
     it is full. So words that are met once are forgotten.
     """
 
-    def __init__(self, encode, dtype: np.dtype, memory: int, mark: str, prefix: str = ""):
+    def __init__(self, encode, dtype: np.dtype, memory: slice, mark: str, prefix: str = ""):
         self.encode, self.dtype, self.memory, self.mark, self.prefix = encode, dtype, memory, mark, prefix
         self.newer: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
@@ -37,7 +37,7 @@ class _Words:
 
     def __call__(self, words: list[bytes]) -> list[bytes | None]:
         """The ids of distinct words; None for those that are no words by themselves."""
-        if 2 * len(self.newer) * WORD_BYTES > REMEMBERED_BYTES[self.memory]:
+        if 2 * len(self.newer) * WORD_BYTES > max(REMEMBERED_BYTES[self.memory]):
             self.newer, self.older = {}, self.newer
         found = list(map(self.newer.get, words))
         missing = list(compress(range(len(found)), map(is_, found, repeat(None))))
@@ -48,8 +48,9 @@ class _Words:
 
     def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
         """The ids of words that the newer table lacks, where those that are not too long are added."""
-        known = {w: ids for w, ids in zip(words, map(self.older.get, words), strict=True) if ids is not None}
-        known |= self._new([w for w in words if w not in known])
+        met = list(map(self.older.get, words))
+        known = self._new([w for w, ids in zip(words, met, strict=True) if ids is None])
+        known.update((w, ids) for w, ids in zip(words, met, strict=True) if ids is not None)
         self.newer.update((w, ids) for w, ids in known.items() if len(w) <= LONGEST_WORD)
         return known
 
@@ -87,12 +88,12 @@ class _SpacedWords(_Words):
     """
 
     def __init__(self, encode, dtype: np.dtype, prefix: str, opening: np.ndarray):
-        super().__init__(encode, dtype, not prefix, "\n", prefix)
+        super().__init__(encode, dtype, slice(0, 1) if prefix else slice(1, 2), "\n", prefix)
         self.opening = opening
 
     def _new(self, words: list[bytes]) -> dict[bytes, bytes]:
         # White space at an end would meet the blanks around the word.
-        plain = [w for w in words if w and (w.isalpha() or not ((t := w.decode())[0].isspace() or t[-1].isspace()))]
+        plain = [w for w in words if w.isalpha() or (w and not ((t := w.decode())[0].isspace() or t[-1].isspace()))]
         return self._together(plain, "", self._opened) if self.prefix else self._together(plain, self.mark, self._marked)
 
     def _opened(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -104,18 +105,15 @@ class _BareWords(_Words):
     """Lower-cased words for tokenizers that drop white space; ``closing`` tells the ids that end a word, if any do."""
 
     def __init__(self, encode, dtype: np.dtype, closing: np.ndarray):
-        super().__init__(encode, dtype, 1, " ~ ")
+        super().__init__(encode, dtype, slice(None), " ~ ")
         self.closing = closing
 
     def _new(self, words: list[bytes]) -> dict[bytes, bytes]:
-        letters, others, known, mark = [], [], {}, self.mark.strip().encode()
-        for word in words:
-            if mark in word:
-                known[word] = self._alone(word)
-            elif word:
-                (letters if word.isalpha() else others).append(word)
-            else:
-                known[word] = b""
+        letters = [w for w in words if w.isalpha()]
+        rest = [w for w in words if not w.isalpha()]
+        mark = self.mark.strip().encode()
+        others = [w for w in rest if w and mark not in w]
+        known = {w: self._alone(w) if w else b"" for w in rest if not w or mark in w}
         # Without closing tokens, words of letters need the mark too.
         if len(self.closing):
             known |= self._together(letters, " ", self._closed)
