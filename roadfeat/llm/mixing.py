@@ -63,7 +63,11 @@ def permuted(index: Column, size: Column, *key: Column, rounds: int = ROUNDS) ->
 @dataclass
 class Mixture:
     """``rows``: every document row with its words' place in its source. ``sources``: targets and quotas.
-    ``slots``: (shard, source_no, block), one for each block that the mix takes."""
+    ``slots``: (shard, source_no, block), one for each block that the mix takes.
+
+    Slots, pieces and documents meet by shuffles at every size: their files are so much smaller than the rows
+    (a draw takes 0.3 bytes there, a document holds many pieces) that the planner would send millions of rows to the driver.
+    """
 
     rows: DataFrame
     sources: DataFrame
@@ -82,16 +86,16 @@ class Mixture:
     def taken_pieces(self) -> DataFrame:
         """The pieces that the mix takes, with ``times``."""
         times = self.slots.groupBy("source_no", "block").agg(F.count("*").alias("times"))
-        return self.pieces().join(times, ["source_no", "block"])
+        return self.pieces().hint("merge").join(times, ["source_no", "block"])
 
     def blocks(self) -> DataFrame:
         """The mix itself: ``(shard, source_no, block, row, from_word, n_words)``, every slot with the text it stands for."""
-        return self.slots.join(self.pieces(), ["source_no", "block"])
+        return self.slots.join(self.pieces().hint("merge"), ["source_no", "block"])
 
     def digest(self) -> DataFrame:
         """``(doc_id, size, source_size, target, taken)`` of every document row."""
         taken = self.taken_pieces().groupBy("row").agg(F.sum(F.col("times") * F.col("n_words")).alias("taken"))
-        whole = self.rows.join(taken, "row", "left").join(self.sources.select("source_no", "source_size", "target"), "source_no")
+        whole = self.rows.join(taken.hint("merge"), "row", "left").join(self.sources.select("source_no", "source_size", "target"), "source_no")
         return whole.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
@@ -145,9 +149,9 @@ def mix_sized(sized: DataFrame, seed: int = 42) -> Mixture:
     drawn = draws.join(guide, "cell").where("v >= low and v < high").select(F.floor(F.col("id") / SHARD_SLOTS).alias("shard"), "id", "source_no")
     within = Window.partitionBy("shard", "source_no").orderBy("id")
     drawn = store(drawn.select("shard", "source_no", (F.row_number().over(within) - 1).alias("k")), "mix-draws")
-    counts = drawn.groupBy("shard", "source_no").agg(F.count("*").alias("n"))
-    firsts = with_starts(store(counts, "mix-counts"), ["source_no"], ["shard"], {"first": "n"}).select("shard", "source_no", "first")
-    numbered = drawn.join(firsts, ["shard", "source_no"]).select("shard", "source_no", (F.col("first") + F.col("k")).alias("j"))
+    counts = store(drawn.groupBy("shard", "source_no").agg(F.count("*").alias("n")), "mix-counts")
+    firsts = with_starts(counts, ["source_no"], ["shard"], {"first": "n"}).select("shard", "source_no", "first")
+    numbered = drawn.hint("merge").join(firsts, ["shard", "source_no"]).select("shard", "source_no", (F.col("first") + F.col("k")).alias("j"))
 
     had = counts.groupBy("source_no").agg(F.sum("n").alias("had"))
     short = sources.join(had, "source_no", "left").withColumn("had", F.coalesce("had", F.lit(0))).where("had < quota")

@@ -134,3 +134,28 @@ def test_very_long_text_and_clashing_columns(documents):
     assert sorted(r["size"] for r in got) == [1, 2, 2, 300_000]
     assert sum(r.taken for r in got if r["size"] == 300_000) > 100_000
     assert mixed_documents(docs).columns == docs.columns
+
+
+def sent_to_the_driver(df):
+    """Folders of the files of which the plan broadcasts rows."""
+    found, stack = [], [(df._jdf.queryExecution().executedPlan(), False)]
+    while stack:
+        node, sent = stack.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            stack.append((node.initialPlan(), sent))
+            continue
+        sent = sent or kind == "BroadcastExchangeExec"
+        if sent and kind == "FileSourceScanExec":
+            found.append(node.relation().location().rootPaths().mkString().rsplit("/", 1)[-1].rsplit("-", 1)[0])
+        stack += [(node.children().apply(i), sent) for i in range(node.children().size())]
+    return found
+
+
+def test_draws_and_pieces_are_not_broadcast(documents):
+    """Their files are far smaller than their rows, so the planner would take them for small tables."""
+    docs = documents(rows_for(random.Random(3), 200))
+    mixture = mix(docs)
+    for df in (mixture.slots, mixture.blocks(), mixture.digest()):
+        assert {"mix-draws", "mix-rows"}.isdisjoint(sent_to_the_driver(df))
+    assert "mix-targets" in sent_to_the_driver(mixture.slots)
