@@ -191,6 +191,6 @@ def mixed_documents(docs: DataFrame, seed: int = 42) -> DataFrame:
         return F.array_join(F.flatten(cut), "")
 
     copies = F.transform(F.array(spaced), lambda words: F.array(text_of(1, words), text_of(2, words)))[0]
-    joined = kept.join(parts, "row").withColumn("copy", F.explode(copies)).where("copy != ''")
+    joined = kept.hint("merge").join(parts, "row").withColumn("copy", F.explode(copies)).where("copy != ''")
     made = {"text": F.col("copy"), "n_chars": F.length("copy").cast("long")}
     return joined.select(*[made.get(c, F.col(at)).alias(c) for c, at in place.items()])

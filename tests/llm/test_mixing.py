@@ -152,10 +152,10 @@ def sent_to_the_driver(df):
     return found
 
 
-def test_draws_and_pieces_are_not_broadcast(documents):
+def test_draws_pieces_and_documents_are_not_broadcast(documents):
     """Their files are far smaller than their rows, so the planner would take them for small tables."""
     docs = documents(rows_for(random.Random(3), 200))
     mixture = mix(docs)
-    for df in (mixture.slots, mixture.blocks(), mixture.digest()):
-        assert {"mix-draws", "mix-rows"}.isdisjoint(sent_to_the_driver(df))
+    for df in (mixture.slots, mixture.blocks(), mixture.digest(), mixed_documents(docs)):
+        assert {"mix-draws", "mix-rows", "mix-documents"}.isdisjoint(sent_to_the_driver(df))
     assert "mix-targets" in sent_to_the_driver(mixture.slots)
