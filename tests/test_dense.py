@@ -10,7 +10,9 @@ from roadfeat import config as c
 from roadfeat.functions.geometry import line_of, rectangle
 from roadfeat.layer import POINT, POLYGON, Layer
 from roadfeat.operators import dense
+from roadfeat.operators.proximity import join_by_cell
 from roadfeat.plans import features as ft
+from roadfeat.sources.places import load_bus_passenger_stops
 
 
 @pytest.fixture
@@ -153,3 +155,16 @@ def test_sums_of_odd_values_in_groups(spark, both, monkeypatch):
     # Sums with the great value are rounded in the order of addition.
     assert cells == [want if want < 1 << 50 else pytest.approx(want, rel=1e-14) for want in pairs]
     assert max(pairs) > 1 << 58 and min(pairs) < 1 << 20
+
+
+def test_sides_that_grow_are_not_broadcast(spark):
+    """Files of few bytes may hold many rows: neither cells with their copies nor stops go through the driver."""
+    ids = spark.range(5)
+    homes = ids.selectExpr(f"id as `{c.POINT_ID}`", "id % 3 as _cell", "0L as a")
+    copies = ids.selectExpr("id as _cell", "1D as _v")
+    stops = ids.selectExpr("string(id) as NODE_ID", "'일반' as `정류소타입`", "127D as `X좌표`", "37.5D as `Y좌표`")
+    rides = ids.selectExpr("'d' as `사용일자`", "string(id) as `표준버스정류장ID`", "'1' as `승차총승객수`", "'2' as `하차총승객수`")
+    for df in (join_by_cell(homes, copies, ["_cell"], "true").df, load_bus_passenger_stops(stops, rides).df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+        assert df.count() == 5
